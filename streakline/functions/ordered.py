@@ -111,33 +111,49 @@ def row_numbers(
     )
 
 
-def next_values(
+def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], **options) -> DataFrame:
+    """``lead()`` per key: ``values`` maps each new column to the column it looks ahead at."""
+    return _neighbour_values(df, keys, order, values, ahead=True, **options)
+
+
+def previous_values(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], **options
+) -> DataFrame:
+    """``lag()`` per key. With ``default``, that value stands where no row precedes;
+    a NULL in the row before stays NULL."""
+    return _neighbour_values(df, keys, order, values, ahead=False, **options)
+
+
+def _neighbour_values(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, str],
+    ahead: bool,
+    default=None,
     chunk_rows: int = CHUNK_ROWS,
     hot: bool | None = None,
 ) -> DataFrame:
-    """``lead()`` per key: ``values`` maps each new column to the column it looks ahead at."""
-    wanted = F.struct(*values.values())
+    shift = F.lead if ahead else F.lag
     if not decide(df, keys, chunk_rows, hot):
         window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({new: F.lead(old).over(window) for new, old in values.items()})
+        return df.withColumns({new: shift(old, 1, default).over(window) for new, old in values.items()})
 
+    wanted, place = F.struct(*values.values()), F.struct(*order)
     pieces = with_chunks(df, keys, order, chunk_rows)
-    firsts = pieces.groupBy(*keys, CHUNK).agg(F.min_by(wanted, F.struct(*order)).alias("_first"))
+    edge = (F.min_by if ahead else F.max_by)(wanted, place)
+    edges = pieces.groupBy(*keys, CHUNK).agg(edge.alias("_edge"))
     carry = (
-        firsts.withColumn("_ahead", F.lead("_first").over(Window.partitionBy(*keys).orderBy(CHUNK)))
-        .where(F.col("_ahead").isNotNull())
-        .select(*keys, CHUNK, "_ahead")
+        edges.withColumn("_beyond", shift("_edge").over(Window.partitionBy(*keys).orderBy(CHUNK)))
+        .where(F.col("_beyond").isNotNull())
+        .select(*keys, CHUNK, "_beyond")
     )
-    local = F.lead(wanted).over(Window.partitionBy(*keys, CHUNK).orderBy(*order))
+    local = shift(wanted).over(Window.partitionBy(*keys, CHUNK).orderBy(*order))
     out = attach_carry(pieces.withColumn("_local", local), carry, keys)
-    found = F.coalesce("_local", "_ahead")
-    return out.withColumns({new: found[old] for new, old in values.items()}).drop(
-        CHUNK, "_local", "_ahead"
-    )
+    found = F.coalesce("_local", "_beyond")
+    return out.withColumns(
+        {new: F.when(found.isNotNull(), found[old]).otherwise(F.lit(default)) for new, old in values.items()}
+    ).drop(CHUNK, "_local", "_beyond")
 
 
 def number_all(

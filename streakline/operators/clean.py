@@ -27,27 +27,20 @@ class MissingColumns(ValueError):
 # --- Nested payloads ------------------------------------------------------------
 
 
-def _leaves(df: DataFrame, section: str) -> list[Column]:
-    """Every leaf of a struct column."""
-
-    def walk(kind, column):
-        for field in kind.fields:
-            inner = column[field.name]
-            if hasattr(field.dataType, "fields"):
-                yield from walk(field.dataType, inner)
-            else:
-                yield inner
-
-    return list(walk(df.schema[section].dataType, F.col(section)))
-
-
 def validate_payload(df: DataFrame) -> DataFrame:
     """Add ``missing``: the names of the sections a record lacks.
 
     With a fixed schema an empty object reads as a struct of NULLs, so a section
-    counts as missing when it is NULL or holds nothing but NULLs.
+    counts as missing when it is NULL or all its own fields are. A score section
+    whose halves are there but hold no goals yet is not missing.
     """
-    absent = {s: F.coalesce(*[leaf.cast("string") for leaf in _leaves(df, s)]).isNull() for s in SECTIONS}
+    absent = {}
+    for section in SECTIONS:
+        present = F.col(section).isNotNull()
+        anything = F.lit(False)
+        for field in df.schema[section].dataType.names:
+            anything = anything | F.col(f"{section}.{field}").isNotNull()
+        absent[section] = ~(present & anything)
     names = F.array_compact(F.array(*[F.when(absent[s], F.lit(s)) for s in SECTIONS]))
     return df.withColumn("missing", names)
 

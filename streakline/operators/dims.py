@@ -48,7 +48,7 @@ def missing_leagues(tree: DataFrame) -> DataFrame:
 
 def missing_from_catalog(requested: DataFrame, catalog: DataFrame) -> DataFrame:
     """The same for two flat tables: requested (country, league) pairs without a catalog row."""
-    return requested.join(catalog, ["country", "league"], "left_anti").distinct()
+    return requested.distinct().join(catalog, ["country", "league"], "left_anti")
 
 
 def season_rows(seasons: DataFrame, min_season: int = MIN_SEASON) -> DataFrame:

@@ -93,8 +93,8 @@ def next_fixture(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, hot: bool | None
         TEAM_KEY,
         FIXTURE_ORDER,
         {"next_opponent_id": "opponent_id", "next_kickoff_utc": "kickoff_utc"},
-        chunk_rows,
-        hot,
+        chunk_rows=chunk_rows,
+        hot=hot,
     )
 
 
