@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streakline import testbed as tb
-from streakline.functions.ordered import next_values, number_all, previous_values, row_numbers
+from streakline.functions.ordered import CHUNK_ROWS, next_values, number_all, previous_values, row_numbers
 from streakline.functions.scalars import season_label, slugify, title_case
 from streakline.operators import clean, dims, facts, merge, quality, standings, streaks
 from streakline.plans import jobs, marts, worklists
 from streakline.schemas import EVENT_CATALOG, Event
-from streakline.session import scratch_path
+from streakline.session import scratch_path, stage
 from streakline.sources import fixture_files, snapshots, tables
 from streakline.streaming.updates import stream_updates
 
@@ -78,6 +78,22 @@ def team_rows(spark, sf):
     return facts.unpivot_team_rows(enriched(spark, sf))
 
 
+def at_most(spark, sf, name, factor=1):
+    """What the ordered operators may take as known: a table of no more rows than one
+    chunk (told from file footers) has no hot key. For larger tables they look themselves."""
+    rows = factor * tb.table(spark, sf, name).count()
+    return {"hot": False} if rows <= CHUNK_ROWS else {}
+
+
+def team_hot(spark, sf):
+    return at_most(spark, sf, "orders", 2)
+
+
+def team_crowded(spark, sf):
+    known = team_hot(spark, sf)
+    return {"crowded": known["hot"]} if known else {}
+
+
 def event_rows(spark, sf):
     """Event rows that count for streaks, as the generic ordered operators take them."""
     return facts.team_events(clean.current_played_only(team_rows(spark, sf)))
@@ -439,7 +455,7 @@ def unpivot_team_rows(spark, sf):
 
 @query
 def fact_team_fixtures(spark, sf):
-    return facts.team_fixtures(enriched(spark, sf)).drop("updated_at")
+    return facts.team_fixtures(enriched(spark, sf), **team_hot(spark, sf)).drop("updated_at")
 
 
 @query
@@ -532,7 +548,7 @@ def change_counts(spark, sf):
 
 @query
 def next_fixture(spark, sf):
-    return facts.next_fixture(team_rows(spark, sf)).select(
+    return facts.next_fixture(team_rows(spark, sf), **team_hot(spark, sf)).select(
         "fixture_id", "team_id", "next_opponent_id", "next_kickoff_utc"
     )
 
@@ -545,6 +561,7 @@ def next_event(spark, sf):
         ["user_id"],
         ["ts", "event_id"],
         {"next_type": "event_type", "next_ts": "ts"},
+        **at_most(spark, sf, "events"),
     )
 
 
@@ -554,7 +571,7 @@ T_E = ["team_id", "event_name"]
 @query
 def number_rows(spark, sf):
     rows = event_rows(spark, sf).select(*T_E, "kickoff_utc", "fixture_id", "event_flag")
-    return row_numbers(rows, T_E, ["kickoff_utc", "fixture_id"], "rn")
+    return row_numbers(rows, T_E, ["kickoff_utc", "fixture_id"], "rn", **team_hot(spark, sf))
 
 
 @query
@@ -563,13 +580,13 @@ def previous_flag(spark, sf):
     rows = clean.current_played_only(team_rows(spark, sf)).withColumns(facts.event_flags())
     names = [e.name for e in EVENT_CATALOG]
     lagged = previous_values(
-        rows, facts.TEAM_KEY, facts.FIXTURE_ORDER, {f"{n}_before": n for n in names}, default=0
+        rows, facts.TEAM_KEY, facts.FIXTURE_ORDER, {f"{n}_before": n for n in names}, default=0, **team_hot(spark, sf)
     )
     return facts.stack_events(lagged, ["team_id", "fixture_id"], {"event_flag": "{}", "prev_flag": "{}_before"})
 
 
 def numbered_streaks(spark, sf):
-    return streaks.team_run_lengths(team_rows(spark, sf), with_ids=True)
+    return streaks.team_run_lengths(team_rows(spark, sf), with_ids=True, **team_hot(spark, sf))
 
 
 @query
@@ -588,7 +605,7 @@ def streak_length(spark, sf):
 
 @query
 def fact_team_streaks(spark, sf):
-    return streaks.team_streaks(team_rows(spark, sf))
+    return streaks.team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
 
 
 @query
@@ -596,7 +613,7 @@ def run_length_streaks(spark, sf):
     """The generic operator on the event stream: runs of errors and of high values per user."""
     rows = tb.table(spark, sf, "events").selectExpr("event_id", "user_id", "ts", "event_type", "value")
     flags = {"is_error": F.expr("cast(event_type = 'error' as int)"), "is_high": F.expr("cast(value > 10 as int)")}
-    return streaks.run_lengths(rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True)
+    return streaks.run_lengths(rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True, **at_most(spark, sf, "events"))
 
 
 @query
@@ -611,12 +628,12 @@ def run_length_chunked(spark, sf):
 
 @query
 def null_resets_streaks(spark, sf):
-    return streaks.team_streaks(team_rows(spark, sf), null_resets=True)
+    return streaks.team_streaks(team_rows(spark, sf), null_resets=True, **team_hot(spark, sf))
 
 
 @query
 def latest_row(spark, sf):
-    rows = streaks.team_streaks(team_rows(spark, sf))
+    rows = streaks.team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
     return streaks.latest_per_key(
         rows, T_E, ["kickoff_utc", "fixture_id"], ["kickoff_utc", "fixture_id", "event_flag", "streak_length"]
     )
@@ -624,33 +641,33 @@ def latest_row(spark, sf):
 
 @query
 def display_id(spark, sf):
-    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf)))
+    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf), **team_hot(spark, sf)))
     return marts.display_ids(lengths)
 
 
 @query
 def running_counts(spark, sf):
     rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, crowded=standings.is_crowded(rows))
+    totals = standings.running_totals(rows, **team_crowded(spark, sf))
     return totals.select("fixture_id", "team_id", "games_played", "wins", "losses", "draws")
 
 
 @query
 def running_goals(spark, sf):
     rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, crowded=standings.is_crowded(rows))
+    totals = standings.running_totals(rows, **team_crowded(spark, sf))
     return totals.select("fixture_id", "team_id", "goals_for", "goals_against")
 
 
 @query
 def rolling_rates(spark, sf):
-    table = standings.team_running_table(standings_rows(spark, sf))
+    table = standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf))
     return table.select("fixture_id", "team_id", "rolling_win_rate", "rolling_loss_rate", "rolling_draw_rate")
 
 
 @query
 def rolling_averages(spark, sf):
-    table = standings.team_running_table(standings_rows(spark, sf))
+    table = standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf))
     return table.select("fixture_id", "team_id", "rolling_avg_goals_for", "rolling_avg_goals_against")
 
 
@@ -664,7 +681,7 @@ def rolling_points(spark, sf):
 @query
 def tie_breaker(spark, sf):
     rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, crowded=standings.is_crowded(rows))
+    totals = standings.running_totals(rows, **team_crowded(spark, sf))
     return standings.tie_breaker(standings.rates(totals)).selectExpr(
         "fixture_id", "team_id", "_aggregator / 100.0D as aggregator"
     )
@@ -672,18 +689,18 @@ def tie_breaker(spark, sf):
 
 @query
 def matchday_numbers(spark, sf):
-    return standings.matchdays(standings_rows(spark, sf)).select("fixture_id", "team_id", "matchday")
+    return standings.matchdays(standings_rows(spark, sf), **team_hot(spark, sf)).select("fixture_id", "team_id", "matchday")
 
 
 @query
 def league_position(spark, sf):
-    table = standings.team_running_table(standings_rows(spark, sf))
+    table = standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf))
     return table.select("fixture_id", "team_id", "matchday", "position")
 
 
 @query
 def team_running_table(spark, sf):
-    return iso(standings.team_running_table(standings_rows(spark, sf)), "date")
+    return iso(standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf)), "date")
 
 
 @query
@@ -698,13 +715,13 @@ def team_running_table_crowded(spark, sf):
 
 @query
 def rank_current_streaks(spark, sf):
-    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf)))
+    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf), **team_hot(spark, sf)))
     return lengths.orderBy(F.desc("current_streak_length"), "team_name", "event_name")
 
 
 @query
 def min_length_filter(spark, sf):
-    return marts.longer_than(streaks.current_streaks(team_rows(spark, sf)), 4)
+    return marts.longer_than(streaks.current_streaks(team_rows(spark, sf), **team_hot(spark, sf)), 4)
 
 
 @query
@@ -768,7 +785,7 @@ def custom_event_catalog(spark, sf):
         Event("narrow_win", "fulltime_result = 'win' and goals_for - goals_against = 1", "result_streaks"),
         Event("away_goal", "not is_home and goals_for > 0", "goal_streaks"),
     ]
-    return streaks.current_streaks(team_rows(spark, sf), catalog)
+    return streaks.current_streaks(team_rows(spark, sf), catalog, **team_hot(spark, sf))
 
 
 # --- I. Streaming --------------------------------------------------------------------------------------------------
@@ -995,8 +1012,9 @@ def quality_report(spark, sf):
     ]
     return quality.quality_report(
         {
-            "raw_fixtures": tb.raw_fixtures(spark, sf),
-            "int_fixtures": enriched(spark, sf),
+            # Stored first, as the warehouse has them: each check then scans its own column.
+            "raw_fixtures": stage(tb.raw_fixtures(spark, sf)),
+            "int_fixtures": stage(enriched(spark, sf)),
             "int_league_context": context(spark, sf),
             "dim_teams": tb.dim_teams(spark, sf),
         },
@@ -1009,22 +1027,22 @@ def quality_report(spark, sf):
 
 @query
 def mart_top_team_streaks(spark, sf):
-    return marts.top_team_streaks(team_rows(spark, sf))
+    return marts.top_team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
 
 
 @query
 def mart_latest_team_streaks(spark, sf):
-    return marts.latest_team_streaks(team_rows(spark, sf))
+    return marts.latest_team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
 
 
 @query
 def list_streaks(spark, sf):
-    return marts.list_streaks(marts.top_team_streaks(team_rows(spark, sf)))
+    return marts.list_streaks(marts.top_team_streaks(team_rows(spark, sf), **team_hot(spark, sf)))
 
 
 def _typed_streaks(kind: str):
     def run(spark, sf):
-        return marts.streaks_by_type(marts.top_team_streaks(team_rows(spark, sf)), kind)
+        return marts.streaks_by_type(marts.top_team_streaks(team_rows(spark, sf), **team_hot(spark, sf)), kind)
 
     run.__name__ = f"list_{kind}"
     return query(run)

@@ -94,7 +94,7 @@ def _whole_number(column: Column, kind: str) -> Column:
     # Plain digits go straight to the integer, so long ids keep every digit.
     direct = as_text.try_cast("bigint")
     number = as_text.try_cast("double")
-    through_double = F.when(number == F.floor(number), number.try_cast("bigint"))
+    through_double = F.when(number % 1 == 0, number.try_cast("bigint"))
     return F.coalesce(F.when(as_text.rlike(r"^[+-]?\d+$"), direct), through_double).try_cast(kind)
 
 
@@ -113,7 +113,7 @@ def fractional_values(df: DataFrame) -> DataFrame:
     for name in INTEGER_COLUMNS:
         if name in df.columns:
             number = F.trim(F.col(name).cast("string")).try_cast("double")
-            suspects.append(F.coalesce(number != F.floor(number), F.lit(False)))
+            suspects.append(F.coalesce((number % 1 != 0) & ~F.isnan(number), F.lit(False)))
     anything = suspects[0]
     for suspect in suspects[1:]:
         anything = anything | suspect

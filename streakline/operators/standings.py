@@ -75,13 +75,15 @@ def is_crowded(rows: DataFrame, limit: int = CHUNK_ROWS) -> bool:
     return (largest or 0) > limit
 
 
-def running_totals(rows: DataFrame, crowded: bool) -> DataFrame:
+def running_totals(rows: DataFrame, crowded: bool | None = None) -> DataFrame:
     """Add the running totals by date, same-date matches included.
 
     Uncrowded: windows that share one shuffle. Crowded: matches are first summed
     per team and date (map-side), so a window holds at most one row per calendar
     day of a season, and the totals are joined back.
     """
+    if crowded is None:
+        crowded = is_crowded(rows)
     parts = measures()
     if not crowded:
         by_date = Window.partitionBy(*TEAM_SEASON_KEY).orderBy("date")

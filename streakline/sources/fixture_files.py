@@ -14,6 +14,15 @@ _CORRUPT = "_corrupt_record"
 TREE_LEVELS = ["country_slug", "league_slug", "season"]
 
 
+def _parsed():
+    """True for records that parsed.
+
+    Spark refuses to read the corrupt-record column alone, as a bare count would;
+    the second condition always holds and brings one real column along.
+    """
+    return F.col(_CORRUPT).isNull() & (F.length(F.coalesce("api_fixture_id", F.lit(""))) >= 0)
+
+
 def _read_flat(spark: SparkSession, path: str, multi_line: bool, pattern: str | None = None) -> DataFrame:
     schema = T.StructType([*FLAT_FIXTURE_TEXT.fields, T.StructField(_CORRUPT, T.StringType())])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT)
@@ -39,7 +48,7 @@ def scan_fixture_tree(
     return (
         _read_flat(spark, base, multi_line, pattern)
         .withColumn("season", F.regexp_replace(folder, "^season=", ""))
-        .where(F.col(_CORRUPT).isNull())
+        .where(_parsed())
         .drop(_CORRUPT)
     )
 
@@ -51,7 +60,7 @@ def unreadable_files(
     return (
         _read_flat(spark, base, multi_line, pattern)
         .select("api_fixture_id", _CORRUPT, F.col("_metadata.file_path").alias("path"))
-        .where(F.col(_CORRUPT).isNotNull())
+        .where(~_parsed())
         .select("path")
         .distinct()
     )
@@ -63,8 +72,7 @@ def scan_update_file(spark: SparkSession, path: str, multi_line: bool = True) ->
         return spark.createDataFrame([], FLAT_FIXTURE_TEXT)
     return (
         _read_flat(spark, path, multi_line)
-        .select("*")
-        .where(F.col(_CORRUPT).isNull() & F.col("api_fixture_id").isNotNull())
+        .where(_parsed())
         .drop(_CORRUPT)
     )
 
