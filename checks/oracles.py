@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from streakline.schemas import EVENT_CATALOG
+
 FLAT = [
     "api_fixture_id",
     "api_league_id",
@@ -130,31 +134,10 @@ def chain(raw: str, x: str = "") -> dict[str, str]:
                {other}_team_name AS opponent_name, {home} AS is_home, {own}_ftg AS goals_for, {other}_ftg AS goals_against,
                {own}_htg AS halftime_goals_for, {other}_htg AS halftime_goals_against,
                {own}_ftr AS fulltime_result, {own}_htr AS halftime_result FROM intf{x}"""
-    events = [
-        ("score_1goal", "goals_for >= 1", "goal_streaks"),
-        ("score_2goals", "goals_for >= 2", "goal_streaks"),
-        ("score_3goals", "goals_for >= 3", "goal_streaks"),
-        ("concede_1", "goals_against >= 1", "goal_streaks"),
-        ("concede_2", "goals_against >= 2", "goal_streaks"),
-        ("concede_3", "goals_against >= 3", "goal_streaks"),
-        ("goalless", "goals_for = 0", "special_streaks"),
-        ("clean_sheet", "goals_against = 0", "special_streaks"),
-        ("win", "fulltime_result = 'win'", "result_streaks"),
-        ("draw", "fulltime_result = 'draw'", "result_streaks"),
-        ("loss", "fulltime_result = 'loss'", "result_streaks"),
-        ("win_or_draw", "fulltime_result IN ('win', 'draw')", "result_streaks"),
-        ("halftime_win", "halftime_result = 'win'", "special_streaks"),
-        (
-            "win_draw_over_1_5",
-            "fulltime_result IN ('win', 'draw') AND goals_for + goals_against > 1.5",
-            "special_streaks",
-        ),
-        (
-            "win_draw_under_4_5",
-            "fulltime_result IN ('win', 'draw') AND goals_for + goals_against < 4.5",
-            "special_streaks",
-        ),
-    ]
+    events = ", ".join(
+        f"{{'event_name': '{e.name}', 'event_flag': CAST(({e.predicate}) AS INTEGER), 'streak_type': '{e.streak_type}'}}"
+        for e in EVENT_CATALOG
+    )
     return {
         f"intf{x}": f"""
             SELECT f.fixture_id, c.league_season_id, c.league_name, f.season, f.kickoff_utc,
@@ -168,23 +151,18 @@ def chain(raw: str, x: str = "") -> dict[str, str]:
             JOIN teams h ON h.api_team_id = f.home_team_id JOIN teams a ON a.api_team_id = f.away_team_id""",
         f"tf{x}": f"{view('home', 'away', 'TRUE')} UNION ALL {view('away', 'home', 'FALSE')}",
         f"ev{x}": f"""
-            SELECT league_season_id, league_name, season, fixture_id, team_id, team_name, opponent_id, opponent_name,
-                   kickoff_utc, goals_for, goals_against, fulltime_result, e.event_name, e.event_flag, e.streak_type,
-                   is_home, is_current, is_played
-            FROM tf{x}, LATERAL (VALUES {", ".join(f"('{n}', CAST(({p}) AS INTEGER), '{t}')" for n, p, t in events)})
-                 AS e(event_name, event_flag, streak_type)
-            WHERE is_played""",
-        f"numbered{x}": f"""
-            SELECT *, row_number() OVER w AS rn, lag(event_flag, 1, 0) OVER w AS prev_flag
+            SELECT * EXCLUDE (e, updated_at, halftime_goals_for, halftime_goals_against, halftime_result), unnest(e)
+            FROM (SELECT *, unnest([{events}]) AS e FROM tf{x} WHERE is_played)""",
+        f"steps{x}": f"""
+            SELECT *, row_number() OVER place AS rn, lag(event_flag, 1, 0) OVER place AS before
             FROM ev{x} WHERE is_current
-            WINDOW w AS (PARTITION BY team_id, event_name ORDER BY kickoff_utc, fixture_id)""",
-        f"grouped{x}": f"""
-            SELECT *, CAST(sum(CASE WHEN event_flag = 1 AND prev_flag = 0 THEN 1 ELSE 0 END)
-                      OVER (PARTITION BY team_id, event_name ORDER BY rn) AS BIGINT) AS streak_id FROM numbered{x}""",
+            WINDOW place AS (PARTITION BY team_id, event_name ORDER BY kickoff_utc, fixture_id)""",
+        f"runs{x}": f"""
+            SELECT *, count(*) FILTER (event_flag = 1 AND before = 0)
+                      OVER (PARTITION BY team_id, event_name ORDER BY rn) AS run FROM steps{x}""",
         f"st{x}": f"""
-            SELECT *, CASE WHEN event_flag = 1
-                           THEN row_number() OVER (PARTITION BY team_id, event_name, streak_id ORDER BY rn)
-                           ELSE 0 END AS streak_length FROM grouped{x}""",
+            SELECT *, coalesce(event_flag, 0) * count(*) OVER (PARTITION BY team_id, event_name, run ORDER BY rn)
+                      AS streak_length FROM runs{x}""",
         f"cur{x}": f"""
             SELECT team_id, team_name, league_season_id, league_name, event_name, streak_type,
                    streak_length AS current_streak_length
@@ -265,26 +243,26 @@ CTES |= {
     "signals": """
         SELECT event_id, user_id, ts, event_type, value, CAST(event_type = 'error' AS INTEGER) AS is_error,
                CAST(value > 10 AS INTEGER) AS is_high FROM events""",
-    "signals1": """
-        SELECT *, row_number() OVER w AS rn, lag(is_error, 1, 0) OVER w AS pe, lag(is_high, 1, 0) OVER w AS ph
-        FROM signals WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
-    "signals2": """
-        SELECT *, CAST(sum(CASE WHEN is_error = 1 AND pe = 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS is_error_run,
-               CAST(sum(CASE WHEN is_high = 1 AND ph = 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS is_high_run
-        FROM signals1 WINDOW w AS (PARTITION BY user_id ORDER BY rn)""",
-    "nr0": """
-        SELECT *, row_number() OVER w AS rn, lag(coalesce(event_flag, 0), 1, 0) OVER w AS prev_flag
-        FROM ev WHERE is_current WINDOW w AS (PARTITION BY team_id, event_name ORDER BY kickoff_utc, fixture_id)""",
-    "nr1": """
-        SELECT *, sum(CASE WHEN event_flag = 1 AND prev_flag = 0 THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY team_id, event_name ORDER BY rn) AS streak_id FROM nr0""",
+    "signal_steps": """
+        SELECT *, row_number() OVER place AS rn, lag(is_error, 1, 0) OVER place AS error_before,
+               lag(is_high, 1, 0) OVER place AS high_before
+        FROM signals WINDOW place AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+    "signal_runs": """
+        SELECT *, count(*) FILTER (is_error = 1 AND error_before = 0) OVER so_far AS is_error_run,
+               count(*) FILTER (is_high = 1 AND high_before = 0) OVER so_far AS is_high_run
+        FROM signal_steps WINDOW so_far AS (PARTITION BY user_id ORDER BY rn)""",
+    "reset_steps": """
+        SELECT *, coalesce(event_flag, 0) AS f, row_number() OVER place AS rn,
+               lag(coalesce(event_flag, 0), 1, 0) OVER place AS before
+        FROM ev WHERE is_current WINDOW place AS (PARTITION BY team_id, event_name ORDER BY kickoff_utc, fixture_id)""",
+    "reset_runs": """
+        SELECT *, count(*) FILTER (f = 1 AND before = 0) OVER (PARTITION BY team_id, event_name ORDER BY rn) AS run
+        FROM reset_steps""",
 }
 
 
 def sql(body: str) -> str:
     """Prefix the CTEs a query uses, directly or through others, in definition order."""
-    import re
-
     def used(text: str) -> set[str]:
         return {n for n in CTES if re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", text)}
 
@@ -436,16 +414,15 @@ ORACLES: dict[str, str] = {
         WINDOW w AS (PARTITION BY team_id ORDER BY kickoff_utc, fixture_id)""",
     "next_event": """SELECT event_id, user_id, ts, event_type, lead(event_type) OVER w AS next_type, lead(ts) OVER w AS next_ts
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
-    "number_rows": "SELECT team_id, event_name, kickoff_utc, fixture_id, event_flag, rn FROM numbered",
-    "previous_flag": "SELECT team_id, fixture_id, event_name, streak_type, event_flag, prev_flag FROM numbered",
-    "streak_id": "SELECT team_id, fixture_id, event_name, streak_type, event_flag, streak_id FROM grouped",
+    "number_rows": "SELECT team_id, event_name, kickoff_utc, fixture_id, event_flag, rn FROM steps",
+    "previous_flag": "SELECT team_id, fixture_id, event_name, streak_type, event_flag, before AS prev_flag FROM steps",
+    "streak_id": "SELECT team_id, fixture_id, event_name, streak_type, event_flag, run AS streak_id FROM runs",
     "streak_length": "SELECT team_id, fixture_id, event_name, streak_type, event_flag, streak_length FROM st",
     "fact_team_streaks": """SELECT team_id, team_name, league_season_id, league_name, fixture_id, kickoff_utc, event_name,
         streak_type, event_flag, streak_length FROM st""",
     "null_resets_streaks": """SELECT team_id, team_name, league_season_id, league_name, fixture_id, kickoff_utc, event_name,
-        streak_type, event_flag, CASE WHEN event_flag = 1
-             THEN row_number() OVER (PARTITION BY team_id, event_name, streak_id ORDER BY rn) ELSE 0 END AS streak_length
-        FROM nr1""",
+        streak_type, event_flag, f * count(*) OVER (PARTITION BY team_id, event_name, run ORDER BY rn) AS streak_length
+        FROM reset_runs""",
     "latest_row": """SELECT team_id, event_name, kickoff_utc, fixture_id, event_flag, streak_length FROM st
         QUALIFY row_number() OVER (PARTITION BY team_id, event_name ORDER BY kickoff_utc DESC, fixture_id DESC) = 1""",
     "display_id": """SELECT *, row_number() OVER (ORDER BY team_id, league_season_id, event_name, streak_type) AS streak_id
@@ -481,19 +458,20 @@ ORACLES: dict[str, str] = {
         year(o_orderdate) || '/' || right(CAST(year(o_orderdate) + 1 AS VARCHAR), 2) AS label,
         strftime(o_orderdate, '%Y%m%d_%H%M%S') AS stamp, strftime(o_orderdate, '%Y-%m-%d') AS day,
         o_orderdate - INTERVAL 2 HOURS AS two_hours_before FROM orders""",
-    "custom_event_catalog": """WITH own_ev AS (
-            SELECT t.*, e.event_name, e.event_flag, e.streak_type FROM tf t, LATERAL (VALUES
-                ('narrow_win', CAST((fulltime_result = 'win' AND goals_for - goals_against = 1) AS INTEGER), 'result_streaks'),
-                ('away_goal', CAST((NOT is_home AND goals_for > 0) AS INTEGER), 'goal_streaks'))
-                AS e(event_name, event_flag, streak_type) WHERE is_played AND is_current),
-        own_nu AS (SELECT *, row_number() OVER w AS rn, lag(event_flag, 1, 0) OVER w AS prev FROM own_ev
-               WINDOW w AS (PARTITION BY team_id, event_name ORDER BY kickoff_utc, fixture_id)),
-        own_gr AS (SELECT *, sum(CASE WHEN event_flag = 1 AND prev = 0 THEN 1 ELSE 0 END)
-                         OVER (PARTITION BY team_id, event_name ORDER BY rn) AS run FROM own_nu),
-        own_le AS (SELECT *, CASE WHEN event_flag = 1 THEN row_number() OVER (PARTITION BY team_id, event_name, run ORDER BY rn)
-                              ELSE 0 END AS len FROM own_gr)
-        SELECT team_id, team_name, league_season_id, league_name, event_name, streak_type, len AS current_streak_length FROM own_le
-        QUALIFY row_number() OVER (PARTITION BY team_id, event_name ORDER BY rn DESC) = 1""",
+    "custom_event_catalog": """WITH own_events AS (
+            SELECT *, unnest([
+                {'event_name': 'narrow_win', 'streak_type': 'result_streaks',
+                 'flag': CAST((fulltime_result = 'win' AND goals_for - goals_against = 1) AS INTEGER)},
+                {'event_name': 'away_goal', 'streak_type': 'goal_streaks',
+                 'flag': CAST((NOT is_home AND goals_for > 0) AS INTEGER)}], recursive := true)
+            FROM tf WHERE is_played AND is_current),
+        own_steps AS (SELECT *, row_number() OVER place AS rn, lag(flag, 1, 0) OVER place AS before FROM own_events
+               WINDOW place AS (PARTITION BY team_id, event_name ORDER BY kickoff_utc, fixture_id)),
+        own_runs AS (SELECT *, count(*) FILTER (flag = 1 AND before = 0)
+                         OVER (PARTITION BY team_id, event_name ORDER BY rn) AS run FROM own_steps)
+        SELECT team_id, team_name, league_season_id, league_name, event_name, streak_type,
+               coalesce(flag, 0) * count(*) OVER (PARTITION BY team_id, event_name, run ORDER BY rn) AS current_streak_length
+        FROM own_runs QUALIFY row_number() OVER (PARTITION BY team_id, event_name ORDER BY rn DESC) = 1""",
     # I
     "stream_update_files": f"SELECT fixture_id, {flat_list}, {result_list}, created_at, updated_at FROM ({MERGED_ALL})",
     # K
@@ -587,11 +565,10 @@ for kind in ("goal_streaks", "result_streaks", "special_streaks"):
     ORACLES[f"list_{kind}"] = f"{ORACLES['list_streaks']} WHERE streak_type = '{kind}'"
 
 lengths = ", ".join(
-    f"CASE WHEN {f} = 1 THEN row_number() OVER (PARTITION BY user_id, {f}_run ORDER BY rn) ELSE 0 END AS {f}_length"
-    for f in ("is_error", "is_high")
+    f"{f} * count(*) OVER (PARTITION BY user_id, {f}_run ORDER BY rn) AS {f}_length" for f in ("is_error", "is_high")
 )
 ORACLES["run_length_streaks"] = f"""SELECT event_id, user_id, ts, event_type, value, is_error, is_high, {lengths},
-    is_error_run, is_high_run FROM signals2"""
+    is_error_run, is_high_run FROM signal_runs"""
 ORACLES["run_length_chunked"] = ORACLES["run_length_streaks"]
 ORACLES["team_running_table_crowded"] = ORACLES["team_running_table"]
 merged_list = f"""SELECT {flat_list} FROM upd UNION ALL

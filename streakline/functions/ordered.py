@@ -14,6 +14,7 @@ retried task cuts at the same places, ties in time do not matter (the order
 columns must identify a row within its key), and there are about
 ``rows / chunk_rows`` fences in all. Only fences and per-chunk carries are
 broadcast; both stay within that bound (a quarter million for 10**12 rows).
+Carries are worked out over the keys that were cut, not over the rest.
 
 ``hot`` may be passed by callers that know the answer, to save the count.
 """
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 CHUNK_ROWS = 4_000_000
 CHUNK = "_chunk"
+CUT = "_cut"  # does the row's key have fences at all?
 
 
 def has_hot_key(df: DataFrame, keys: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> bool:
@@ -40,7 +42,7 @@ def decide(df: DataFrame, keys: Sequence[str], chunk_rows: int, hot: bool | None
 
 
 def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``_chunk``: 0, 1, 2 … in order within each key."""
+    """Add ``_chunk``: 0, 1, 2 … in order within each key; and ``_cut``: has the key more than one?"""
     place = F.struct(*order)
     chance = F.pmod(F.xxhash64(*keys, *order), F.lit(chunk_rows))
     fences = (
@@ -63,7 +65,7 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_
     found = F.aggregate(halvings, whole, halve, lambda span: span["low"])
     return (
         _attach(df, fences, keys)
-        .withColumn(CHUNK, F.when(fence_list.isNull(), F.lit(0)).otherwise(found))
+        .withColumns({CHUNK: F.when(fence_list.isNull(), F.lit(0)).otherwise(found), CUT: fence_list.isNotNull()})
         .drop("_fences")
     )
 
@@ -96,7 +98,7 @@ def row_numbers(
         return df.withColumn(name, F.row_number().over(window).cast("bigint"))
 
     pieces = with_chunks(df, keys, order, chunk_rows)
-    sizes = pieces.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = pieces.where(CUT).groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         sizes.withColumn("_before", F.sum("_rows").over(earlier))
@@ -107,7 +109,7 @@ def row_numbers(
     return (
         attach_carry(pieces, carry, keys)
         .withColumn(name, local + F.coalesce("_before", F.lit(0).cast("bigint")))
-        .drop(CHUNK, "_before")
+        .drop(CHUNK, CUT, "_before")
     )
 
 
@@ -142,7 +144,7 @@ def _neighbour_values(
     wanted, place = F.struct(*values.values()), F.struct(*order)
     pieces = with_chunks(df, keys, order, chunk_rows)
     edge = (F.min_by if ahead else F.max_by)(wanted, place)
-    edges = pieces.groupBy(*keys, CHUNK).agg(edge.alias("_edge"))
+    edges = pieces.where(CUT).groupBy(*keys, CHUNK).agg(edge.alias("_edge"))
     carry = (
         edges.withColumn("_beyond", shift("_edge").over(Window.partitionBy(*keys).orderBy(CHUNK)))
         .where(F.col("_beyond").isNotNull())
@@ -153,7 +155,7 @@ def _neighbour_values(
     found = F.coalesce("_local", "_beyond")
     return out.withColumns(
         {new: F.when(found.isNotNull(), found[old]).otherwise(F.lit(default)) for new, old in values.items()}
-    ).drop(CHUNK, "_local", "_beyond")
+    ).drop(CHUNK, CUT, "_local", "_beyond")
 
 
 def number_all(

@@ -9,8 +9,8 @@ BROADCAST_ROWS = 200_000
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counting stops just past ``max_rows``, so a large table costs little."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Has ``df`` at most ``max_rows`` rows? A distributed count; for stored tables it reads footers only."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

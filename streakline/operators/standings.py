@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from streakline.functions.ordered import CHUNK_ROWS, row_numbers
 from streakline.functions.scalars import half_up_hundredths
 from streakline.functions.sizing import broadcast_if_small
+from streakline.session import stage
 
 SEASON_KEY = ["league_id", "season"]
 TEAM_SEASON_KEY = ["league_id", "season", "team_id"]
@@ -172,6 +173,9 @@ def team_running_table(
     """The whole chain from dated team rows to ranked running totals."""
     if crowded is None:
         crowded = is_crowded(rows, chunk_rows)
-    numbered = matchdays(rows, chunk_rows, crowded)
-    ranked = positions(tie_breaker(rates(running_totals(numbered, crowded))), crowded)
+    # The crowded forms read their input more than once: give them stored rows.
+    keep = stage if crowded else lambda df: df
+    numbered = keep(matchdays(keep(rows), chunk_rows, crowded))
+    scored = keep(tie_breaker(rates(running_totals(numbered, crowded))))
+    ranked = positions(scored, crowded)
     return ranked.select("fixture_id", *COLUMNS)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from streakline.functions.ordered import (
     CHUNK,
     CHUNK_ROWS,
+    CUT,
     attach_carry,
     decide,
     with_chunks,
@@ -97,8 +98,7 @@ def _chunked_run_lengths(pieces, keys, order, flags, null_resets, with_ids) -> D
     for f in flags:
         now = _effective(f, null_resets)
         first_pass[f"_s_{f}"] = (now == 1) & (F.lag(now).over(ordered) == 0)
-    marked = pieces.withColumns(first_pass)
-    local = marked.withColumns(
+    local = pieces.withColumns(first_pass).withColumns(
         {
             **{f"_l_{f}": F.max(F.when(F.col(f"_s_{f}"), F.col("_row"))).over(so_far) for f in flags},
             **(
@@ -109,9 +109,9 @@ def _chunked_run_lengths(pieces, keys, order, flags, null_resets, with_ids) -> D
         }
     )
 
-    # One row per chunk, then from chunk to chunk.
+    # One row per chunk of the keys that were cut, then from chunk to chunk.
     place = F.struct(*order)
-    summary = marked.groupBy(*keys, CHUNK).agg(
+    summary = pieces.where(CUT).withColumns(first_pass).groupBy(*keys, CHUNK).agg(
         F.count(F.lit(1)).alias("_rows"),
         *[
             column
@@ -185,7 +185,7 @@ def _chunked_run_lengths(pieces, keys, order, flags, null_resets, with_ids) -> D
             opening = F.first(_effective(f, null_resets)).over(so_far)
             base = F.coalesce(F.col(f"_runs_{f}"), F.coalesce(opening == 1, F.lit(False)).cast("bigint"))
             out[f"{f}_run"] = F.col(f"_n_{f}") + base
-    shown = [c for c in pieces.columns if c != CHUNK]
+    shown = [c for c in pieces.columns if c not in (CHUNK, CUT)]
     return joined.select(*shown, *[column.alias(name) for name, column in out.items()])
 
 

@@ -8,9 +8,11 @@ whole one in place.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streakline.operators import clean, dims, facts, merge, standings, streaks
 from streakline.plans import marts
+from streakline.schemas import PLAYED_STATUS
 from streakline.sources.snapshots import latest_snapshot, read_version, write_snapshot, write_version
 from streakline.sources.tables import materialize, source_path, source_table
 
@@ -47,7 +49,11 @@ def apply_played_updates(spark: SparkSession, root: str, stamp: str, now=None) -
     snapshots = f"{root}/snapshots"
     updates = latest_snapshot(spark, snapshots, "update")
     base = latest_snapshot(spark, snapshots, "full")
-    changed = merge.only_known_ids(updates, merge.changed_ids(base, updates))
+    listed = merge.only_known_ids(updates, merge.changed_ids(base, updates))
+    # Should the feed list a fixture twice, the finished record counts, then the later kickoff.
+    finished = listed.withColumn("_finished", F.col("fixture_status") == PLAYED_STATUS)
+    order = ["_finished", "kickoff_utc", "home_team_fulltime_goal", "away_team_fulltime_goal"]
+    changed = merge.keep_last_per_key([finished], merge.FIXTURE_KEY, order).select(*listed.columns)
     # Written first: the count, the table and both snapshots read the same stored rows.
     applied = write_version(changed, f"{root}/staging/changed_fixtures", stamp)
     n = applied.count()
@@ -55,7 +61,8 @@ def apply_played_updates(spark: SparkSession, root: str, stamp: str, now=None) -
         return 0
     raw = source_table(spark, root, RAW)
     write_version(merge.coalesce_update(raw, applied, now=now), source_path(root, RAW), stamp)
-    write_snapshot(merge.keep_last_per_key([base, applied], merge.FIXTURE_KEY), snapshots, "full", stamp)
+    # Both sides hold each id once, so replacing is keep-last without regrouping the whole base.
+    write_snapshot(merge.replace_by_key(base, applied, merge.FIXTURE_KEY), snapshots, "full", stamp)
     write_snapshot(applied, snapshots, "update", stamp)
     return n
 
