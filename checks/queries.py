@@ -85,6 +85,11 @@ def at_most(spark, sf, name, factor=1):
     return {"hot": False} if rows <= CHUNK_ROWS else {}
 
 
+def small_chunks(spark, sf, name):
+    """A chunk size that cuts test tables into some 30 chunks, and huge ones as usual."""
+    return max(1, min(CHUNK_ROWS, tb.table(spark, sf, name).count() // 32))
+
+
 def team_hot(spark, sf):
     return at_most(spark, sf, "orders", 2)
 
@@ -621,8 +626,9 @@ def run_length_chunked(spark, sf):
     """The same through the path for keys too long for one task."""
     rows = tb.table(spark, sf, "events").selectExpr("event_id", "user_id", "ts", "event_type", "value")
     flags = {"is_error": F.expr("cast(event_type = 'error' as int)"), "is_high": F.expr("cast(value > 10 as int)")}
+    size = small_chunks(spark, sf, "events")
     return streaks.run_lengths(
-        rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True, chunk_rows=64, hot=True
+        rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True, chunk_rows=size, hot=True
     )
 
 
@@ -707,7 +713,8 @@ def team_running_table(spark, sf):
 def team_running_table_crowded(spark, sf):
     """The same through the path for over-long seasons and over-wide leagues."""
     rows = standings_rows(spark, sf)
-    return iso(standings.team_running_table(rows, chunk_rows=16, crowded=True), "date")
+    size = small_chunks(spark, sf, "orders")
+    return iso(standings.team_running_table(rows, chunk_rows=size, crowded=True), "date")
 
 
 # --- F. Sorts, limits, top-k; G. set operations ----------------------------------------------------------
@@ -742,7 +749,7 @@ def page_batches(spark, sf):
 def number_all_rows(spark, sf):
     """Global numbering, here cut into chunks as for a very large table."""
     orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return number_all(orders, ["o_orderdate", "o_orderkey"], "nr", chunk_rows=512)
+    return number_all(orders, ["o_orderdate", "o_orderkey"], "nr", chunk_rows=small_chunks(spark, sf, "orders"))
 
 
 @query

@@ -3,85 +3,97 @@
 A window puts all rows of its key into one task. That is the best plan as long
 as no key is huge, and the wrong one otherwise. So every function here
 
-1. counts rows per key once (``has_hot_key``; a small pre-aggregated job), and
-2. uses the plain window if no key exceeds ``chunk_rows``, or
-3. cuts each key into consecutive chunks of about ``chunk_rows`` rows, works per
-   (key, chunk), and carries a few values per chunk from one chunk to the next.
-
-Chunks are cut at *fences*: rows whose hash is 0 modulo ``chunk_rows``. Whether
-a row is a fence depends on the row alone, so every branch of a plan and every
-retried task cuts at the same places, ties in time do not matter (the order
-columns must identify a row within its key), and there are about
-``rows / chunk_rows`` fences in all. Only fences and per-chunk carries are
-broadcast; both stay within that bound (a quarter million for 10**12 rows).
-Carries are worked out over the keys that were cut, not over the rest.
-
-``hot`` may be passed by callers that know the answer, to save the count.
+1. counts rows per key once (pre-aggregated before the shuffle) and keeps the
+   keys with more than ``chunk_rows`` rows, of which there are at most
+   ``rows / chunk_rows``;
+2. uses plain windows for the rows of all other keys; and
+3. range-partitions the rows of the hot keys by key and order into chunks of
+   about ``chunk_rows`` rows, works per (key, chunk), and carries a few values
+   per chunk from one chunk to the next.
+
+Range partitioning samples the full sort key, so neither a hot key nor a crowd
+of equal times makes a chunk too big; the order columns must identify a row
+within its key. The cut rows are stored with their chunk numbers, so every
+reader and every retried task sees the same cuts. Only the hot-key list and the
+carries are broadcast; both have at most about ``rows / chunk_rows`` rows.
+
+``hot`` saves the count where the answer is known: ``False`` for no hot key,
+``True`` to cut all keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streakline.session import stage
+
 CHUNK_ROWS = 4_000_000
 CHUNK = "_chunk"
-CUT = "_cut"  # does the row's key have fences at all?
 
+Step = Callable[[DataFrame], DataFrame]
 
-def has_hot_key(df: DataFrame, keys: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> bool:
-    """Does any key own more than ``chunk_rows`` rows?"""
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"))
-    return (largest.first()[0] or 0) > chunk_rows
 
+def hot_keys(df: DataFrame, keys: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Keys with more than ``chunk_rows`` rows, and how many each has; stored."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return stage(counts.where(F.col("rows") > chunk_rows))
 
-def decide(df: DataFrame, keys: Sequence[str], chunk_rows: int, hot: bool | None) -> bool:
-    return has_hot_key(df, keys, chunk_rows) if hot is None else hot
 
+def _same(keys: Sequence[str]) -> Column:
+    """Equality with a renamed bounded side; NULL keys match too."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
+    return same
 
-def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Add ``_chunk``: 0, 1, 2 … in order within each key; and ``_cut``: has the key more than one?"""
-    place = F.struct(*order)
-    chance = F.pmod(F.xxhash64(*keys, *order), F.lit(chunk_rows))
-    fences = (
-        df.where(chance == 0)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(place)).alias("_fences"))
-    )
-    # Number of fences at or before this row, by halving.
-    fence_list = F.col("_fences")
-    halvings = F.sequence(F.lit(1), F.ceil(F.log2(F.size(fence_list) + F.lit(1))).cast("int"))
 
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.shiftright(span["low"] + span["high"], 1)
-        return F.when(
-            F.get(fence_list, middle) <= place,
-            F.struct((middle + 1).alias("low"), span["high"].alias("high")),
-        ).otherwise(F.struct(span["low"].alias("low"), middle.alias("high")))
+def _bounded_join(df: DataFrame, bounded: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join with a side of at most about one row per chunk."""
+    renamed = bounded.withColumnsRenamed({k: f"_at_{k}" for k in keys})
+    joined = df.join(F.broadcast(renamed), _same(keys), how)
+    return joined.drop(*[f"_at_{k}" for k in keys])
 
-    whole = F.struct(F.lit(0).alias("low"), F.size(fence_list).alias("high"))
-    found = F.aggregate(halvings, whole, halve, lambda span: span["low"])
-    return (
-        _attach(df, fences, keys)
-        .withColumns({CHUNK: F.when(fence_list.isNull(), F.lit(0)).otherwise(found), CUT: fence_list.isNotNull()})
-        .drop("_fences")
-    )
 
+def cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int) -> DataFrame:
+    """``df`` with ``_chunk``, ascending in key and order; stored."""
+    ranged = df.repartitionByRange(max(chunks, 1), *keys, *order)
+    return stage(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
-def attach_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring the per-chunk values of ``carry`` (one row per fence at most) to the rows."""
-    return _attach(df, carry, [*keys, CHUNK])
 
+def per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    whole: Step,
+    in_chunks: Step,
+    chunk_rows: int = CHUNK_ROWS,
+    hot: bool | None = None,
+) -> DataFrame:
+    """``whole`` on the rows of ordinary keys, ``in_chunks`` on the cut rows of hot ones."""
+    if hot is False:
+        return whole(df)
+    if hot is True:
+        return in_chunks(cut(df, keys, order, math.ceil(df.count() / chunk_rows)))
+    found = hot_keys(df, keys, chunk_rows)
+    rows = found.agg(F.sum("rows")).first()[0]
+    if not rows:
+        return whole(df)
+    listed = found.select(*keys)
+    ordinary = _bounded_join(df, listed, keys, "left_anti")
+    crowded = cut(_bounded_join(df, listed, keys, "left_semi"), keys, order, math.ceil(rows / chunk_rows))
+    return whole(ordinary).unionByName(in_chunks(crowded))
 
-def _attach(df: DataFrame, bounded: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join with a side bounded by the number of fences; NULL keys match too."""
-    renamed = bounded.withColumnsRenamed({k: f"_at_{k}" for k in keys})
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_at_{k}"))
-    return df.join(F.broadcast(renamed), same, "left").drop(*[f"_at_{k}" for k in keys])
+
+def attach_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bring the per-chunk values of ``carry`` to the rows.
+
+    ``carry`` has rows only for chunks that continue a key, so at most one per chunk.
+    """
+    return _bounded_join(df, carry, [*keys, CHUNK], "left")
 
 
 def row_numbers(
@@ -93,24 +105,27 @@ def row_numbers(
     hot: bool | None = None,
 ) -> DataFrame:
     """``row_number()`` per key; ``order`` must identify a row within its key."""
-    if not decide(df, keys, chunk_rows, hot):
+
+    def whole(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
-    pieces = with_chunks(df, keys, order, chunk_rows)
-    sizes = pieces.where(CUT).groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        sizes.withColumn("_before", F.sum("_rows").over(earlier))
-        .where(F.col("_before").isNotNull())
-        .select(*keys, CHUNK, "_before")
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*order))
-    return (
-        attach_carry(pieces, carry, keys)
-        .withColumn(name, local + F.coalesce("_before", F.lit(0).cast("bigint")))
-        .drop(CHUNK, CUT, "_before")
-    )
+        return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+
+    def in_chunks(pieces: DataFrame) -> DataFrame:
+        sizes = pieces.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("_rows"))
+        earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        carry = (
+            sizes.withColumn("_before", F.sum("_rows").over(earlier))
+            .where(F.col("_before").isNotNull())
+            .select(*keys, CHUNK, "_before")
+        )
+        local = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(*order))
+        return (
+            attach_carry(pieces.withColumn("_local", local), carry, keys)
+            .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0).cast("bigint")))
+            .drop(CHUNK, "_local", "_before")
+        )
+
+    return per_key(df, keys, order, whole, in_chunks, chunk_rows, hot)
 
 
 def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], **options) -> DataFrame:
@@ -137,25 +152,28 @@ def _neighbour_values(
     hot: bool | None = None,
 ) -> DataFrame:
     shift = F.lead if ahead else F.lag
-    if not decide(df, keys, chunk_rows, hot):
+
+    def whole(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({new: shift(old, 1, default).over(window) for new, old in values.items()})
-
-    wanted, place = F.struct(*values.values()), F.struct(*order)
-    pieces = with_chunks(df, keys, order, chunk_rows)
-    edge = (F.min_by if ahead else F.max_by)(wanted, place)
-    edges = pieces.where(CUT).groupBy(*keys, CHUNK).agg(edge.alias("_edge"))
-    carry = (
-        edges.withColumn("_beyond", shift("_edge").over(Window.partitionBy(*keys).orderBy(CHUNK)))
-        .where(F.col("_beyond").isNotNull())
-        .select(*keys, CHUNK, "_beyond")
-    )
-    local = shift(wanted).over(Window.partitionBy(*keys, CHUNK).orderBy(*order))
-    out = attach_carry(pieces.withColumn("_local", local), carry, keys)
-    found = F.coalesce("_local", "_beyond")
-    return out.withColumns(
-        {new: F.when(found.isNotNull(), found[old]).otherwise(F.lit(default)) for new, old in values.items()}
-    ).drop(CHUNK, CUT, "_local", "_beyond")
+        return rows.withColumns({new: shift(old, 1, default).over(window) for new, old in values.items()})
+
+    def in_chunks(pieces: DataFrame) -> DataFrame:
+        wanted, place = F.struct(*values.values()), F.struct(*order)
+        edge = (F.min_by if ahead else F.max_by)(wanted, place)
+        edges = pieces.groupBy(*keys, CHUNK).agg(edge.alias("_edge"))
+        carry = (
+            edges.withColumn("_beyond", shift("_edge").over(Window.partitionBy(*keys).orderBy(CHUNK)))
+            .where(F.col("_beyond").isNotNull())
+            .select(*keys, CHUNK, "_beyond")
+        )
+        local = shift(wanted).over(Window.partitionBy(*keys, CHUNK).orderBy(*order))
+        out = attach_carry(pieces.withColumn("_local", local), carry, keys)
+        found = F.coalesce("_local", "_beyond")
+        return out.withColumns(
+            {new: F.when(found.isNotNull(), found[old]).otherwise(F.lit(default)) for new, old in values.items()}
+        ).drop(CHUNK, "_local", "_beyond")
+
+    return per_key(df, keys, order, whole, in_chunks, chunk_rows, hot)
 
 
 def number_all(
@@ -164,15 +182,12 @@ def number_all(
     name: str,
     start: int = 1,
     chunk_rows: int = CHUNK_ROWS,
-    hot: bool | None = None,
 ) -> DataFrame:
     """Number a whole table from ``start`` in the stated order.
 
-    ``df`` is read more than once (to count it and to number it): pass a stored
-    or staged table.
+    ``df`` is counted first and then numbered: pass a stored or staged table.
+    Up to ``chunk_rows`` rows go through one task, more are cut into chunks.
     """
     grouped = df.withColumn("_all", F.lit(0))
-    if hot is None:
-        hot = df.count() > chunk_rows
-    numbered = row_numbers(grouped, ["_all"], order, name, chunk_rows, hot)
+    numbered = row_numbers(grouped, ["_all"], order, name, chunk_rows, hot=df.count() > chunk_rows)
     return numbered.withColumn(name, F.col(name) + F.lit(start - 1)).drop("_all")

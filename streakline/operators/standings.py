@@ -175,7 +175,7 @@ def team_running_table(
         crowded = is_crowded(rows, chunk_rows)
     # The crowded forms read their input more than once: give them stored rows.
     keep = stage if crowded else lambda df: df
-    numbered = keep(matchdays(keep(rows), chunk_rows, crowded))
+    numbered = keep(matchdays(keep(rows), chunk_rows, None if crowded else False))
     scored = keep(tie_breaker(rates(running_totals(numbered, crowded))))
     ranked = positions(scored, crowded)
     return ranked.select("fixture_id", *COLUMNS)

@@ -19,17 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streakline.functions.ordered import (
-    CHUNK,
-    CHUNK_ROWS,
-    CUT,
-    attach_carry,
-    decide,
-    with_chunks,
-)
+from streakline.functions.ordered import CHUNK, CHUNK_ROWS, attach_carry, per_key
 from streakline.operators.facts import (
     FIXTURE_ORDER,
     TEAM_KEY,
@@ -39,10 +32,6 @@ from streakline.operators.facts import (
 from streakline.schemas import EVENT_CATALOG, Event
 
 
-def _effective(flag: str, null_resets: bool) -> Column:
-    return F.coalesce(flag, F.lit(0)) if null_resets else F.col(flag)
-
-
 def run_lengths(
     df: DataFrame,
     keys: Sequence[str],
@@ -61,15 +50,20 @@ def run_lengths(
     are made of. ``order`` must identify a row within its key.
     """
     made = flags if isinstance(flags, dict) else {}
-    flags = list(flags)
-    if decide(df, keys, chunk_rows, hot):
-        pieces = with_chunks(df, keys, order, chunk_rows)
-        if made:
-            pieces = pieces.repartition(*keys, CHUNK).withColumns(made)
-        return _chunked_run_lengths(pieces, keys, order, flags, null_resets, with_ids)
-    if made:
-        df = df.repartition(*keys).withColumns(made)
+    rules = (keys, order, list(flags), null_resets, with_ids)
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return _whole_runs(rows.repartition(*keys).withColumns(made) if made else rows, *rules)
 
+    def in_chunks(pieces: DataFrame) -> DataFrame:
+        ready = pieces.repartition(*keys, CHUNK).withColumns(made) if made else pieces
+        return _chunked_runs(ready, *rules)
+
+    return per_key(df, keys, order, whole, in_chunks, chunk_rows, hot)
+
+
+def _whole_runs(df: DataFrame, keys, order, flags, null_resets, with_ids) -> DataFrame:
+    """Each key in one window: one sort serves all flags."""
     # As SQL text: one parsed expression per column keeps plan building quick
     # when many flags are handled at once.
     ordered = f"partition by {', '.join(keys)} order by {', '.join(order)}"
@@ -88,105 +82,88 @@ def run_lengths(
     return marked.selectExpr(*df.columns, *lengths, *numbers)
 
 
-def _chunked_run_lengths(pieces, keys, order, flags, null_resets, with_ids) -> DataFrame:
-    """The same per chunk, with row count, open run and run number carried along."""
-    ordered = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _chunked_runs(pieces: DataFrame, keys, order, flags, null_resets, with_ids) -> DataFrame:
+    """Each chunk in one window, with row count, open run and run number carried along."""
+    ordered = f"partition by {', '.join(keys)}, {CHUNK} order by {', '.join(order)}"
+    so_far = f"{ordered} rows between unbounded preceding and current row"
+    now = {f: f"coalesce({f}, 0)" if null_resets else f for f in flags}
 
     # Within a chunk: starts that need no knowledge of the chunk before.
-    first_pass = {"_row": F.row_number().over(ordered).cast("bigint")}
-    for f in flags:
-        now = _effective(f, null_resets)
-        first_pass[f"_s_{f}"] = (now == 1) & (F.lag(now).over(ordered) == 0)
-    local = pieces.withColumns(first_pass).withColumns(
-        {
-            **{f"_l_{f}": F.max(F.when(F.col(f"_s_{f}"), F.col("_row"))).over(so_far) for f in flags},
-            **(
-                {f"_n_{f}": F.sum(F.when(F.col(f"_s_{f}"), 1).otherwise(0)).over(so_far) for f in flags}
-                if with_ids
-                else {}
-            ),
-        }
+    marked = pieces.selectExpr(
+        "*",
+        f"cast(row_number() over ({ordered}) as bigint) as _row",
+        *[f"{now[f]} = 1 and lag({now[f]}) over ({ordered}) = 0 as _s_{f}" for f in flags],
+    )
+    local = marked.selectExpr(
+        *pieces.columns,
+        "_row",
+        *[f"max(if(_s_{f}, _row, null)) over ({so_far}) as _start_{f}" for f in flags],
+        *([f"sum(if(_s_{f}, 1, 0)) over ({so_far}) as _starts_{f}" for f in flags] if with_ids else []),
+        *([f"first({now[f]}) over ({so_far}) as _opening_{f}" for f in flags] if with_ids else []),
     )
 
-    # One row per chunk of the keys that were cut, then from chunk to chunk.
-    place = F.struct(*order)
-    summary = pieces.where(CUT).withColumns(first_pass).groupBy(*keys, CHUNK).agg(
-        F.count(F.lit(1)).alias("_rows"),
+    # One row per chunk, then from chunk to chunk.
+    place = f"struct({', '.join(order)})"
+    per_flag = {
+        "first": "min_by({now}, {place})",
+        "last": "max_by({now}, {place})",
+        "start": "max(if(_s_{f}, _row, null))",
+        "starts": "count_if(_s_{f})",
+    }
+    summary = marked.groupBy(*keys, CHUNK).agg(
+        F.expr("count(1) as _rows"),
         *[
-            column
+            F.expr(f"{text.format(f=f, now=now[f], place=place)} as _{name}_{f}")
             for f in flags
-            for column in (
-                F.min_by(_effective(f, null_resets), place).alias(f"_first_{f}"),
-                F.max_by(_effective(f, null_resets), place).alias(f"_last_{f}"),
-                F.max(F.when(F.col(f"_s_{f}"), F.col("_row"))).alias(f"_open_{f}"),
-                F.count_if(F.col(f"_s_{f}")).alias(f"_count_{f}"),
-            )
+            for name, text in per_flag.items()
         ],
     )
-    chunks = Window.partitionBy(*keys).orderBy(CHUNK)
-    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
-    carry = summary.withColumns(
-        {
-            "_before": F.coalesce(F.sum("_rows").over(earlier), zero),
-            **{
-                # Does the chunk's first row start a run, given how the last chunk ended?
-                f"_begins_{f}": F.coalesce(
-                    (F.col(f"_first_{f}") == 1) & F.lag(F.col(f"_last_{f}") == 0, 1, True).over(chunks),
-                    F.lit(False),
-                )
-                for f in flags
-            },
-        }
+    chunks = f"partition by {', '.join(keys)} order by {CHUNK}"
+    earlier = f"{chunks} rows between unbounded preceding and 1 preceding"
+    # Does the chunk's first row start a run, given how the chunk before ended?
+    linked = summary.selectExpr(
+        "*",
+        f"sum(_rows) over ({earlier}) as _before",
+        *[
+            f"coalesce(_first_{f} = 1 and lag(_last_{f} = 0, 1, true) over ({chunks}), false) as _begins_{f}"
+            for f in flags
+        ],
     )
-    carry = carry.withColumns(
-        {
-            f"_latest_{f}": F.coalesce(
-                F.col("_before") + F.col(f"_open_{f}"),
-                F.when(F.col(f"_begins_{f}"), F.col("_before") + 1),
-            )
+    # The latest start known at the chunk's end, counted from the key's first row.
+    placed = linked.selectExpr(
+        "*",
+        *[
+            f"coalesce(coalesce(_before, 0L) + _start_{f}, if(_begins_{f}, coalesce(_before, 0L) + 1, null)) as _latest_{f}"
             for f in flags
-        }
-    ).withColumns(
-        {
-            # Where the run open at the chunk's first row started, and runs begun by then.
-            **{
-                f"_base_{f}": F.coalesce(
-                    F.when(F.col(f"_begins_{f}"), F.col("_before") + 1),
-                    F.max(f"_latest_{f}").over(earlier),
-                    zero + 1,
-                )
-                for f in flags
-            },
-            **{
-                f"_runs_{f}": F.coalesce(
-                    F.sum(F.col(f"_count_{f}") + F.col(f"_begins_{f}").cast("int")).over(earlier), zero
-                )
-                + F.col(f"_begins_{f}").cast("int")
-                for f in flags
-            },
-        }
+        ],
     )
-    carried = ["_before", *[f"_base_{f}" for f in flags], *([f"_runs_{f}" for f in flags] if with_ids else [])]
-    # Chunk 0 needs no carry except whether its first row starts a run, which its
-    # own flags tell; so at most one row per fence is broadcast.
-    later = carry.where(F.col(CHUNK) > 0).select(*keys, CHUNK, *carried)
-    joined = attach_carry(local, later, keys)
-
-    before = F.coalesce("_before", zero)
-    out = {}
-    for f in flags:
-        started = F.coalesce(before + F.col(f"_l_{f}"), F.col(f"_base_{f}"), zero + 1)
-        length = before + F.col("_row") - started + 1
-        out[f"{f}_length"] = F.when(F.col(f) == 1, length).otherwise(zero)
-        if with_ids:
-            # In chunk 0 the first row's own start is not among the local ones.
-            opening = F.first(_effective(f, null_resets)).over(so_far)
-            base = F.coalesce(F.col(f"_runs_{f}"), F.coalesce(opening == 1, F.lit(False)).cast("bigint"))
-            out[f"{f}_run"] = F.col(f"_n_{f}") + base
-    shown = [c for c in pieces.columns if c not in (CHUNK, CUT)]
-    return joined.select(*shown, *[column.alias(name) for name, column in out.items()])
+    carry = placed.selectExpr(
+        *keys,
+        CHUNK,
+        "_before",
+        # Where the run open at the chunk's first row started, and how many runs began by then.
+        *[
+            f"coalesce(if(_begins_{f}, _before + 1, null), max(_latest_{f}) over ({earlier}), 1L) as _base_{f}"
+            for f in flags
+        ],
+        *[
+            f"sum(_starts_{f} + int(_begins_{f})) over ({earlier}) + int(_begins_{f}) as _runs_{f}"
+            for f in flags
+            if with_ids
+        ],
+    ).where("_before is not null")
+
+    joined = attach_carry(local, carry, keys)
+    lengths = [
+        f"""if({f} = 1, coalesce(_before, 0L) + _row + 1
+                - coalesce(coalesce(_before, 0L) + _start_{f}, _base_{f}, 1L), 0L) as {f}_length"""
+        for f in flags
+    ]
+    # In a key's first chunk the first row's own start is not among the local ones.
+    numbers = [
+        f"_starts_{f} + coalesce(_runs_{f}, if(_opening_{f} = 1, 1L, 0L)) as {f}_run" for f in flags if with_ids
+    ]
+    return joined.selectExpr(*[c for c in pieces.columns if c != CHUNK], *lengths, *numbers)
 
 
 # --- Fixture events -------------------------------------------------------------------

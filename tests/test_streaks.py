@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from streakline.functions.ordered import has_hot_key, next_values, number_all, previous_values, row_numbers, with_chunks
+from streakline.functions.ordered import CHUNK, cut, hot_keys, next_values, number_all, previous_values, row_numbers
 from streakline.operators.streaks import latest_per_key, run_lengths
 
 CASES = [
@@ -63,30 +63,37 @@ def skewed_sequences(seed):
     return {"hot": pick(600, 0.8), "all": [1] * 90, "none": [0] * 40, None: pick(70, 0.5), **{f"k{i}": pick(i, 0.6) for i in range(1, 12)}}
 
 
-@pytest.mark.parametrize("chunk_rows", [1, 3, 20, 1000])
-def test_chunked_equals_brute_force(spark, chunk_rows):
+@pytest.mark.parametrize("chunk_rows, hot", [(8, True), (8, None), (40, True), (40, None), (1000, True), (1000, None), (8, False)])
+def test_against_brute_force(spark, chunk_rows, hot):
     sequences = skewed_sequences(chunk_rows)
     df = frame(spark, sequences).withColumnRenamed("b", "other").selectExpr("*", "1 - other as b")
-    for hot in (True, False):
-        done = run_lengths(df, ["k"], ["t", "id"], ["a", "b"], with_ids=True, hot=hot, chunk_rows=chunk_rows)
-        got = found(done, "a_length", "a_run", "b_length", "b_run")
-        for k, flags in sequences.items():
-            opposite = [None if f is None else 1 - f for f in flags]
-            assert got[k] == list(zip(*brute(flags), *brute(opposite))), (k, hot)
+    done = run_lengths(df, ["k"], ["t", "id"], ["a", "b"], with_ids=True, hot=hot, chunk_rows=chunk_rows)
+    got = found(done, "a_length", "a_run", "b_length", "b_run")
+    for k, flags in sequences.items():
+        opposite = [None if f is None else 1 - f for f in flags]
+        assert got[k] == list(zip(*brute(flags), *brute(opposite))), k
+
+
+def test_chunks_are_in_order_and_even(spark):
+    df = cut(frame(spark, skewed_sequences(5)), ["k"], ["t", "id"], 40)
+    chunks = [c for (c,) in found(df, CHUNK)["hot"]]
+    assert chunks == sorted(chunks) and len(set(chunks)) > 20
+    total = sum(map(len, skewed_sequences(5).values()))
+    assert df.count() == total
+    assert max(r["count"] for r in df.groupBy(CHUNK).count().collect()) < total / 10
 
 
-def test_chunks_are_in_order_and_split_the_hot_key(spark):
-    df = with_chunks(frame(spark, skewed_sequences(5)), ["k"], ["t", "id"], 20)
-    chunks = [c for (c,) in found(df, "_chunk")["hot"]]
-    assert chunks == sorted(chunks) and len(set(chunks)) > 10
-    assert df.count() == sum(map(len, skewed_sequences(5).values()))
+def test_one_time_for_all_rows_is_cut_too(spark):
+    df = frame(spark, {"x": [1] * 400}).selectExpr("k", "0 as t", "id", "a")
+    done = run_lengths(df, ["k"], ["t", "id"], ["a"], hot=None, chunk_rows=20)
+    assert [v for (v,) in found(done, "a_length")["x"]] == list(range(1, 401))
 
 
-@pytest.mark.parametrize("chunk_rows", [2, 25])
-def test_numbers_and_neighbours(spark, chunk_rows):
+@pytest.mark.parametrize("chunk_rows, hot", [(10, True), (50, None)])
+def test_numbers_and_neighbours(spark, chunk_rows, hot):
     sequences = skewed_sequences(9)
     df = frame(spark, sequences)
-    options = {"hot": True, "chunk_rows": chunk_rows}
+    options = {"hot": hot, "chunk_rows": chunk_rows}
     order = ["t", "id"]
     numbered = found(row_numbers(df, ["k"], order, "rn", **options), "rn")
     ahead = found(next_values(df, ["k"], order, {"na": "a", "nid": "id"}, **options), "na", "nid")
@@ -106,10 +113,10 @@ def test_number_all(spark):
         assert sorted((r.place, r.nr) for r in rows) == [(i, i + 1) for i in range(500)]
 
 
-def test_has_hot_key(spark):
-    df = frame(spark, {"a": [1] * 10, "b": [1]})
-    assert has_hot_key(df, ["k"], 9) and not has_hot_key(df, ["k"], 10)
-    assert not has_hot_key(df.limit(0), ["k"], 1)
+def test_hot_keys(spark):
+    df = frame(spark, {"a": [1] * 10, "b": [1], None: [1] * 12})
+    assert {(r.k, r.rows) for r in hot_keys(df, ["k"], 9).collect()} == {("a", 10), (None, 12)}
+    assert hot_keys(df, ["k"], 12).isEmpty() and hot_keys(df.limit(0), ["k"], 1).isEmpty()
 
 
 def test_latest_per_key(spark):
