@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from streakline import testbed as tb
 from streakline.functions.ordered import CHUNK_ROWS, next_values, number_all, previous_values, row_numbers
-from streakline.functions.scalars import season_label, slugify, title_case
+from streakline.functions.scalars import as_time, run_stamp, season_label, slugify, title_case
 from streakline.operators import clean, dims, facts, merge, quality, standings, streaks
 from streakline.plans import jobs, marts, worklists
 from streakline.schemas import EVENT_CATALOG, Event
@@ -46,7 +46,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 def iso(df: DataFrame, *columns: str) -> DataFrame:
     """Dates as ISO text."""
-    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in columns})
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 # --- Shared inputs ---------------------------------------------------------------------
@@ -370,7 +370,7 @@ def season_rows(spark, sf):
     orders = tb.table(spark, sf, "orders").selectExpr(
         "o_orderkey",
         "if(o_orderstatus = 'P', 'soon', cast(year(o_orderdate) as string)) as year",
-        "date_format(o_orderdate, 'yyyy-MM-dd') as start",
+        "cast(cast(o_orderdate as date) as string) as start",
         "cast(null as string) as end",
     )
     return iso(dims.season_rows(orders, min_season=1999), "start_date", "end_date")
@@ -779,8 +779,8 @@ def scalar_functions(spark, sf):
         slugify(F.concat_ws(" & ", "o_orderpriority", F.lit("São Café"), "o_orderstatus")).alias("slug"),
         title_case(F.concat(F.lower("o_orderpriority"), F.lit(" saint-étienne fc"))).alias("title"),
         season_label(F.year("o_orderdate")).alias("label"),
-        F.date_format("o_orderdate", "yyyyMMdd_HHmmss").alias("stamp"),
-        F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("day"),
+        run_stamp(F.col("o_orderdate")).alias("stamp"),
+        F.to_date("o_orderdate").cast("string").alias("day"),
         (F.col("o_orderdate") - F.expr("INTERVAL 2 HOURS")).alias("two_hours_before"),
     )
 
@@ -845,7 +845,7 @@ def team_feed(spark, sf):
 
 def stamped_teams(spark, sf):
     return tb.dim_teams(spark, sf).withColumns(
-        {"created_at": F.lit(AS_OF).cast("timestamp_ntz"), "updated_at": F.lit(AS_OF).cast("timestamp_ntz")}
+        {"created_at": as_time(AS_OF), "updated_at": as_time(AS_OF)}
     )
 
 
@@ -873,8 +873,8 @@ def upsert_leagues(spark, sf):
     known = leagues.where("country_id < 3").withColumns(
         {
             "league_name": F.when(F.col("league_id") > 10, F.lower("league_name")).otherwise(F.col("league_name")),
-            "created_at": F.lit(AS_OF).cast("timestamp_ntz"),
-            "updated_at": F.lit(AS_OF).cast("timestamp_ntz"),
+            "created_at": as_time(AS_OF),
+            "updated_at": as_time(AS_OF),
         }
     )
     return merge.conditional_upsert(
@@ -890,7 +890,7 @@ def upsert_league_seasons(spark, sf):
         {
             "start_date": F.when(F.col("season") == 1999, F.date_add("start_date", 30)).otherwise(F.col("start_date")),
             "end_date": F.when(F.col("season") != 1998, F.col("end_date")),
-            "updated_at": F.lit(AS_OF).cast("timestamp_ntz"),
+            "updated_at": as_time(AS_OF),
         }
     )
     merged = merge.conditional_upsert(

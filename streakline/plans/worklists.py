@@ -79,8 +79,8 @@ def league_season_requests(
         "league_season_id",
         F.col("api_league_id").alias("league"),
         "season",
-        F.date_format("from_date", "yyyy-MM-dd").alias("from"),
-        F.date_format(last_day, "yyyy-MM-dd").alias("to"),
+        F.col("from_date").cast("string").alias("from"),
+        last_day.cast("string").alias("to"),
     )
 
 

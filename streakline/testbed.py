@@ -216,7 +216,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             k % 53 != 0,
             F.struct(
                 k.alias("id"),
-                F.date_format("kickoff_utc", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("date"),
+                F.concat(F.replace(F.col("kickoff_utc").cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00")).alias("date"),
                 status.alias("status"),
             ),
         ).alias("fixture"),
