@@ -4,7 +4,7 @@ import re
 
 from checks import queries as q
 from streakline import testbed as tb
-from streakline.operators import facts, merge, streaks
+from streakline.operators import facts, merge, standings, streaks
 from streakline.plans import worklists
 
 
@@ -30,6 +30,14 @@ def test_streaks_take_one_shuffle_and_one_sort(spark, sf, tmp_path):
     assert text.index("Generate inline") < text.index("Exchange ")
 
 
+def test_running_table_takes_two_shuffles(spark, sf, tmp_path):
+    """One by team-season for matchdays and totals, one by matchday for positions."""
+    path = str(tmp_path / "standings")
+    q.standings_rows(spark, sf).write.parquet(path)
+    text = plan(standings.team_running_table(spark.read.parquet(path), crowded=False))
+    assert len(re.findall(r"Exchange ", text)) == 2
+
+
 def test_next_fixture_is_pruned_when_unused(spark, sf, tmp_path):
     rows = team_rows(spark, tmp_path, sf)
     text = plan(facts.next_fixture(rows, hot=False).select("fixture_id", "team_id"))
@@ -53,6 +61,25 @@ def test_large_dimensions_are_not_hinted(spark, sf, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_small_updates_do_not_shuffle_the_table(spark, sf, tmp_path):
+    base, few = str(tmp_path / "base"), str(tmp_path / "few")
+    tb.raw_fixtures(spark, sf).write.parquet(base)
+    tb.updated_fixtures(spark, sf).write.parquet(few)
+    table, updates = spark.read.parquet(base), spark.read.parquet(few)
+    for df in (merge.coalesce_update(table, updates, now=tb.AS_OF), merge.replace_by_key(table, updates, merge.FIXTURE_KEY)):
+        text = plan(df)
+        assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_hot_keys_are_cut_and_the_rest_is_not(spark, sf, tmp_path):
+    rows = team_rows(spark, tmp_path, sf)
+    text = plan(facts.next_fixture(rows, chunk_rows=rows.count() // 10))
+    ordinary, cut_rows = text.split("LeftAnti", 1)
+    assert "_chunk" in text and "Union" in text
+    assert cut_rows.count("_chunk#") > 0 and "BroadcastHashJoin" in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
 def test_stale_filter_reaches_the_scan(spark, sf, tmp_path):
     path = str(tmp_path / "raw")
     tb.raw_fixtures(spark, sf).write.parquet(path)
