@@ -35,10 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the cluster names none (single-machine tests) a temporary folder
     is made, once per session.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="streakline-")
-    if not spark.sparkContext.getCheckpointDir():
+        named = tempfile.mkdtemp(prefix="streakline-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
