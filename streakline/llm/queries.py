@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.llm import mixing, urls
+from streakline.llm import mixing, sketch, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,6 +29,16 @@ def op1_mix_sources(spark, sf):
 SQL["op1_mix_sources"] = mixing.SQL
 
 
+@query
+def op2_toxicity(spark, sf):
+    return toxicity.judge_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_fingerprints(spark, sf):
+    return sketch.compare_edits(table(spark, sf, "documents"))
+
+
 @query
 def op9_filter_urls(spark, sf):
     pages = table(spark, sf, "pages")
