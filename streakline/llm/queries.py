@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.llm import mixing, simhash, sketch, toxicity, urls
+from streakline.llm import mixing, simhash, sketch, substrings, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +34,11 @@ def op2_toxicity(spark, sf):
     return toxicity.judge_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+@query
+def op3_repeated_substrings(spark, sf):
+    return substrings.measure_repeats(table(spark, sf, "documents"))
+
+
 @query
 def op5_near_duplicates(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
@@ -51,3 +56,8 @@ def op9_filter_urls(spark, sf):
 
 
 SQL["op9_filter_urls"] = urls.SQL
+
+
+@query
+def op10_suffix_repeats(spark, sf):
+    return suffixes.measure_repeats(table(spark, sf, "documents"))
