@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.llm import ann, mixing, simhash, sketch, substrings, suffixes, toxicity, urls
+from streakline.llm import ann, bpe, mixing, simhash, sketch, substrings, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op3_repeated_substrings(spark, sf):
     return substrings.measure_repeats(table(spark, sf, "documents"))
 
 
+@query
+def op4_bpe_round_trip(spark, sf):
+    return bpe.measure_encoding(table(spark, sf, "documents"))
+
+
 @query
 def op5_near_duplicates(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
