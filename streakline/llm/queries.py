@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.llm import ann, bpe, mixing, simhash, sketch, substrings, suffixes, toxicity, urls
+from streakline.llm import ann, bpe, mixing, pii, simhash, sketch, substrings, suffixes, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,6 +49,11 @@ def op5_near_duplicates(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+@query
+def op6_personal_data(spark, sf):
+    return pii.find_personal_data(table(spark, sf, "documents"))
+
+
 @query
 def op7_nearest_neighbours(spark, sf):
     return ann.nearest_neighbours(table(spark, sf, "embeddings"))
