@@ -160,7 +160,8 @@ def mix_sizes(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3)
 def mix_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3) -> DataFrame:
     """The mixed table, columns of ``docs``: a document comes as often as it is taken.
 
-    The document at a source's threshold comes once more with its first ``part`` words.
+    The document at a source's threshold comes once more as its first ``part`` words, joined
+    by single spaces.
     ``n_chars``, where there is such a column, follows the text.
     """
     plan = mix_plan(stage(sized(docs)), weights, cap)
@@ -176,9 +177,8 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int
     whole = F.array_repeat(F.lit(None).cast("bigint"), F.col("full"))
     copies = F.when(F.col("part") > 0, F.concat(whole, F.array(F.col("part")))).otherwise(whole)
     out = shares.select("row", F.explode(copies).alias("words"))
-    head = F.regexp_extract(
-        F.col("row.text"), F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*" + WORD + "){"), F.col("words"), F.lit("}")), 0
-    )
+    all_words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    head = F.array_join(F.slice(all_words, F.lit(1), F.col("words").cast("int")), " ")
     text = F.when(F.col("words").isNull(), F.col("row.text")).otherwise(head)
     columns = []
     for c in docs.columns:
