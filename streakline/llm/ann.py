@@ -2,11 +2,15 @@
 
 Vectors are scaled to length one. Each of ``TABLES`` tables hashes one to ``WIDTH`` cells,
 ``floor((a . x + b) / cell)``; neighbours mostly fall into the same bucket or one that differs
-by one in a few cells. A query visits its bucket and ``PROBES - 1`` perturbed ones, in the
-estimated order of success: sets of steps over the nearest cell borders, ordered by the
+by one in a few cells. A query visits its bucket and perturbed ones, in the estimated
+order of success: sets of steps over the nearest cell borders, ordered by the
 expected sum of squared distances to them. What the tables find is merged and ranked by
 the exact distance.
 
+How many buckets to visit is measured: for a bounded sample of queries the nearest of all
+vectors are found by brute force, and as many probes are made as would have met ``RECALL``
+of them.
+
 Equal vectors are indexed once with their smallest ids, so copies never crowd a bucket; a
 bucket with more than ``PART_ROWS`` vectors is cut into parts and its queries visit each. A
 visit gives its nearest few only.
@@ -33,7 +37,8 @@ from streakline.llm.windows import mix
 from streakline.session import stage
 
 NEAREST, EVERY = 5, 50
-TABLES, WIDTH, CELL, PROBES = 6, 10, 0.35, 90
+TABLES, WIDTH, CELL = 6, 10, 0.35
+SAMPLE, RECALL, LEAST_PROBES, MOST_PROBES = 100, 0.96, 20, 8_192
 PART_ROWS, BLOCK = 4_096, 2_000_000
 SEED = 20_240
 
@@ -101,6 +106,66 @@ class Hashing:
                 yield rows, self._name(t, moved)
 
 
+    def meets(self, unit: np.ndarray, other: np.ndarray, place: dict[frozenset, int]) -> int:
+        """The number of the first probe of ``unit`` that finds ``other`` in any table."""
+        first = len(place)
+        for a, b in zip(self.lines, self.shifts, strict=True):
+            at, there = (unit @ a + b) / self.cell, np.floor((other @ a + b) / self.cell)
+            cells = np.floor(at)
+            steps = (there - cells).astype(int)
+            if np.abs(steps).max() > 1:
+                continue
+            inside = at - cells
+            rank = np.argsort(np.argsort(np.concatenate([inside, 1 - inside]), kind="stable"))
+            borders = [rank[i] if d < 0 else rank[i + len(steps)] for i, d in enumerate(steps) if d]
+            first = min(first, place.get(frozenset(int(r) for r in borders), first))
+        return first
+
+
+def measured_probes(classes: DataFrame, points: DataFrame, nearest: int, recall: float = RECALL) -> int:
+    """How many probes meet ``recall`` of the nearest that brute force finds for a sample of queries.
+
+    At most ``SAMPLE`` queries, the least by hash, meet every indexed vector, in blocks; only
+    their few nearest come back.
+    """
+    sample = points.orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).select("class_id", "embedding").collect()
+    asks = {}
+    for r in sample:
+        asks.setdefault(len(r["embedding"]), []).append((r["class_id"], r["embedding"]))
+    asks = {n: (np.array([i for i, _ in rows]), _unit(np.array([v for _, v in rows]))) for n, rows in asks.items()}
+    keep = nearest + 1
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in _by_size(whole):
+                ids, ask = asks.get(b.column("size")[0].as_py(), (None, None))
+                if ids is None:
+                    continue
+                scores = ask @ _unit(_vectors(b.column("embedding"))).T
+                k = min(keep, b.num_rows)
+                best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                q, c = np.repeat(np.arange(len(ids)), k), best.ravel()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[q]), b.column("class_id").take(pa.array(c)), pa.array(scores[q, c]), b.column("embedding").take(pa.array(c))],
+                    names=["query_class", "class_id", "score", "embedding"],
+                )
+
+    ddl = "query_class bigint, class_id bigint, score double, embedding array<double>"
+    found = classes.select("class_id", "size", "embedding").mapInArrow(near, ddl)
+    best = Window.partitionBy("query_class").orderBy(F.desc("score"), "class_id")
+    pairs = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= keep).collect()
+    places = {frozenset(s): i for i, s in enumerate(probe_sets(WIDTH, MOST_PROBES))}
+    units = {int(i): v for ids, vs in asks.values() for i, v in zip(ids, vs, strict=True)}
+    first = sorted(
+        Hashing(len(r["embedding"])).meets(units[r["query_class"]], _unit(np.array([r["embedding"]]))[0], places)
+        for r in pairs
+        if r["query_class"] != r["class_id"]
+    )
+    if not first:
+        return LEAST_PROBES
+    return max(LEAST_PROBES, min(MOST_PROBES, first[max(0, math.ceil(recall * len(first)) - 1)] + 1))
+
+
 def usable(embedding: Column) -> Column:
     """Is this a vector that has a direction?"""
     odd = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -200,10 +265,11 @@ def _search(dealt: DataFrame, nearest: int) -> DataFrame:
     return dealt.mapInArrow(rows, "query_class bigint, class_id bigint, score double")
 
 
-def nearest_neighbours(vectors: DataFrame, queries: Column | None = None, nearest: int = NEAREST, probes: int = PROBES) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, queries: Column | None = None, nearest: int = NEAREST, probes: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest found for every row that ``queries`` picks.
 
-    ``queries`` is a condition on ``vec_id``; without it, every ``EVERY``-th id.
+    ``queries`` is a condition on ``vec_id``; without it, every ``EVERY``-th id. Without
+    ``probes``, their number is measured.
     """
     picked = F.col("vec_id") % EVERY == 0 if queries is None else queries
     usable_rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(
@@ -225,6 +291,8 @@ def nearest_neighbours(vectors: DataFrame, queries: Column | None = None, neares
     asked = stage(asked.join(classes.select("embedding", "class_id"), "embedding").select("vec_id", "class_id"))
     points = asked.select("class_id").distinct().join(classes, "class_id")
 
+    if probes is None:
+        probes = measured_probes(classes, points, nearest)
     index, visits = _index(classes), _visits(points, probes)
     sizes = stage(index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
     large = broadcast_if_small(sizes.where(F.col("n") > PART_ROWS).select("bucket", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")))
