@@ -4,8 +4,27 @@ from __future__ import annotations
 
 import re
 
-from streakline.schemas import EVENT_CATALOG
+# The events, their kinds and when they hold, apart from the library's own list.
+GOALS, RESULT, SPECIAL = "goal_streaks", "result_streaks", "special_streaks"
+EVENTS = [
+    ("score_1goal", GOALS, "goals_for > 0"),
+    ("score_2goals", GOALS, "goals_for > 1"),
+    ("score_3goals", GOALS, "goals_for > 2"),
+    ("concede_1", GOALS, "goals_against > 0"),
+    ("concede_2", GOALS, "goals_against > 1"),
+    ("concede_3", GOALS, "goals_against > 2"),
+    ("goalless", SPECIAL, "NOT goals_for > 0"),
+    ("clean_sheet", SPECIAL, "NOT goals_against > 0"),
+    ("win", RESULT, "fulltime_result = 'win'"),
+    ("draw", RESULT, "fulltime_result = 'draw'"),
+    ("loss", RESULT, "fulltime_result = 'loss'"),
+    ("win_or_draw", RESULT, "fulltime_result <> 'loss'"),
+    ("halftime_win", SPECIAL, "halftime_result = 'win'"),
+    ("win_draw_over_1_5", SPECIAL, "fulltime_result <> 'loss' AND goals_for + goals_against >= 2"),
+    ("win_draw_under_4_5", SPECIAL, "fulltime_result <> 'loss' AND goals_for + goals_against <= 4"),
+]
 
+# The columns of a flat fixture.
 FLAT = [
     "api_fixture_id",
     "api_league_id",
@@ -135,8 +154,8 @@ def chain(raw: str, x: str = "") -> dict[str, str]:
                {own}_htg AS halftime_goals_for, {other}_htg AS halftime_goals_against,
                {own}_ftr AS fulltime_result, {own}_htr AS halftime_result FROM intf{x}"""
     events = ", ".join(
-        f"{{'event_name': '{e.name}', 'event_flag': CAST(({e.predicate}) AS INTEGER), 'streak_type': '{e.streak_type}'}}"
-        for e in EVENT_CATALOG
+        f"{{'event_name': '{name}', 'event_flag': CAST(({holds}) AS INTEGER), 'streak_type': '{kind}'}}"
+        for name, kind, holds in EVENTS
     )
     return {
         f"intf{x}": f"""
@@ -440,7 +459,7 @@ ORACLES: dict[str, str] = {
         goals_against, rolling_win_rate, rolling_draw_rate, rolling_loss_rate, rolling_avg_goals_for,
         rolling_avg_goals_against, rolling_points FROM standing""",
     # F, G
-    "rank_current_streaks": "SELECT * FROM cur WHERE current_streak_length > 2",
+    "rank_current_streaks": "SELECT *, row_number() OVER (ORDER BY current_streak_length DESC, team_name, streak_id) AS place FROM mart",
     "min_length_filter": "SELECT * FROM cur WHERE current_streak_length > 4",
     "top_one_per_group": """SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
@@ -552,6 +571,30 @@ ORACLES: dict[str, str] = {
         FROM mart""",
     "full_refresh_job": "SELECT * FROM mart",
     "daily_update_job": "SELECT * FROM mart2",
+    "metadata_load_job": """WITH asked AS (
+            SELECT DISTINCT country AS country_name, league_name, CAST(n_nationkey + 1000 AS BIGINT) AS api_league_id
+            FROM tree WHERE n_nationkey <> 7
+        ), counted AS (
+            SELECT country AS country_name, count(DISTINCT s_suppkey) AS teams FROM tree
+            WHERE n_nationkey <> 7 AND s_acctbal >= 0 GROUP BY country
+        )
+        SELECT country_name, league_name, api_league_id, CAST(y AS INTEGER) AS season,
+            y || '/' || right(CAST(y + 1 AS VARCHAR), 2) AS season_label, teams, false AS fixtures_bootstrap_done
+        FROM asked LEFT JOIN counted USING (country_name), (VALUES (2021), (2022)) AS v(y)""",
+    "bootstrap_job": f"""WITH wanted AS (
+            SELECT league_season_id, api_league_id, CAST(year(start_date) AS INTEGER) AS season FROM dim_seasons
+            JOIN dim_leagues USING (league_id) WHERE season >= 1994
+        ), fetched AS (
+            SELECT f.*, w.league_season_id FROM flat f JOIN wanted w USING (api_league_id, season)
+            WHERE api_fixture_id % 53 <> 0 AND api_fixture_id % 59 <> 0 AND api_fixture_id % 61 <> 0
+        )
+        SELECT {flat_list}, (SELECT count(*) FROM wanted WHERE league_season_id NOT IN (SELECT league_season_id FROM fetched))
+            AS seasons_left FROM fetched""",
+    "blanked_values": """SELECT CAST(o_orderkey AS VARCHAR) AS api_fixture_id, 'home_team_fulltime_goal' AS "column",
+            CAST(o_totalprice AS VARCHAR) AS value FROM orders WHERE o_totalprice <> floor(o_totalprice)
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'away_team_fulltime_goal', o_orderpriority FROM orders WHERE o_orderkey % 7 = 0
+        UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'kickoff_utc', 'soon' FROM orders WHERE o_orderkey % 11 = 0""",
+    "retry_is_harmless": "SELECT *, (SELECT count(*) FROM upd) AS feed_rows FROM mart2",
     "transform_fixtures_job": f"SELECT {flat_list}, {result_list} FROM raw",
     "update_by_league_season": """SELECT league_season_id, api_league_id AS league, season, from_date AS "from",
         '2000-06-30' AS "to" FROM windows""",
@@ -570,7 +613,7 @@ lengths = ", ".join(
 ORACLES["run_length_streaks"] = f"""SELECT event_id, user_id, ts, event_type, value, is_error, is_high, {lengths},
     is_error_run, is_high_run FROM signal_runs"""
 ORACLES["run_length_chunked"] = ORACLES["run_length_streaks"]
-ORACLES["team_running_table_crowded"] = ORACLES["team_running_table"]
+ORACLES["team_running_table_cut"] = ORACLES["team_running_table"]
 merged_list = f"""SELECT {flat_list} FROM upd UNION ALL
     SELECT {flat_list} FROM raw WHERE api_fixture_id NOT IN (SELECT api_fixture_id FROM upd)"""
 ORACLES["persist_merged_snapshot"] = merged_list

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streakline import testbed as tb
-from streakline.functions.ordered import CHUNK_ROWS, next_values, number_all, previous_values, row_numbers
+from streakline.functions.ordered import next_values, number_all, previous_values, row_numbers
 from streakline.functions.scalars import as_time, run_stamp, season_label, slugify, title_case
 from streakline.operators import clean, dims, facts, merge, quality, standings, streaks
-from streakline.plans import jobs, marts, worklists
+from streakline.plans import jobs, loads, marts, worklists
 from streakline.schemas import EVENT_CATALOG, Event
 from streakline.session import scratch_path, stage
 from streakline.sources import fixture_files, snapshots, tables
@@ -78,27 +78,6 @@ def team_rows(spark, sf):
     return facts.unpivot_team_rows(enriched(spark, sf))
 
 
-def at_most(spark, sf, name, factor=1):
-    """What the ordered operators may take as known: a table of no more rows than one
-    chunk (told from file footers) has no hot key. For larger tables they look themselves."""
-    rows = factor * tb.table(spark, sf, name).count()
-    return {"hot": False} if rows <= CHUNK_ROWS else {}
-
-
-def small_chunks(spark, sf, name):
-    """A chunk size that cuts test tables into some 30 chunks, and huge ones as usual."""
-    return max(1, min(CHUNK_ROWS, tb.table(spark, sf, name).count() // 32))
-
-
-def team_hot(spark, sf):
-    return at_most(spark, sf, "orders", 2)
-
-
-def team_crowded(spark, sf):
-    known = team_hot(spark, sf)
-    return {"crowded": known["hot"]} if known else {}
-
-
 def event_rows(spark, sf):
     """Event rows that count for streaks, as the generic ordered operators take them."""
     return facts.team_events(clean.current_played_only(team_rows(spark, sf)))
@@ -460,7 +439,7 @@ def unpivot_team_rows(spark, sf):
 
 @query
 def fact_team_fixtures(spark, sf):
-    return facts.team_fixtures(enriched(spark, sf), **team_hot(spark, sf)).drop("updated_at")
+    return facts.team_fixtures(enriched(spark, sf)).drop("updated_at")
 
 
 @query
@@ -512,16 +491,12 @@ def only_known_ids(spark, sf):
 
 @query
 def group_min(spark, sf):
-    return (
-        tb.raw_fixtures(spark, sf)
-        .groupBy("api_league_id", "season")
-        .agg(F.min("kickoff_utc").alias("first_kickoff"))
-    )
+    return worklists.first_kickoffs(tb.raw_fixtures(spark, sf))
 
 
 @query
 def distinct_ids(spark, sf):
-    return team_rows(spark, sf).select("fixture_id").distinct()
+    return worklists.fixture_ids(team_rows(spark, sf))
 
 
 @query
@@ -553,7 +528,7 @@ def change_counts(spark, sf):
 
 @query
 def next_fixture(spark, sf):
-    return facts.next_fixture(team_rows(spark, sf), **team_hot(spark, sf)).select(
+    return facts.next_fixture(team_rows(spark, sf)).select(
         "fixture_id", "team_id", "next_opponent_id", "next_kickoff_utc"
     )
 
@@ -566,7 +541,6 @@ def next_event(spark, sf):
         ["user_id"],
         ["ts", "event_id"],
         {"next_type": "event_type", "next_ts": "ts"},
-        **at_most(spark, sf, "events"),
     )
 
 
@@ -576,7 +550,7 @@ T_E = ["team_id", "event_name"]
 @query
 def number_rows(spark, sf):
     rows = event_rows(spark, sf).select(*T_E, "kickoff_utc", "fixture_id", "event_flag")
-    return row_numbers(rows, T_E, ["kickoff_utc", "fixture_id"], "rn", **team_hot(spark, sf))
+    return row_numbers(rows, T_E, ["kickoff_utc", "fixture_id"], "rn")
 
 
 @query
@@ -585,13 +559,13 @@ def previous_flag(spark, sf):
     rows = clean.current_played_only(team_rows(spark, sf)).withColumns(facts.event_flags())
     names = [e.name for e in EVENT_CATALOG]
     lagged = previous_values(
-        rows, facts.TEAM_KEY, facts.FIXTURE_ORDER, {f"{n}_before": n for n in names}, default=0, **team_hot(spark, sf)
+        rows, facts.TEAM_KEY, facts.FIXTURE_ORDER, {f"{n}_before": n for n in names}, default=0
     )
     return facts.stack_events(lagged, ["team_id", "fixture_id"], {"event_flag": "{}", "prev_flag": "{}_before"})
 
 
 def numbered_streaks(spark, sf):
-    return streaks.team_run_lengths(team_rows(spark, sf), with_ids=True, **team_hot(spark, sf))
+    return streaks.team_run_lengths(team_rows(spark, sf), with_ids=True)
 
 
 @query
@@ -610,7 +584,7 @@ def streak_length(spark, sf):
 
 @query
 def fact_team_streaks(spark, sf):
-    return streaks.team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
+    return streaks.team_streaks(team_rows(spark, sf))
 
 
 @query
@@ -618,7 +592,7 @@ def run_length_streaks(spark, sf):
     """The generic operator on the event stream: runs of errors and of high values per user."""
     rows = tb.table(spark, sf, "events").selectExpr("event_id", "user_id", "ts", "event_type", "value")
     flags = {"is_error": F.expr("cast(event_type = 'error' as int)"), "is_high": F.expr("cast(value > 10 as int)")}
-    return streaks.run_lengths(rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True, **at_most(spark, sf, "events"))
+    return streaks.run_lengths(rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True)
 
 
 @query
@@ -626,20 +600,17 @@ def run_length_chunked(spark, sf):
     """The same through the path for keys too long for one task."""
     rows = tb.table(spark, sf, "events").selectExpr("event_id", "user_id", "ts", "event_type", "value")
     flags = {"is_error": F.expr("cast(event_type = 'error' as int)"), "is_high": F.expr("cast(value > 10 as int)")}
-    size = small_chunks(spark, sf, "events")
-    return streaks.run_lengths(
-        rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True, chunk_rows=size, hot=True
-    )
+    return streaks.run_lengths(rows, ["user_id"], ["ts", "event_id"], flags, with_ids=True, chunk_rows=1_000, hot=True)
 
 
 @query
 def null_resets_streaks(spark, sf):
-    return streaks.team_streaks(team_rows(spark, sf), null_resets=True, **team_hot(spark, sf))
+    return streaks.team_streaks(team_rows(spark, sf), null_resets=True)
 
 
 @query
 def latest_row(spark, sf):
-    rows = streaks.team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
+    rows = streaks.team_streaks(team_rows(spark, sf))
     return streaks.latest_per_key(
         rows, T_E, ["kickoff_utc", "fixture_id"], ["kickoff_utc", "fixture_id", "event_flag", "streak_length"]
     )
@@ -647,47 +618,43 @@ def latest_row(spark, sf):
 
 @query
 def display_id(spark, sf):
-    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf), **team_hot(spark, sf)))
+    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf)))
     return marts.display_ids(lengths)
 
 
 @query
 def running_counts(spark, sf):
-    rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, **team_crowded(spark, sf))
+    totals = standings.running_totals(stage(standings_rows(spark, sf)))
     return totals.select("fixture_id", "team_id", "games_played", "wins", "losses", "draws")
 
 
 @query
 def running_goals(spark, sf):
-    rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, **team_crowded(spark, sf))
+    totals = standings.running_totals(stage(standings_rows(spark, sf)))
     return totals.select("fixture_id", "team_id", "goals_for", "goals_against")
 
 
 @query
 def rolling_rates(spark, sf):
-    table = standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf))
+    table = standings.team_running_table(standings_rows(spark, sf))
     return table.select("fixture_id", "team_id", "rolling_win_rate", "rolling_loss_rate", "rolling_draw_rate")
 
 
 @query
 def rolling_averages(spark, sf):
-    table = standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf))
+    table = standings.team_running_table(standings_rows(spark, sf))
     return table.select("fixture_id", "team_id", "rolling_avg_goals_for", "rolling_avg_goals_against")
 
 
 @query
 def rolling_points(spark, sf):
-    rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, crowded=True)
+    totals = standings.running_totals(stage(standings_rows(spark, sf)))
     return totals.select("fixture_id", "team_id", "rolling_points")
 
 
 @query
 def tie_breaker(spark, sf):
-    rows = standings_rows(spark, sf)
-    totals = standings.running_totals(rows, **team_crowded(spark, sf))
+    totals = standings.running_totals(stage(standings_rows(spark, sf)))
     return standings.tie_breaker(standings.rates(totals)).selectExpr(
         "fixture_id", "team_id", "_aggregator / 100.0D as aggregator"
     )
@@ -695,26 +662,24 @@ def tie_breaker(spark, sf):
 
 @query
 def matchday_numbers(spark, sf):
-    return standings.matchdays(standings_rows(spark, sf), **team_hot(spark, sf)).select("fixture_id", "team_id", "matchday")
+    return standings.matchdays(standings_rows(spark, sf)).select("fixture_id", "team_id", "matchday")
 
 
 @query
 def league_position(spark, sf):
-    table = standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf))
+    table = standings.team_running_table(standings_rows(spark, sf))
     return table.select("fixture_id", "team_id", "matchday", "position")
 
 
 @query
 def team_running_table(spark, sf):
-    return iso(standings.team_running_table(standings_rows(spark, sf), **team_crowded(spark, sf)), "date")
+    return iso(standings.team_running_table(standings_rows(spark, sf)), "date")
 
 
 @query
-def team_running_table_crowded(spark, sf):
-    """The same through the path for over-long seasons and over-wide leagues."""
-    rows = standings_rows(spark, sf)
-    size = small_chunks(spark, sf, "orders")
-    return iso(standings.team_running_table(rows, chunk_rows=size, crowded=True), "date")
+def team_running_table_cut(spark, sf):
+    """The same with seasons cut into small chunks, as over-long ones are."""
+    return iso(standings.team_running_table(standings_rows(spark, sf), chunk_rows=20), "date")
 
 
 # --- F. Sorts, limits, top-k; G. set operations ----------------------------------------------------------
@@ -722,13 +687,20 @@ def team_running_table_crowded(spark, sf):
 
 @query
 def rank_current_streaks(spark, sf):
-    lengths = marts.longer_than(streaks.current_streaks(team_rows(spark, sf), **team_hot(spark, sf)))
-    return lengths.orderBy(F.desc("current_streak_length"), "team_name", "event_name")
+    """The ranked rows with their places in the sorted result, so that their order is compared too."""
+    at = F.monotonically_increasing_id()
+    ranked = stage(marts.top_team_streaks(team_rows(spark, sf)).withColumns({"part": F.spark_partition_id(), "at": at}))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per sorted partition.
+    parts = ranked.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    offsets = parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    place = (F.col("before") + F.col("at") - F.col("first") + 1).alias("place")
+    return ranked.join(offsets, "part").select(*marts.MART_COLUMNS, place)
 
 
 @query
 def min_length_filter(spark, sf):
-    return marts.longer_than(streaks.current_streaks(team_rows(spark, sf), **team_hot(spark, sf)), 4)
+    return marts.longer_than(streaks.current_streaks(team_rows(spark, sf)), 4)
 
 
 @query
@@ -749,7 +721,7 @@ def page_batches(spark, sf):
 def number_all_rows(spark, sf):
     """Global numbering, here cut into chunks as for a very large table."""
     orders = tb.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return number_all(orders, ["o_orderdate", "o_orderkey"], "nr", chunk_rows=small_chunks(spark, sf, "orders"))
+    return number_all(orders, ["o_orderdate", "o_orderkey"], "nr", chunk_rows=1_000)
 
 
 @query
@@ -792,7 +764,7 @@ def custom_event_catalog(spark, sf):
         Event("narrow_win", "fulltime_result = 'win' and goals_for - goals_against = 1", "result_streaks"),
         Event("away_goal", "not is_home and goals_for > 0", "goal_streaks"),
     ]
-    return streaks.current_streaks(team_rows(spark, sf), catalog, **team_hot(spark, sf))
+    return streaks.current_streaks(team_rows(spark, sf), catalog)
 
 
 # --- I. Streaming --------------------------------------------------------------------------------------------------
@@ -1034,22 +1006,27 @@ def quality_report(spark, sf):
 
 @query
 def mart_top_team_streaks(spark, sf):
-    return marts.top_team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
+    return marts.top_team_streaks(team_rows(spark, sf))
 
 
 @query
 def mart_latest_team_streaks(spark, sf):
-    return marts.latest_team_streaks(team_rows(spark, sf), **team_hot(spark, sf))
+    return marts.latest_team_streaks(team_rows(spark, sf))
 
 
 @query
 def list_streaks(spark, sf):
-    return marts.list_streaks(marts.top_team_streaks(team_rows(spark, sf), **team_hot(spark, sf)))
+    root = scratch_path(spark, "warehouse")
+    tables.materialize(marts.numbered_streaks(team_rows(spark, sf)), "table", "mart/mart_top_team_streaks", root, "20000101_000000")
+    return marts.list_streaks(jobs.read_mart(spark, root))
 
 
 def _typed_streaks(kind: str):
     def run(spark, sf):
-        return marts.streaks_by_type(marts.top_team_streaks(team_rows(spark, sf), **team_hot(spark, sf)), kind)
+        """From the stored mart, as a client reads it."""
+        root = scratch_path(spark, "warehouse")
+        tables.materialize(marts.numbered_streaks(team_rows(spark, sf)), "table", "mart/mart_top_team_streaks", root, "20000101_000000")
+        return marts.streaks_by_type(jobs.read_mart(spark, root), kind)
 
     run.__name__ = f"list_{kind}"
     return query(run)
@@ -1086,6 +1063,64 @@ def daily_update_job(spark, sf):
     return jobs.read_mart(spark, root)
 
 
+@query
+def metadata_load_job(spark, sf):
+    """The tree loaded twice, the first time in part: dimensions with ids resolved, seen by natural keys."""
+    root, tree = scratch_path(spark, "warehouse"), tb.metadata_tree(spark, sf)
+    loads.metadata_load_job(spark, tree.where("country < 'B'"), root, "20000101_000000", AS_OF)
+    loads.metadata_load_job(spark, tree, root, "20000102_000000", NOW)
+    source = lambda name: tables.source_table(spark, root, name)
+    return (
+        source("etl.dim_league_seasons")
+        .join(source("etl.dim_leagues"), "league_id")
+        .join(source("etl.dim_countries"), "country_id")
+        .join(source("etl.dim_teams").groupBy("country_id").agg(F.count(F.lit(1)).alias("teams")), "country_id", "left")
+        .select("country_name", "league_name", "api_league_id", "season", "season_label", "teams", "fixtures_bootstrap_done")
+    )
+
+
+@query
+def bootstrap_job(spark, sf):
+    """Payloads to the raw table through the tree, with the seasons still to be loaded at the end."""
+    root = scratch_path(spark, "warehouse")
+    for name, df in {
+        "etl.dim_countries": tb.dim_countries(spark, sf),
+        "etl.dim_leagues": tb.dim_leagues(spark, sf),
+        "etl.dim_league_seasons": tb.dim_league_seasons(spark, sf).withColumn("fixtures_bootstrap_done", F.col("season") < 1994),
+    }.items():
+        snapshots.write_version(df, tables.source_path(root, name), "20000101_000000")
+    loads.bootstrap_job(spark, tb.payloads(spark, sf), root, "20000102_000000", NOW)
+    left = tables.source_table(spark, root, "etl.dim_league_seasons").where("not fixtures_bootstrap_done").count()
+    raw = tables.source_table(spark, root, jobs.RAW)
+    return raw.select(*FLAT).withColumn("seasons_left", F.lit(left).cast("bigint"))
+
+
+@query
+def blanked_values(spark, sf):
+    """Orders as records with prices for goals: what typing would blank."""
+    rows = tb.table(spark, sf, "orders").selectExpr(
+        "o_orderkey as api_fixture_id", "cast(o_totalprice as string) as home_team_fulltime_goal",
+        "if(o_orderkey % 7 = 0, o_orderpriority, '3') as away_team_fulltime_goal",
+        "if(o_orderkey % 11 = 0, 'soon', '2024-01-01T00:00:00Z') as kickoff_utc",
+    )
+    return clean.blanked_values(rows)
+
+
+@query
+def retry_is_harmless(spark, sf):
+    """A run, an update and its retry under one stamp, with an empty feed after it: one mart, and the feed as it came."""
+    root = scratch_path(spark, "warehouse")
+    warehouse(spark, sf, root)
+    jobs.build_models(spark, root, "20000101_000000", AS_OF)
+    jobs.build_models(spark, root, "20000101_000000", AS_OF)
+    feed = tb.updated_fixtures(spark, sf).select(*FLAT)
+    for _ in range(2):
+        jobs.daily_update_job(spark, feed, root, "20000102_000000", AS_OF, NOW)
+    jobs.daily_update_job(spark, feed.limit(0), root, "20000103_000000", AS_OF, NOW)
+    kept = snapshots.latest_snapshot(spark, f"{root}/snapshots", "update").count()
+    return jobs.read_mart(spark, root).withColumn("feed_rows", F.lit(kept).cast("bigint"))
+
+
 @query
 def update_by_league_season(spark, sf):
     return worklists.league_season_requests(

@@ -14,8 +14,8 @@ as no key is huge, and the wrong one otherwise. So every function here
 Range partitioning samples the full sort key, so neither a hot key nor a crowd
 of equal times makes a chunk too big; the order columns must identify a row
 within its key. The cut rows are stored with their chunk numbers, so every
-reader and every retried task sees the same cuts. Only the hot-key list and the
-carries are broadcast; both have at most about ``rows / chunk_rows`` rows.
+reader and every retried task sees the same cuts. The hot-key list and the
+carries have at most about ``rows / chunk_rows`` rows.
 
 ``hot`` saves the count where the answer is known: ``False`` for no hot key,
 ``True`` to cut all keys.
@@ -52,9 +52,13 @@ def _same(keys: Sequence[str]) -> Column:
 
 
 def _bounded_join(df: DataFrame, bounded: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join with a side of at most about one row per chunk."""
+    """Join with a side of at most about one row per chunk.
+
+    That side comes from stored rows, so the planner knows its size: it is broadcast while
+    that is small, and no hint forces it beyond.
+    """
     renamed = bounded.withColumnsRenamed({k: f"_at_{k}" for k in keys})
-    joined = df.join(F.broadcast(renamed), _same(keys), how)
+    joined = df.join(renamed, _same(keys), how)
     return joined.drop(*[f"_at_{k}" for k in keys])
 
 
@@ -78,6 +82,8 @@ def per_key(
         return whole(df)
     if hot is True:
         return in_chunks(cut(df, keys, order, math.ceil(df.count() / chunk_rows)))
+    # The input is worked out once; counting, splitting and cutting read the stored rows.
+    df = stage(df)
     found = hot_keys(df, keys, chunk_rows)
     rows = found.agg(F.sum("rows")).first()[0]
     if not rows:
@@ -158,7 +164,9 @@ def _neighbour_values(
         return rows.withColumns({new: shift(old, 1, default).over(window) for new, old in values.items()})
 
     def in_chunks(pieces: DataFrame) -> DataFrame:
-        wanted, place = F.struct(*values.values()), F.struct(*order)
+        # Fields go by position: a column may be looked at under several names.
+        wanted = F.struct(*[F.col(old).alias(f"v{i}") for i, old in enumerate(values.values())])
+        place = F.struct(*order)
         edge = (F.min_by if ahead else F.max_by)(wanted, place)
         edges = pieces.groupBy(*keys, CHUNK).agg(edge.alias("_edge"))
         carry = (
@@ -170,7 +178,7 @@ def _neighbour_values(
         out = attach_carry(pieces.withColumn("_local", local), carry, keys)
         found = F.coalesce("_local", "_beyond")
         return out.withColumns(
-            {new: F.when(found.isNotNull(), found[old]).otherwise(F.lit(default)) for new, old in values.items()}
+            {new: F.when(found.isNotNull(), found[f"v{i}"]).otherwise(F.lit(default)) for i, new in enumerate(values)}
         ).drop(CHUNK, "_local", "_beyond")
 
     return per_key(df, keys, order, whole, in_chunks, chunk_rows, hot)
@@ -185,9 +193,9 @@ def number_all(
 ) -> DataFrame:
     """Number a whole table from ``start`` in the stated order.
 
-    ``df`` is counted first and then numbered: pass a stored or staged table.
-    Up to ``chunk_rows`` rows go through one task, more are cut into chunks.
+    ``df`` is counted first and then cut: pass a stored or staged table. Tables of any size
+    are cut by range into chunks of about ``chunk_rows`` rows; none goes through one window.
     """
     grouped = df.withColumn("_all", F.lit(0))
-    numbered = row_numbers(grouped, ["_all"], order, name, chunk_rows, hot=df.count() > chunk_rows)
+    numbered = row_numbers(grouped, ["_all"], order, name, chunk_rows, hot=True)
     return numbered.withColumn(name, F.col(name) + F.lit(start - 1)).drop("_all")

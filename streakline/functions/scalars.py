@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from datetime import date, datetime
 
 from pyspark.sql import Column
@@ -41,19 +42,35 @@ def half_up_hundredths(total: Column, count: Column) -> Column:
     return F.call_function("div", doubled, parts)
 
 
-# Accented Latin letters and the plain letter each one folds to.
-ACCENTED = "áàâäãåāăąçćčďđéèêëēėęěğíìîïīįıłñńňóòôöõøōőŕřśşšţťúùûüūůűųýÿžźż"
-PLAIN = "aaaaaaaaacccddeeeeeeeegiiiiiiilnnnoooooooorrsssttuuuuuuuuyyzzz"
+def _folds() -> dict[str, str]:
+    """Lower-case Latin letters that decompose to a plain one and marks, and a few without a decomposition."""
+    latin = [chr(c) for c in (*range(0xDF, 0x250), *range(0x1E00, 0x1F00))]
+    plain = {c: unicodedata.normalize("NFD", c)[0] for c in latin if c == c.lower()}
+    return {c: p for c, p in plain.items() if "a" <= p <= "z"} | {"đ": "d", "ł": "l", "ø": "o", "ı": "i"}
 
+
+FOLDS = _folds()
+ACCENTED, PLAIN = "".join(FOLDS), "".join(FOLDS.values())
+
+# Letters written as two.
 TWO_LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
 
 
 def slugify(text: Column) -> Column:
-    """Lower-case ASCII words joined by ``-``, as used for folder names."""
-    plain = F.translate(F.lower(text), ACCENTED, PLAIN)
+    """Lower-case ASCII words joined by ``-``, as used for folder names.
+
+    Marks are dropped from Latin letters. Letters of other scripts are written as the digits
+    of their UTF-8 bytes, so that names in them stay apart.
+    """
+    plain = F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"\p{M}+", "")
     for letter, letters in TWO_LETTERS.items():
         plain = F.replace(plain, F.lit(letter), F.lit(letters))
-    return F.regexp_replace(F.regexp_replace(plain, r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
+    # Blanks become + and other ASCII signs %xx in the encoding: only foreign words go through it.
+    words = F.regexp_extract_all(plain, F.lit(r"([^\x00-\x7F]+|[\x00-\x7F]+)"), F.lit(1))
+    spelled = F.transform(
+        words, lambda w: F.when(w.rlike(r"[^\x00-\x7F]"), F.lower(F.replace(F.url_encode(w), F.lit("%"), F.lit("")))).otherwise(w)
+    )
+    return F.regexp_replace(F.regexp_replace(F.array_join(spelled, ""), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
 
 
 def title_case(text: Column) -> Column:

@@ -120,6 +120,25 @@ def fractional_values(df: DataFrame) -> DataFrame:
     return df.where(anything)
 
 
+def blanked_values(records: DataFrame) -> DataFrame:
+    """``api_fixture_id, column, value`` of every value that typing turns into NULL: fractions, other
+    text where a number is due, unreadable kickoffs."""
+    lost = {n: _whole_number(F.col(n), k) for n, k in INTEGER_COLUMNS.items() if n in records.columns}
+    if records.schema["kickoff_utc"].dataType.simpleString() == "string":
+        lost["kickoff_utc"] = parse_utc(F.col("kickoff_utc"))
+    entries = [
+        F.when(
+            F.col(n).isNotNull() & typed.isNull(),
+            F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("value")),
+        )
+        for n, typed in lost.items()
+    ]
+    found = records.select(
+        F.col("api_fixture_id").cast("string").alias("api_fixture_id"), F.explode(F.array_compact(F.array(*entries))).alias("x")
+    )
+    return found.select("api_fixture_id", "x.*")
+
+
 def parse_kickoff(df: DataFrame) -> DataFrame:
     """ISO-8601 text kickoffs as UTC wall-clock time; typed kickoffs stay."""
     kind = df.schema["kickoff_utc"].dataType.simpleString()

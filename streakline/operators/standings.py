@@ -7,6 +7,10 @@ all matches of the same date.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,30 +69,21 @@ def measures() -> dict[str, Column]:
     }
 
 
-def is_crowded(rows: DataFrame, limit: int = CHUNK_ROWS) -> bool:
-    """Is any team-season longer, or any season wider in teams, than ``limit``?
-
-    One pre-aggregated job answers both.
-    """
-    teams = rows.groupBy(*TEAM_SEASON_KEY).agg(F.count(F.lit(1)).alias("n"))
-    seasons = teams.groupBy(*SEASON_KEY).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("teams"))
-    largest = seasons.agg(F.max(F.greatest("n", "teams"))).first()[0]
-    return (largest or 0) > limit
+def _attach(df: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of ``values``, one row per ``keys``; NULL keys match too."""
+    named = values.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return df.join(named, same).drop(*[f"_of_{k}" for k in keys])
 
 
-def running_totals(rows: DataFrame, crowded: bool | None = None) -> DataFrame:
+def running_totals(rows: DataFrame) -> DataFrame:
     """Add the running totals by date, same-date matches included.
 
-    Uncrowded: windows that share one shuffle. Crowded: matches are first summed
-    per team and date (map-side), so a window holds at most one row per calendar
-    day of a season, and the totals are joined back.
+    Matches are first summed per team and date (map-side), so a window holds at most one
+    row per calendar day of a season, and the totals are joined back. NULL dates are a day
+    of their own, before all others. ``rows`` are read twice: pass stored ones.
     """
-    if crowded is None:
-        crowded = is_crowded(rows)
     parts = measures()
-    if not crowded:
-        by_date = Window.partitionBy(*TEAM_SEASON_KEY).orderBy("date")
-        return rows.withColumns({n: F.sum(c).over(by_date) for n, c in parts.items()})
     daily = rows.groupBy(*TEAM_SEASON_KEY, "date").agg(*[F.sum(c).alias(n) for n, c in parts.items()])
     days = (
         Window.partitionBy(*TEAM_SEASON_KEY)
@@ -96,7 +91,7 @@ def running_totals(rows: DataFrame, crowded: bool | None = None) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     totals = daily.withColumns({n: F.sum(n).over(days) for n in parts})
-    return rows.join(totals, [*TEAM_SEASON_KEY, "date"])
+    return _attach(rows, totals, [*TEAM_SEASON_KEY, "date"])
 
 
 def rates(totals: DataFrame) -> DataFrame:
@@ -117,21 +112,20 @@ def tie_breaker(df: DataFrame) -> DataFrame:
     return df.withColumn("_aggregator", F.col("_rolling_win_rate") + F.col("_rolling_draw_rate"))
 
 
-def positions(df: DataFrame, crowded: bool) -> DataFrame:
+def positions(df: DataFrame) -> DataFrame:
     """``position``: dense rank per league, season and matchday by points, then tie-breaker.
 
-    Crowded: ranks are worked out over the distinct (points, tie-breaker) pairs,
-    of which a matchday has few whatever the number of teams, and joined back.
+    Ranks are worked out over the distinct (points, tie-breaker) pairs, of which a matchday
+    has few whatever the number of teams, and joined back. ``df`` is read twice.
     """
     keys = [*SEASON_KEY, "matchday"]
     table = Window.partitionBy(*keys).orderBy(F.desc("rolling_points"), F.desc("_aggregator"))
-    rank = F.dense_rank().over(table).cast("bigint")
-    if not crowded:
-        return df.withColumn("position", rank)
     scores = [*keys, "rolling_points", "_aggregator"]
-    return df.join(df.select(*scores).distinct().withColumn("position", rank), scores)
+    ranks = df.select(*scores).distinct().withColumn("position", F.dense_rank().over(table).cast("bigint"))
+    return _attach(df, ranks, scores)
 
 
+# The columns of the stored table.
 COLUMNS = [
     "date",
     "matchday",
@@ -167,15 +161,8 @@ def matchdays(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, hot: bool | None =
     return row_numbers(rows, TEAM_SEASON_KEY, ["date", "fixture_id"], "matchday", chunk_rows, hot)
 
 
-def team_running_table(
-    rows: DataFrame, chunk_rows: int = CHUNK_ROWS, crowded: bool | None = None
-) -> DataFrame:
-    """The whole chain from dated team rows to ranked running totals."""
-    if crowded is None:
-        crowded = is_crowded(rows, chunk_rows)
-    # The crowded forms read their input more than once: give them stored rows.
-    keep = stage if crowded else lambda df: df
-    numbered = keep(matchdays(keep(rows), chunk_rows, None if crowded else False))
-    scored = keep(tie_breaker(rates(running_totals(numbered, crowded))))
-    ranked = positions(scored, crowded)
-    return ranked.select("fixture_id", *COLUMNS)
+def team_running_table(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """The whole chain from dated team rows to ranked running totals, the same for every size."""
+    numbered = stage(matchdays(rows, chunk_rows))
+    scored = stage(tie_breaker(rates(running_totals(numbered))))
+    return positions(scored).select("fixture_id", *COLUMNS)

@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 
 from streakline.operators import clean, dims, facts, merge, standings, streaks
 from streakline.plans import marts
+from streakline.plans.model_checks import check_models
 from streakline.schemas import PLAYED_STATUS
-from streakline.sources.snapshots import latest_snapshot, read_version, write_snapshot, write_version
+from streakline.sources.snapshots import (
+    NoSnapshot,
+    latest_snapshot,
+    read_version,
+    snapshot_stamp,
+    write_snapshot,
+    write_version,
+)
 from streakline.sources.tables import materialize, source_path, source_table
 
 RAW = "raw.raw_fixtures"
@@ -26,9 +34,13 @@ def transform_fixtures(records: DataFrame) -> DataFrame:
 
 
 def transform_job(records: DataFrame, root: str, mode: str, stamp: str) -> int:
-    """Transform, write the snapshot, return its row count (0, and nothing written, without records)."""
+    """Transform, write the snapshot, return its row count (0, and nothing written, without records).
+
+    Values that typing blanks are listed in ``reports/blanked_values``.
+    """
     if records.isEmpty():
         return 0
+    write_version(clean.blanked_values(clean.validate_schema(records)), f"{root}/reports/blanked_values", stamp)
     return write_snapshot(transform_fixtures(records), f"{root}/snapshots", mode, stamp).count()
 
 
@@ -44,11 +56,17 @@ def load_raw(spark: SparkSession, root: str, stamp: str, now=None) -> DataFrame:
 def apply_played_updates(spark: SparkSession, root: str, stamp: str, now=None) -> int:
     """Bring changed fixtures of the latest update snapshot into the raw table and the snapshots.
 
-    Returns how many update rows were applied; 0 if nothing changed.
+    Returns how many update rows were applied; 0 if nothing changed, or if the feed is older
+    than the full snapshot. The feed's own snapshot stays as it came.
     """
     snapshots = f"{root}/snapshots"
+    fed, loaded = snapshot_stamp(spark, snapshots, "update"), snapshot_stamp(spark, snapshots, "full", before=stamp)
+    if loaded is None:
+        raise NoSnapshot(f"no full snapshot below {snapshots}")
+    if fed is None or fed < loaded:
+        return 0
     updates = latest_snapshot(spark, snapshots, "update")
-    base = latest_snapshot(spark, snapshots, "full")
+    base = latest_snapshot(spark, snapshots, "full", before=stamp)
     listed = merge.only_known_ids(updates, merge.changed_ids(base, updates))
     # Should the feed list a fixture twice, the finished record counts, then the later kickoff.
     finished = listed.withColumn("_finished", F.col("fixture_status") == PLAYED_STATUS)
@@ -59,11 +77,11 @@ def apply_played_updates(spark: SparkSession, root: str, stamp: str, now=None) -
     n = applied.count()
     if n == 0:
         return 0
-    raw = source_table(spark, root, RAW)
+    raw = source_table(spark, root, RAW, before=stamp)
     write_version(merge.coalesce_update(raw, applied, now=now), source_path(root, RAW), stamp)
     # Both sides hold each id once, so replacing is keep-last without regrouping the whole base.
     write_snapshot(merge.replace_by_key(base, applied, merge.FIXTURE_KEY), snapshots, "full", stamp)
-    write_snapshot(applied, snapshots, "update", stamp)
+    write_snapshot(applied, snapshots, "applied", stamp)
     return n
 
 
@@ -107,21 +125,25 @@ def build_models(spark: SparkSession, root: str, stamp: str, as_of=None) -> Data
         root,
         stamp,
     )
-    return materialize(marts.top_team_streaks(rows), "table", "mart/mart_top_team_streaks", root, stamp)
+    return materialize(marts.numbered_streaks(rows), "table", "mart/mart_top_team_streaks", root, stamp)
 
 
 def full_refresh_job(spark: SparkSession, records: DataFrame, root: str, stamp: str, as_of=None, now=None) -> DataFrame:
     """Extracted records to marts: transform, load, models."""
     transform_job(records, root, "full", stamp)
     load_raw(spark, root, stamp, now)
-    return build_models(spark, root, stamp, as_of)
+    mart = build_models(spark, root, stamp, as_of)
+    check_models(spark, root, stamp)
+    return mart
 
 
 def daily_update_job(spark: SparkSession, records: DataFrame, root: str, stamp: str, as_of=None, now=None) -> DataFrame:
-    """Fetched updates to marts: transform, apply what changed, models."""
-    transform_job(records, root, "update", stamp)
-    apply_played_updates(spark, root, stamp, now)
-    return build_models(spark, root, stamp, as_of)
+    """Fetched updates to marts: transform, apply what changed, models. An empty feed changes nothing."""
+    if transform_job(records, root, "update", stamp):
+        apply_played_updates(spark, root, stamp, now)
+    mart = build_models(spark, root, stamp, as_of)
+    check_models(spark, root, stamp)
+    return mart
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:

@@ -36,6 +36,17 @@ def rank_streaks(mart: DataFrame) -> DataFrame:
 MART_COLUMNS = ["streak_id", "league_name", "team_name", "event_name", "streak_type", "current_streak_length"]
 
 
+def numbered_streaks(
+    rows: DataFrame,
+    min_length: int = MIN_STREAK_LENGTH,
+    catalog: Sequence[Event] = EVENT_CATALOG,
+    **options,
+) -> DataFrame:
+    """The mart's rows in no order, as a table stores them."""
+    lengths = longer_than(current_streaks(rows, catalog, **options), min_length)
+    return display_ids(lengths, options.get("chunk_rows", CHUNK_ROWS)).select(*MART_COLUMNS)
+
+
 def top_team_streaks(
     rows: DataFrame,
     min_length: int = MIN_STREAK_LENGTH,
@@ -43,9 +54,7 @@ def top_team_streaks(
     **options,
 ) -> DataFrame:
     """From team rows to the ranked table of current streaks longer than ``min_length``."""
-    lengths = longer_than(current_streaks(rows, catalog, **options), min_length)
-    numbered = display_ids(lengths, options.get("chunk_rows", CHUNK_ROWS))
-    return rank_streaks(numbered.select(*MART_COLUMNS))
+    return rank_streaks(numbered_streaks(rows, min_length, catalog, **options))
 
 
 def latest_team_streaks(rows: DataFrame, catalog: Sequence[Event] = EVENT_CATALOG, **options) -> DataFrame:

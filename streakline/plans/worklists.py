@@ -34,6 +34,16 @@ def bootstrap_worklist(league_seasons: DataFrame, leagues: DataFrame, countries:
     return catalog.where(~F.col("fixtures_bootstrap_done")).drop("fixtures_bootstrap_done")
 
 
+def first_kickoffs(fixtures: DataFrame) -> DataFrame:
+    """The first kickoff of every league and season."""
+    return fixtures.groupBy("api_league_id", "season").agg(F.min("kickoff_utc").alias("first_kickoff"))
+
+
+def fixture_ids(rows: DataFrame, column: str = "fixture_id") -> DataFrame:
+    """Each id once."""
+    return rows.select(column).distinct()
+
+
 def is_stale(as_of=None, hours: int = STALE_AFTER_HOURS) -> Column:
     """Kicked off more than ``hours`` ago and still without a full-time score."""
     limit = F.timestamp_add("HOUR", F.lit(-hours), as_time(as_of))
@@ -56,7 +66,7 @@ def stale_fixtures(fixtures: DataFrame, leagues: DataFrame, league_seasons: Data
 
 
 def stale_fixture_ids(fixtures: DataFrame, leagues: DataFrame, league_seasons: DataFrame, as_of=None) -> DataFrame:
-    return stale_fixtures(fixtures, leagues, league_seasons, as_of).select("api_fixture_id").distinct()
+    return stale_fixtures(fixtures, leagues, league_seasons, as_of).transform(fixture_ids, "api_fixture_id")
 
 
 def refresh_windows(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,11 +33,13 @@ def build_session(app_name: str = "streakline", master: str | None = None, **ext
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (single-machine tests) a temporary folder
-    is made, once per session.
+    Only a session whose executors share the driver's machine may go without one; it
+    gets a temporary folder, once per session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|-cluster|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="streakline-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

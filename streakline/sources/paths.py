@@ -15,3 +15,9 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
 
 def exists(spark: SparkSession, path: str) -> bool:
     return bool(glob(spark, path))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder and all below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

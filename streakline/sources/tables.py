@@ -26,8 +26,8 @@ def source_path(root: str, name: str) -> str:
     return f"{root}/{SOURCES[name]}"
 
 
-def source_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_version(spark, source_path(root, name))
+def source_table(spark: SparkSession, root: str, name: str, before: str | None = None) -> DataFrame:
+    return read_version(spark, source_path(root, name), before=before)
 
 
 def materialize(
@@ -54,7 +54,8 @@ def materialize(
         return write_version(df, folder, stamp)
     if how != "incremental":
         raise ValueError(f"unknown materialisation: {how}")
-    if has_version(spark, folder):
-        stored = read_version(spark, folder)
+    # A retry starts from the version before its own stamp, as the first attempt did.
+    if has_version(spark, folder, before=stamp):
+        stored = read_version(spark, folder, before=stamp)
         df = incremental_append(stored, df, keys, mark) if mark else replace_by_key(stored, df, keys)
     return write_version(df, folder, stamp)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from streakline.operators.merge import FIXTURE_KEY, coalesce_update
 from streakline.plans.jobs import transform_fixtures
 from streakline.schemas import FLAT_FIXTURE_TEXT
-from streakline.sources.snapshots import versions, write_version
+from streakline.sources.snapshots import read_version, write_version
 
 
 def stream_updates(
@@ -21,16 +23,15 @@ def stream_updates(
 ) -> StreamingQuery:
     """Merge record-line files that arrive in ``incoming`` into the versioned table ``folder``.
 
-    A batch becomes the version ``batch_<id>``, made from the last version that
-    is not its own, so a batch that is run again after a failure gives the same
-    table. If a batch holds a fixture more than once, the record of the file that
+    A batch becomes a version of its own, made from the last version that is not its own,
+    whoever wrote it, so a batch that is run again after a failure gives the same
+    table. Batches of another checkpoint have other stamps. If a batch holds a fixture more than once, the record of the file that
     arrived last wins.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        stamp = f"batch_{batch_id:012d}"
-        earlier = [v for v in versions(spark, folder) if not v.endswith(f"run_ts={stamp}")]
-        table = spark.read.parquet(earlier[-1])
+        stamp = f"stream{zlib.crc32(checkpoint.encode()):08x}-{batch_id:012d}"
+        table = read_version(spark, folder, before=stamp)
         updates = transform_fixtures(batch)
         order = ["_arrived", "_file", "kickoff_utc", "fixture_status"]
         write_version(coalesce_update(table, updates, FIXTURE_KEY, now, order), folder, stamp)

@@ -1,3 +1,4 @@
+import re
 import json
 from datetime import datetime
 
@@ -6,6 +7,7 @@ import pytest
 from streakline.operators.clean import MissingColumns
 from streakline.plans import jobs
 from streakline.schemas import REQUIRED_COLUMNS
+from streakline.functions.scalars import slugify
 from streakline.sources import fixture_files, jdbc, snapshots, tables
 
 
@@ -84,11 +86,59 @@ def test_snapshots(spark, tmp_path):
     snapshots.write_snapshot(one, root, "full", "20240101_000000")
     snapshots.write_snapshot(one.selectExpr("2L as api_fixture_id", "fixture_status"), root, "full", "20240102_000000")
     # A snapshot whose write did not finish has no marker and is not seen.
-    (tmp_path / "full" / "parquet" / "run_ts=20240103_000000").mkdir()
+    (tmp_path / "full" / "parquet" / "version=000000000009_20240103_000000_x").mkdir()
     assert snapshots.latest_snapshot(spark, root, "full").first().api_fixture_id == 2
     assert snapshots.read_csv_snapshot(spark, root, "full", one.schema).first().api_fixture_id == 2
 
 
+def test_versions_are_ordered_by_number_and_never_written_over(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    for i, stamp in enumerate(["20240102_000000", "stream00-000000000000", "20240101_000000", "20240101_000000"]):
+        snapshots.write_version(spark.range(i, i + 1), folder, stamp)
+    read = lambda **how: snapshots.read_version(spark, folder, **how).first().id
+    # Both attempts of the last stamp are there, the later one counts.
+    assert len(list((tmp_path / "table").iterdir())) == 4
+    assert read() == 3 and read(back=1) == 1 and read(before="20240101_000000") == 1
+    assert snapshots.has_version(spark, folder) and not snapshots.has_version(spark, folder + "x")
+    assert snapshots.remove_old_versions(spark, folder, keep=2) == 1
+    assert read() == 3 and read(back=1) == 1
+
+
+def test_a_failure_midway_leaves_the_last_version(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    snapshots.write_version(spark.range(3), folder, "20240101_000000")
+    with pytest.raises(Exception, match="(?i)divi"):
+        snapshots.write_version(spark.range(3).selectExpr("1 div (id - id) as id"), folder, "20240101_000000")
+    assert snapshots.read_version(spark, folder).count() == 3
+
+
+def test_incremental_retry_reads_the_version_before(spark, tmp_path):
+    root = str(tmp_path)
+    one = spark.createDataFrame([(1, 1)], "k int, m int")
+    tables.materialize(one, "incremental", "t", root, "a", ["k"])
+    for _ in range(2):
+        done = tables.materialize(spark.createDataFrame([(2, 2)], "k int, m int"), "incremental", "t", root, "b", ["k"])
+    assert sorted(map(tuple, done.collect())) == [(1, 1), (2, 2)]
+
+
+def test_slugs_of_other_scripts_stay_apart(spark):
+    names = ["Ελλάδα", "Україна", "日本", "中国", "Việt Nam", "Côte d'Ivoire", "Türkiye", "Cote\u0301 X", "Straße", "a b", "日本 League"]
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    found = {r["name"]: r["slug"] for r in rows.select("name", slugify(rows["name"]).alias("slug")).collect()}
+    assert len(set(found.values())) == len(names) and all(re.fullmatch("[a-z0-9]+(-[a-z0-9]+)*", s) for s in found.values())
+    assert found["Việt Nam"] == "viet-nam" and found["Côte d'Ivoire"] == "cote-d-ivoire" and found["Straße"] == "strasse"
+
+
+def test_trees_of_two_countries_without_latin_names(spark, tmp_path):
+    base = str(tmp_path / "tree")
+    make = lambda country: spark.createDataFrame(
+        [(country, "League", 2021, 1, "FT")], "country string, league_name string, season int, api_fixture_id int, fixture_status string"
+    )
+    for country in ("日本", "Україна"):
+        fixture_files.write_fixture_tree(make(country), base)
+    assert fixture_files.scan_fixture_tree(spark, base, "*.json", multi_line=False).count() == 2
+
+
 def test_full_refresh_and_archive(spark, tmp_path):
     folder = str(tmp_path / "table")
     for i, stamp in enumerate(["20240101_000000", "20240102_000000"]):
@@ -166,4 +216,6 @@ def test_apply_updates(spark, tmp_path):
     assert raw[1].updated_at == datetime(2024, 1, 1)
     full = {r.api_fixture_id: r.fixture_status for r in snapshots.latest_snapshot(spark, f"{root}/snapshots", "full").collect()}
     assert full == {1: "FT", 2: "FT", 3: "NS"}
-    assert snapshots.latest_snapshot(spark, f"{root}/snapshots", "update").count() == 1
+    # The feed stays as it came; what was applied of it has a snapshot of its own.
+    assert snapshots.latest_snapshot(spark, f"{root}/snapshots", "update").count() == 3
+    assert snapshots.latest_snapshot(spark, f"{root}/snapshots", "applied").count() == 1

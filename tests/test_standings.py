@@ -4,7 +4,7 @@ from datetime import date, timedelta
 
 import pytest
 
-from streakline.operators.standings import is_crowded, team_running_table
+from streakline.operators.standings import team_running_table
 
 DDL = (
     "fixture_id bigint, date date, kickoff_utc timestamp_ntz, season int, league_id bigint, country string, league string, "
@@ -37,9 +37,10 @@ def brute(rows):
         groups[(r[4], r[3], r[7])].append(r)
     out, tables = {}, defaultdict(set)
     for key, own in groups.items():
-        own.sort(key=lambda r: (r[1], r[0]))
+        when = lambda r: r[1] or date.min  # noqa: E731  no date comes first
+        own.sort(key=lambda r: (when(r), r[0]))
         for day, r in enumerate(own, 1):
-            seen = [s for s in own if s[1] <= r[1]]
+            seen = [s for s in own if when(s) <= when(r)]
             games = len(seen)
             wins, losses, draws = (sum(s[11] == x for s in seen) for x in ("win", "loss", "draw"))
             known = [s for s in seen if s[12] is not None]
@@ -57,19 +58,25 @@ def brute(rows):
     }
 
 
-@pytest.mark.parametrize("crowded", [False, True])
-def test_against_brute_force(spark, crowded):
-    rows = matches(3)
-    df = team_running_table(spark.createDataFrame(rows, DDL), chunk_rows=10, crowded=crowded)
-    columns = [
-        "matchday", "games_played", "wins", "losses", "draws", "goals_for", "goals_against", "rolling_win_rate",
-        "rolling_loss_rate", "rolling_draw_rate", "rolling_avg_goals_for", "rolling_avg_goals_against", "rolling_points", "position",
-    ]
-    got = {(r.fixture_id, r.team_id): tuple(r[c] for c in columns) for r in df.collect()}
+COLUMNS = [
+    "matchday", "games_played", "wins", "losses", "draws", "goals_for", "goals_against", "rolling_win_rate",
+    "rolling_loss_rate", "rolling_draw_rate", "rolling_avg_goals_for", "rolling_avg_goals_against", "rolling_points", "position",
+]
+
+
+def with_nulls(rows):
+    """Some matches without a date, a season or a league."""
+    blank = {1: 7, 3: 11, 4: 13}
+    return [tuple(None if n in blank and i % blank[n] == 0 else v for n, v in enumerate(r)) for i, r in enumerate(rows)]
+
+
+@pytest.mark.parametrize("chunk_rows", [10, 4_000_000])
+@pytest.mark.parametrize("rows", [matches(3), with_nulls(matches(5))])
+def test_against_brute_force(spark, rows, chunk_rows):
+    df = team_running_table(spark.createDataFrame(rows, DDL), chunk_rows=chunk_rows)
+    got = {(r.fixture_id, r.team_id): tuple(r[c] for c in COLUMNS) for r in df.collect()}
     assert got == brute(rows)
 
 
-def test_is_crowded(spark):
-    df = spark.createDataFrame(matches(4), DDL)
-    assert is_crowded(df, 10) and not is_crowded(df, 1000)
-    assert not is_crowded(df.limit(0), 1)
+def test_no_rows(spark):
+    assert team_running_table(spark.createDataFrame([], DDL)).collect() == []

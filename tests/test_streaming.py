@@ -39,6 +39,25 @@ def test_stream_equals_batch(spark, tmp_path):
     assert len(snapshots.versions(spark, folder)) == 3
 
 
+def test_other_writers_and_new_checkpoints(spark, tmp_path):
+    base = fixture_files.scan_update_file(spark, _file(tmp_path, "base.json", [record(i, "NS", None, None) for i in range(6)]))
+    folder, incoming = str(tmp_path / "table"), tmp_path / "incoming"
+    stamped = transform_fixtures(base).selectExpr("*", "timestamp_ntz '2024-01-01 00:00:00' as updated_at")
+    snapshots.write_version(stamped, folder, "20240101_000000")
+    run = lambda where: stream_updates(spark, str(incoming), folder, str(tmp_path / where), NOW).awaitTermination()
+    finished = lambda: {r.api_fixture_id for r in snapshots.read_version(spark, folder).where("fixture_status = 'FT'").collect()}
+    put(incoming, lines(record(1, "FT", 2, 1)), "a.json")
+    run("one")
+    assert finished() == {1}
+    # A daily run after the batch is seen, and a new checkpoint goes on from it.
+    daily = transform_fixtures(fixture_files.scan_update_file(spark, _file(tmp_path, "d.json", [record(4, "FT", 1, 1)])))
+    snapshots.write_version(coalesce_update(snapshots.read_version(spark, folder), daily, now=NOW), folder, "20240102_000000")
+    assert finished() == {1, 4}
+    put(incoming, lines(record(5, "FT", 0, 1)), "b.json")
+    run("two")
+    assert finished() == {1, 4, 5}
+
+
 def _file(tmp_path, name, records):
     put(tmp_path, records, name)
     return str(tmp_path / name)
