@@ -2,9 +2,11 @@
 
 Texts are cut into words where a single space stands between two other characters; the
 tokenizer's own splitting always cuts there, so words can be encoded apart. Documents are
-gathered into blocks of bounded size. Each block gives its distinct words; every word of
-the corpus is encoded once, and its ids go back to the blocks by a join. There, each text's
-ids are its words' ids in order of position. Decoding looks up the piece of every id.
+gathered into blocks of bounded size. Each block gives its distinct words, dealt by hash into
+shares and packed; equal words of all blocks meet in one share, where each is encoded once,
+and their ids go back to the blocks, packed in the same order, to be joined with the texts.
+There, each text's ids are its words' ids in order of position. Decoding looks up the piece
+of every id in the vocabulary, which every task holds.
 
 A block is a stretch of an input partition. Should a lost task read other rows again, words
 that a block's join lacks are encoded on the spot, so results never depend on the cut.
@@ -22,6 +24,7 @@ import hashlib
 import json
 import os
 import re
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
@@ -36,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 CUT = re.compile(r"(?<=\S)(?= \S)")
-BLOCK_CHARS, PACK_CHARS, OUT_WORDS = 32_000_000, 2_000_000, 100_000
+BLOCK_CHARS, PACK_CHARS, SHARE_CHARS, ENCODE_WORDS = 32_000_000, 2_000_000, 16_000_000, 20_000
 PIECES = "id int, piece binary"
 
 
@@ -89,18 +92,32 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordB
             chars += b.column("text").nbytes
 
 
-def _block_words(docs: DataFrame) -> DataFrame:
-    """``block, word``: the distinct words of each block."""
+def _pack(parts: list[bytes]) -> bytes:
+    """Byte strings in one compressed value, in order."""
+    sizes = np.array([len(parts), *map(len, parts)], "<u4")
+    return zstandard.compress(sizes.tobytes() + b"".join(parts), 6)
+
+
+def _unpack(packed: bytes) -> list[bytes]:
+    data = zstandard.decompress(packed)
+    count = int.from_bytes(data[:4], "little")
+    ends = np.cumsum(np.frombuffer(data, "<u4", count, 4), dtype=np.int64) + 4 * (count + 1)
+    starts = [4 * (count + 1), *ends[:-1].tolist()]
+    return [data[x:y] for x, y in zip(starts, ends.tolist(), strict=True)] if count else []
+
+
+def _block_words(docs: DataFrame, shares: int) -> DataFrame:
+    """``share, block, words``: each block's distinct words, sorted, in one value per share of all words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
-            words = list(found)
-            for at in range(0, len(words), OUT_WORDS):
-                part = words[at : at + OUT_WORDS]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(part), pa.int64()), pa.array(part, pa.string())], names=["block", "word"]
-                )
+            dealt: dict[int, list[bytes]] = {}
+            for w in sorted(word.encode("utf-8", "surrogatepass") for word in found):
+                dealt.setdefault(zlib.crc32(w) % shares, []).append(w)
+            for share, words in dealt.items():
+                yield pa.RecordBatch.from_pylist([{"share": share, "block": block, "words": _pack(words)}], schema=target)
 
+        target = pa.schema([("share", pa.int32()), ("block", pa.int64()), ("words", pa.binary())])
         block, found = None, set()
         for number, b in _blocks(batches):
             if number != block:
@@ -110,7 +127,35 @@ def _block_words(docs: DataFrame) -> DataFrame:
                 found.update(words_of(text))
         yield from flush()
 
-    return docs.select("text").mapInArrow(rows, "block bigint, word string")
+    return docs.select("text").mapInArrow(rows, "share int, block bigint, words binary")
+
+
+def _coded_words(words: DataFrame, spec: str) -> DataFrame:
+    """``block, words, ids``: the ids of each word in its place; every distinct word is encoded once.
+
+    Equal words are in one share, and a share is in one task.
+    """
+    kind = _id_type(spec)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = pa.schema([("block", pa.int64()), ("words", pa.binary()), ("ids", pa.binary())])
+        encode, known, share = _encoder(spec), {}, None
+        for b in batches:
+            for row in b.to_pylist():
+                if row["share"] != share:
+                    share, known = row["share"], {}
+                words = _unpack(row["words"])
+                new = [w for w in words if w not in known]
+                for at in range(0, len(new), ENCODE_WORDS):
+                    part = new[at : at + ENCODE_WORDS]
+                    for w, ids in zip(part, encode([w.decode("utf-8", "surrogatepass") for w in part]), strict=True):
+                        known[w] = np.array(ids, kind).tobytes()
+                yield pa.RecordBatch.from_pylist(
+                    [{"block": row["block"], "words": row["words"], "ids": _pack([known[w] for w in words])}], schema=target
+                )
+
+    dealt = words.repartition("share").sortWithinPartitions("share")
+    return dealt.mapInArrow(rows, "block bigint, words binary, ids binary")
 
 
 def _block_texts(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -138,17 +183,8 @@ def _block_texts(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])]).mapInArrow(rows, "block bigint, packed binary")
 
 
-def encode_words(words: DataFrame, spec: str) -> DataFrame:
-    """``word, ids`` (packed) for each distinct ``word``; keeps the words' partitioning."""
-    kind = np.uint16 if len(pieces(spec)) <= 2**16 else np.uint32
-
-    @F.pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = _encoder(spec)
-        for b in batches:
-            yield pd.Series([np.array(ids, kind).tobytes() for ids in encode(b.tolist())], dtype=object)
-
-    return words.select("word").distinct().withColumn("ids", encoded("word"))
+def _id_type(spec: str) -> type:
+    return np.uint16 if len(pieces(spec)) <= 2**16 else np.uint32
 
 
 def per_document(
@@ -156,16 +192,17 @@ def per_document(
 ) -> DataFrame:
     """``keep`` and the columns ``ddl`` that ``make`` gives for a text's ids and its decoded text."""
     spec = Path(path).read_text(encoding="utf-8")
-    kind = np.uint16 if len(pieces(spec)) <= 2**16 else np.uint32
+    kind = _id_type(spec)
     schema = StructType([*[docs.schema[c] for c in keep], *StructType.fromDDL(ddl).fields])
     target = to_arrow_schema(schema)
 
-    # One shuffle by word serves both the distinct words and the join that brings ids back.
-    words = _block_words(docs).repartition("word")
-    coded = words.join(encode_words(words, spec), "word").select("block", "word", "ids")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    coded = _coded_words(_block_words(docs, max(8, chars // SHARE_CHARS)), spec)
 
     def finish(texts: pa.Table, table: pa.Table) -> pa.Table:
-        known = dict(zip(table.column("word").to_pylist(), table.column("ids").to_pylist(), strict=True))
+        known = {}
+        for words, ids in zip(table.column("words").to_pylist(), table.column("ids").to_pylist(), strict=True):
+            known |= zip([w.decode("utf-8", "surrogatepass") for w in _unpack(words)], _unpack(ids), strict=True)
         piece, encode, out = pieces(spec), None, []
         for packed in texts.column("packed").to_pylist():
             with pa.ipc.open_stream(zstandard.decompress(packed)) as stream:
