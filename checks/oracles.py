@@ -533,35 +533,36 @@ ORACLES: dict[str, str] = {
     "check_accepted_values": """SELECT api_fixture_id, fixture_status FROM raw
         WHERE fixture_status NOT IN ('FT', 'NS', 'WO', 'AWD')""",
     "quality_report": " UNION ALL ".join(
-        [
-            f"""SELECT 'raw_fixtures' AS "table", '{c}' AS "column", 'not_null' AS "check",
-            count(*) FILTER ({c} IS NULL) AS failing FROM raw"""
-            for c in [*FLAT, "created_at", "updated_at"]
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", '{kind}' AS "check", {count} AS failing FROM {source}"""
+        for t, s, filled, unique in [
+            ("raw_fixtures", "raw", [*FLAT[:9], "created_at", "updated_at"], ["api_fixture_id"]),
+            ("int_league_context", "ctx", ["league_season_id", "league_id", "season", "league_name", "country_name"], ["league_season_id"]),
+            ("dim_teams", "teams", ["team_id", "api_team_id", "team_name"], ["team_id", "api_team_id"]),
+            ("int_fixtures", "intf", ["fixture_id", "league_season_id", "kickoff_utc", "home_team_id", "away_team_id", "is_played"], ["fixture_id"]),
+            ("fact_team_fixtures", "tf", ["fixture_id", "team_id", "opponent_id", "is_home"], []),
+            ("int_teams_stats", "standing", ["team_id", "matchday", "position", "games_played", "rolling_points"], []),
+            ("mart_top_team_streaks", "mart", ["streak_id", "league_name", "team_name", "event_name", "streak_type", "current_streak_length"], ["streak_id"]),
         ]
-        + [
-            f"""SELECT 'raw_fixtures', '{c}', 'accepted_values', count(*) FILTER ({c} NOT IN ('win', 'draw', 'loss')) FROM raw"""
-            for c in RESULTS
+        for c, kind, count, source in [
+            *[(c, "not_null", f"count(*) FILTER ({c} IS NULL)", s) for c in filled],
+            *[(c, "unique", "count(*)", f"(SELECT {c} FROM {s} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for c in unique],
         ]
-        + [
-            f"""SELECT '{t}', '{c}', 'unique', count(*) FROM (SELECT {c} FROM {s} GROUP BY {c} HAVING count(*) > 1)"""
-            for t, s, c in [
-                ("raw_fixtures", "raw", "api_fixture_id"),
-                ("int_fixtures", "intf", "fixture_id"),
-                ("dim_teams", "teams", "team_id"),
-                ("dim_teams", "teams", "api_team_id"),
-            ]
-        ]
-        + [
-            """SELECT 'int_fixtures', 'league_season_id', 'not_null', count(*) FILTER (league_season_id IS NULL) FROM intf""",
-            """SELECT 'dim_teams', 'team_name', 'not_null', count(*) FILTER (team_name IS NULL) FROM teams""",
+    )
+    + "".join(
+        f""" UNION ALL SELECT '{t}', '{c}', 'accepted_values', count(*) FILTER ({c} NOT IN ({values})) FROM {s}"""
+        for t, s, c, values in [
+            *[("raw_fixtures", "raw", c, "'win', 'draw', 'loss'") for c in RESULTS],
+            ("fact_team_fixtures", "tf", "fulltime_result", "'win', 'draw', 'loss'"),
+            ("mart_top_team_streaks", "mart", "event_name", ", ".join(f"'{e[0]}'" for e in EVENTS)),
+            ("mart_top_team_streaks", "mart", "streak_type", f"'{GOALS}', '{RESULT}', '{SPECIAL}'"),
         ]
-        + [
-            f"""SELECT 'int_fixtures', '{c}', 'relationship', count(*) FROM intf WHERE {c} NOT IN (SELECT {p} FROM {s})"""
-            for c, p, s in [
-                ("league_season_id", "league_season_id", "ctx"),
-                ("home_team_id", "team_id", "teams"),
-                ("away_team_id", "team_id", "teams"),
-            ]
+    )
+    + "".join(
+        f""" UNION ALL SELECT 'int_fixtures', '{c}', 'relationship', count(*) FROM intf WHERE {c} NOT IN (SELECT {p} FROM {s})"""
+        for c, p, s in [
+            ("league_season_id", "league_season_id", "ctx"),
+            ("home_team_id", "team_id", "teams"),
+            ("away_team_id", "team_id", "teams"),
         ]
     ),
     # M

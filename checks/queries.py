@@ -13,6 +13,7 @@ from streakline.functions.ordered import next_values, number_all, previous_value
 from streakline.functions.scalars import as_time, run_stamp, season_label, slugify, title_case
 from streakline.operators import clean, dims, facts, merge, quality, standings, streaks
 from streakline.plans import jobs, loads, marts, worklists
+from streakline.plans.model_checks import MODEL_CHECKS
 from streakline.schemas import EVENT_CATALOG, Event
 from streakline.session import scratch_path, stage
 from streakline.sources import fixture_files, snapshots, tables
@@ -974,31 +975,21 @@ def check_accepted_values(spark, sf):
 
 @query
 def quality_report(spark, sf):
-    check = quality.Check
-    results = ["win", "draw", "loss"]
-    checks = [
-        *[check("raw_fixtures", c, "not_null") for c in [*FLAT, "created_at", "updated_at"]],
-        check("raw_fixtures", "api_fixture_id", "unique"),
-        *[check("raw_fixtures", c, "accepted_values", tuple(results)) for c in RESULTS],
-        check("int_fixtures", "fixture_id", "unique"),
-        check("int_fixtures", "league_season_id", "not_null"),
-        check("int_fixtures", "league_season_id", "relationship", (), ("int_league_context", "league_season_id")),
-        check("int_fixtures", "home_team_id", "relationship", (), ("dim_teams", "team_id")),
-        check("int_fixtures", "away_team_id", "relationship", (), ("dim_teams", "team_id")),
-        check("dim_teams", "team_id", "unique"),
-        check("dim_teams", "api_team_id", "unique"),
-        check("dim_teams", "team_name", "not_null"),
-    ]
-    return quality.quality_report(
-        {
-            # Stored first, as the warehouse has them: each check then scans its own column.
-            "raw_fixtures": stage(tb.raw_fixtures(spark, sf)),
-            "int_fixtures": stage(enriched(spark, sf)),
-            "int_league_context": context(spark, sf),
-            "dim_teams": tb.dim_teams(spark, sf),
-        },
-        checks,
-    )
+    """All declared checks on the models, worked out from one stored raw table."""
+    # Stored first, as the warehouse has them: each check then scans its own columns.
+    raw, league, teams = stage(tb.raw_fixtures(spark, sf)), stage(context(spark, sf)), stage(tb.dim_teams(spark, sf))
+    fixtures = stage(facts.enrich_fixtures(clean.stg_fixtures(raw), league, dims.stg_teams(teams)))
+    rows = stage(facts.unpivot_team_rows(fixtures))
+    models = {
+        "raw_fixtures": raw,
+        "int_fixtures": fixtures,
+        "int_league_context": league,
+        "dim_teams": teams,
+        "fact_team_fixtures": rows,
+        "int_teams_stats": stage(standings.team_running_table(standings.standings_input(rows, league))),
+        "mart_top_team_streaks": stage(marts.numbered_streaks(rows)),
+    }
+    return quality.quality_report(models, MODEL_CHECKS)
 
 
 # --- M. Marts and jobs ------------------------------------------------------------------------------------------------------

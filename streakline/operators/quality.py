@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,50 +49,48 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
     return df.where(~F.col(column).isin(*values))
 
 
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``c, value, n``: how often each value of each column occurs; one pass for all columns, NULLs left out."""
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
+    melted = df.select(F.inline(cells)).where("value is not null")
+    return melted.groupBy("c", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _entries(df: DataFrame, checks: Sequence[Check], failing: Sequence[Column]) -> DataFrame:
+    """Report rows of ``checks``: one aggregate of ``df`` each, in one pass."""
+    counts = df.agg(*[F.coalesce(x, F.lit(0)).cast("bigint").alias(f"c{i}") for i, x in enumerate(failing)])
+    rows = [
+        F.struct(
+            F.lit(c.table).alias("table"), F.lit(c.column).alias("column"), F.lit(c.kind).alias("check"), F.col(f"c{i}").alias("failing")
+        )
+        for i, c in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """All checks in one table: table, column, check, failing.
 
-    Row-wise checks of a table share one pass over it.
+    A table is read once for its row-wise checks, once for all its unique columns, and once
+    per parent that its columns refer to.
     """
     parts = []
     for name in dict.fromkeys(c.table for c in checks):
         df, own = tables[name], [c for c in checks if c.table == name]
-        row_wise = {}
-        for c in own:
-            if c.kind == "not_null":
-                row_wise[c] = F.col(c.column).isNull()
-            elif c.kind == "accepted_values":
-                row_wise[c] = ~F.col(c.column).isin(*c.values)
+        row_wise = [c for c in own if c.kind in ("not_null", "accepted_values")]
         if row_wise:
-            counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, bad in enumerate(row_wise.values())])
-            entries = [
-                F.struct(
-                    F.lit(c.table).alias("table"),
-                    F.lit(c.column).alias("column"),
-                    F.lit(c.kind).alias("check"),
-                    F.col(f"c{i}").alias("failing"),
-                )
-                for i, c in enumerate(row_wise)
-            ]
-            parts.append(counts.select(F.inline(F.array(*entries))))
-        for c in own:
-            if c.kind == "unique":
-                failing = unique_failures(df, c.column).agg(F.count(F.lit(1)).alias("failing"))
-            elif c.kind == "relationship":
-                parent, parent_column = c.parent
-                failing = relationship_failures(df, c.column, tables[parent], parent_column).agg(
-                    F.coalesce(F.sum("failing"), F.lit(0).cast("bigint")).alias("failing")
-                )
-            else:
-                continue
-            parts.append(
-                failing.select(
-                    F.lit(c.table).alias("table"),
-                    F.lit(c.column).alias("column"),
-                    F.lit(c.kind).alias("check"),
-                    "failing",
-                )
-            )
+            bad = [F.col(c.column).isNull() if c.kind == "not_null" else ~F.col(c.column).isin(*c.values) for c in row_wise]
+            parts.append(_entries(df, row_wise, [F.count_if(b) for b in bad]))
+        unique = [c for c in own if c.kind == "unique"]
+        if unique:
+            values = _values(df, [c.column for c in unique])
+            again = [F.count_if((F.col("c") == i) & (F.col("n") > 1)) for i in range(len(unique))]
+            parts.append(_entries(values, unique, again))
+        for parent in dict.fromkeys(c.parent for c in own if c.kind == "relationship"):
+            related = [c for c in own if c.kind == "relationship" and c.parent == parent]
+            known = tables[parent[0]].select(F.col(parent[1]).cast("string").alias("value"))
+            orphans = _values(df, [c.column for c in related]).join(known, "value", "left_anti")
+            parts.append(_entries(orphans, related, [F.sum(F.when(F.col("c") == i, F.col("n"))) for i in range(len(related))]))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
