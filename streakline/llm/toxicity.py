@@ -102,10 +102,14 @@ class Model:
         return out
 
 
+def training_rows(labels: DataFrame) -> DataFrame:
+    """The labels that may be learned from."""
+    return labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     """``text, toxic`` of at most ``size`` labelled training rows of each class; stored."""
-    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    keyed = known.select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic"))
+    keyed = training_rows(labels).select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic"))
     picks = [keyed.where(F.col("toxic") == t).orderBy(F.xxhash64("of"), "of").limit(size) for t in (0, 1)]
     picked = stage(picks[0].unionByName(picks[1]))
     texts = docs.select("doc_id", "text").where("text is not null")
@@ -135,25 +139,24 @@ def _informative(sample: DataFrame, n_pos: int, n_neg: int, count: int) -> list[
     return [r[0] for r in best.select("feature").collect()]
 
 
-def _fit(docs: list[tuple[int, list[list[int]]]], width: int) -> tuple[float, np.ndarray]:
-    """Noisy-or weights by Adam; ``docs`` has labels and the feature positions of each sentence."""
-    y = np.array([t for t, _ in docs], float)
-    owner = np.repeat(np.arange(len(docs)), [len(s) for _, s in docs])
-    rows = [f for _, s in docs for f in s]
-    sent = np.repeat(np.arange(len(rows)), [len(f) for f in rows])
-    col = np.array([c for f in rows for c in f], np.int64)
+def _fit(y: np.ndarray, weight: np.ndarray, sizes: list[np.ndarray], hits: list[np.ndarray], width: int) -> tuple[float, np.ndarray]:
+    """Noisy-or weights by Adam. Per document: its label and weight, the number of features of each
+    of its sentences, and their positions, sentence after sentence."""
+    owner = np.repeat(np.arange(len(y)), [len(s) for s in sizes])
+    per_sentence, col = np.concatenate(sizes), np.concatenate(hits)
+    count = len(per_sentence)
+    sent = np.repeat(np.arange(count), per_sentence)
     theta = np.zeros(width + 1)
     theta[-1] = START
-    # Both classes weigh as they occur in the sample; toxic ones are rarer in it.
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        z = theta[-1] + np.bincount(sent, theta[col], len(rows))
+        z = theta[-1] + np.bincount(sent, theta[col], count)
         p = np.clip(1 / (1 + np.exp(-np.clip(z, -500, 500))), 1e-12, 1 - 1e-9)
-        log_clean = np.bincount(owner, np.log1p(-p), len(docs))
+        log_clean = np.bincount(owner, np.log1p(-p), len(y))
         toxic = np.maximum(-np.expm1(log_clean), 1e-12)
-        pull = y * np.exp(log_clean) / toxic - (1 - y)
+        pull = weight * (y * np.exp(log_clean) / toxic - (1 - y))
         dz = pull[owner] * p
-        grad = np.append(np.bincount(col, dz[sent], width), dz.sum()) / len(docs)
+        grad = np.append(np.bincount(col, dz[sent], width), dz.sum()) / weight.sum()
         grad[:-1] -= DECAY * theta[:-1]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
@@ -170,19 +173,23 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int
     chosen = _informative(sample, counts[1], counts[0], features)
     place = {f: i for i, f in enumerate(chosen)}
 
-    def compact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            hits = [
-                [[place[f] for w in sorted(words) for f in word_features(w) if f in place] for _, _, words in sentences(t)]
-                for t in b["text"]
-            ]
-            yield pd.DataFrame({"toxic": b["toxic"], "hits": hits})
-
-    rows = sample.mapInPandas(compact, "toxic int, hits array<array<int>>").collect()
-    rows = sorted((int(r["toxic"]), [list(s) for s in r["hits"]]) for r in rows if r["hits"])
-    if len({t for t, _ in rows}) < 2:
+    def compact(text):
+        found = [
+            [place[f] for w in sorted(words) for f in word_features(w) if f in place] for _, _, words in sentences(text)
+        ]
+        return np.array([len(x) for x in found], "<i4").tobytes(), np.array([p for x in found for p in x], "<i4").tobytes()
+
+    # Numbers come packed: the driver never holds the sample as lists.
+    rows = add_columns(sample, lambda: compact, "sizes binary, hits binary", keep=("toxic",)).where("length(sizes) > 0").collect()
+    rows.sort(key=lambda r: (r["toxic"], bytes(r["sizes"]), bytes(r["hits"])))
+    if len({r["toxic"] for r in rows}) < 2:
         return Model()
-    bias, weights = _fit(rows, len(chosen))
+    sizes, hits = ([np.frombuffer(r[c], "<i4") for r in rows] for c in ("sizes", "hits"))
+    y = np.array([r["toxic"] for r in rows])
+    # Where a class was sampled its rows stand for all of it, so scores keep the labels' odds.
+    totals = {r["toxic"]: r["count"] for r in training_rows(labels).groupBy("toxic").count().collect()}
+    weight = np.array([max(1.0, totals[t] / size) for t in (0, 1)])[y]
+    bias, weights = _fit(y.astype(float), weight, sizes, hits, len(chosen))
     return Model(bias, {f: float(weights[i]) for f, i in place.items()})
 
 
