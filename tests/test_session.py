@@ -1,3 +1,6 @@
+import pytest
+
+from streakline.functions.sizing import broadcast_if_small, is_small, measured_bytes
 from streakline.session import scratch_path, shared_dir, stage
 
 
@@ -17,3 +20,27 @@ def test_staged_rows_have_no_lineage(spark):
     # Read twice, the same random numbers: they were computed once.
     assert sorted(staged.collect()) == sorted(staged.collect())
     assert "Range" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sizes_count_texts_and_rows(spark):
+    short = spark.range(1000)
+    assert is_small(short) and not is_small(short, 1_000)
+    texts = short.selectExpr("id", "repeat('x', 10000) as text", "array(1, 2, 3) as list", "cast(null as string) as none")
+    assert 10_000_000 < measured_bytes(texts) < 11_000_000
+    assert measured_bytes(texts.limit(0)) == 0
+    assert "broadcast" in broadcast_if_small(short)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in broadcast_if_small(short, 1)._jdf.queryExecution().logical().toString()
+
+
+def test_a_cluster_must_name_the_shared_folder(spark):
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "k8s://host"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    if before is None:
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            shared_dir(Elsewhere)
