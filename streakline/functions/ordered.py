@@ -29,7 +29,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streakline.session import stage
+from streakline.session import stage, stored
 
 CHUNK_ROWS = 4_000_000
 CHUNK = "_chunk"
@@ -83,7 +83,7 @@ def per_key(
     if hot is True:
         return in_chunks(cut(df, keys, order, math.ceil(df.count() / chunk_rows)))
     # The input is worked out once; counting, splitting and cutting read the stored rows.
-    df = stage(df)
+    df = stored(df)
     found = hot_keys(df, keys, chunk_rows)
     rows = found.agg(F.sum("rows")).first()[0]
     if not rows:

@@ -61,3 +61,15 @@ def stage(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Is ``df`` no more than a selection of stored rows, as cheap to read again as a copy of it?"""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    nodes = [re.match(r"[\s:+|-]*(\w*)", line).group(1) for line in lines]
+    return set(nodes) <= {"Project", "Filter", "Relation"}
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if it is a scan, else staged."""
+    return df if is_scan(df) else stage(df)

@@ -1,7 +1,7 @@
 import pytest
 
 from streakline.functions.sizing import broadcast_if_small, is_small, measured_bytes
-from streakline.session import scratch_path, shared_dir, stage
+from streakline.session import is_scan, scratch_path, shared_dir, stage
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
@@ -44,3 +44,12 @@ def test_a_cluster_must_name_the_shared_folder(spark):
     if before is None:
         with pytest.raises(RuntimeError, match="checkpoint"):
             shared_dir(Elsewhere)
+
+
+def test_scans_are_told_from_work(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(9).selectExpr("id", "id * 2 as v").write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert is_scan(rows) and is_scan(rows.where("v > 3").selectExpr("v + 1 as w"))
+    assert not is_scan(rows.groupBy("id").count()) and not is_scan(rows.join(rows.select("id"), "id"))
+    assert not is_scan(rows.selectExpr("explode(array(id, v)) as x"))
