@@ -33,7 +33,7 @@ from streakline.llm.common import add_columns
 from streakline.session import stage
 
 SAMPLE, BUCKETS, FEATURES, FOLDS = 6_000, 2**18, 4_096, 5
-STEPS, RATE, DECAY, START = 300, 0.1, 1e-4, -5.0
+STEPS, RATE, DECAY, START, FIT_BLOCK = 300, 0.1, 1e-4, -5.0, 500
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"[^\W\d_]+")
 CACHE = 400_000
@@ -141,22 +141,28 @@ def _informative(sample: DataFrame, n_pos: int, n_neg: int, count: int) -> list[
 
 def _fit(y: np.ndarray, weight: np.ndarray, sizes: list[np.ndarray], hits: list[np.ndarray], width: int) -> tuple[float, np.ndarray]:
     """Noisy-or weights by Adam. Per document: its label and weight, the number of features of each
-    of its sentences, and their positions, sentence after sentence."""
-    owner = np.repeat(np.arange(len(y)), [len(s) for s in sizes])
-    per_sentence, col = np.concatenate(sizes), np.concatenate(hits)
-    count = len(per_sentence)
-    sent = np.repeat(np.arange(count), per_sentence)
+    of its sentences, and their positions, sentence after sentence.
+
+    Gradients are summed over blocks of documents, so that the work space is a block's.
+    """
     theta = np.zeros(width + 1)
     theta[-1] = START
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        z = theta[-1] + np.bincount(sent, theta[col], count)
-        p = np.clip(1 / (1 + np.exp(-np.clip(z, -500, 500))), 1e-12, 1 - 1e-9)
-        log_clean = np.bincount(owner, np.log1p(-p), len(y))
-        toxic = np.maximum(-np.expm1(log_clean), 1e-12)
-        pull = weight * (y * np.exp(log_clean) / toxic - (1 - y))
-        dz = pull[owner] * p
-        grad = np.append(np.bincount(col, dz[sent], width), dz.sum()) / weight.sum()
+        grad = np.zeros_like(theta)
+        for at in range(0, len(y), FIT_BLOCK):
+            part = slice(at, at + FIT_BLOCK)
+            per_sentence, col = np.concatenate(sizes[part]), np.concatenate(hits[part])
+            owner = np.repeat(np.arange(len(y[part])), [len(s) for s in sizes[part]])
+            sent = np.repeat(np.arange(len(per_sentence)), per_sentence)
+            z = theta[-1] + np.bincount(sent, theta[col], len(per_sentence))
+            p = np.clip(1 / (1 + np.exp(-np.clip(z, -500, 500))), 1e-12, 1 - 1e-9)
+            log_clean = np.bincount(owner, np.log1p(-p), len(y[part]))
+            toxic = np.maximum(-np.expm1(log_clean), 1e-12)
+            pull = weight[part] * (y[part] * np.exp(log_clean) / toxic - (1 - y[part]))
+            dz = pull[owner] * p
+            grad += np.append(np.bincount(col, dz[sent], width), dz.sum())
+        grad /= weight.sum()
         grad[:-1] -= DECAY * theta[:-1]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
