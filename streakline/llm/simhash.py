@@ -35,6 +35,7 @@ from streakline.session import stage
 REACH, SHINGLE, SEED = 3, 3, 42
 SAMPLE, SHARD_FINGERPRINTS, MAX_DEPTH = 32_768, 60_000, 10
 BLOCK = 2**21
+MOST = 2**63 - 1
 
 
 def fingerprint(text: str | None) -> int:
@@ -223,11 +224,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, that of the least id (and fingerprint), all its columns."""
     fps = stage(fingerprints(docs))
     named = fps.join(grouped(fps).select("fp", "root"), "fp")
-    kept = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k"))
-    kept = stage(kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.fp").alias("kept_fp")))
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
-    with_fp = add_columns(inner, lambda: lambda t: (fingerprint(t),), "fp bigint", keep=("row", "doc_id"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
+    # Null ids come last; the stand-in keeps the join and the grouping on plain keys, with one shuffle.
+    known = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(MOST))
+    kept = named.groupBy("root").agg(F.min(F.struct(known.alias("kept_id"), "fp")).alias("k"))
+    kept = stage(kept.select(F.col("k.kept_id").alias("kept_id"), F.col("k.fp").alias("fp")))
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), known.alias("kept_id"), "text")
+    with_fp = add_columns(inner, lambda: lambda t: (fingerprint(t),), "fp bigint", keep=("row", "kept_id"))
     # Rows equal in id and fingerprint are one document repeated; one of them stays.
-    rows = with_fp.join(kept, same, "left_semi").groupBy("doc_id", "fp").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
-    return rows.select("row.*")
+    rows = with_fp.join(kept, ["kept_id", "fp"], "left_semi").groupBy("kept_id", "fp")
+    return rows.agg(F.min_by("row", F.xxhash64("row.text")).alias("row")).select("row.*")
