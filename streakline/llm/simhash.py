@@ -20,7 +20,7 @@ gives no rows; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +38,24 @@ BLOCK = 2**21
 MOST = 2**63 - 1
 
 
-def fingerprint(text: str | None) -> int:
-    """The text's fingerprint as a signed 64-bit number."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """A 64-bit hash of every ``width`` words in a row; of all words where there are fewer."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # ASCII only, as the words are
     if not words:
-        return 0
+        return np.array([], np.uint64)
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words]) - 1
-    width = min(SHINGLE, len(words))
+    width = min(width, len(words))
     lasts = ends[width - 1 :].tolist()
     firsts = [0, *(ends[: len(words) - width] + 1).tolist()]
     hashed = xxhash.xxh64_intdigest
-    values = np.array([hashed(joined[a:b], SEED) for a, b in zip(firsts, lasts, strict=True)], np.uint64)
+    return np.array([hashed(joined[a:b], SEED) for a, b in zip(firsts, lasts, strict=True)], np.uint64)
+
+
+def fingerprint(text: str | None) -> int:
+    """The text's fingerprint as a signed 64-bit number."""
+    values = shingle_hashes(text, SHINGLE)
+    if not len(values):
+        return 0
     bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     set_ = bits.sum(axis=0, dtype=np.int64) * 2 > len(values)
     return int(np.packbits(set_, bitorder="little").view(np.int64)[0])
@@ -223,13 +230,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, that of the least id (and fingerprint), all its columns."""
     fps = stage(fingerprints(docs))
-    named = fps.join(grouped(fps).select("fp", "root"), "fp")
+    return least_of_each(docs, fps.join(grouped(fps).select("fp", "root"), "fp"), fingerprint)
+
+
+def least_of_each(docs: DataFrame, named: DataFrame, mark: Callable[[str | None], int]) -> DataFrame:
+    """One row of ``docs`` per ``root`` of ``named`` (``doc_id, fp, root``); ``mark`` gives a text's ``fp``."""
     # Null ids come last; the stand-in keeps the join and the grouping on plain keys, with one shuffle.
     known = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(MOST))
     kept = named.groupBy("root").agg(F.min(F.struct(known.alias("kept_id"), "fp")).alias("k"))
     kept = stage(kept.select(F.col("k.kept_id").alias("kept_id"), F.col("k.fp").alias("fp")))
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), known.alias("kept_id"), "text")
-    with_fp = add_columns(inner, lambda: lambda t: (fingerprint(t),), "fp bigint", keep=("row", "kept_id"))
+    with_fp = add_columns(inner, lambda: lambda t: (mark(t),), "fp bigint", keep=("row", "kept_id"))
     # Rows equal in id and fingerprint are one document repeated; one of them stays.
     rows = with_fp.join(kept, ["kept_id", "fp"], "left_semi").groupBy("kept_id", "fp")
     return rows.agg(F.min_by("row", F.xxhash64("row.text")).alias("row")).select("row.*")
