@@ -7,8 +7,10 @@ label, one of the four kinds or none. Neighbouring candidates share a chain pote
 distant ones that are equal, or one of which ends the other, share a skip potential that
 favours one label for both. Matches of a pattern are observed; the labels of the others
 follow from loopy belief propagation over the whole document, and those that are rather a
-kind than none are added. Equal candidates are linked one to the next, so a token repeated
-very often costs no more than its length.
+kind than none are added. Equal candidates are linked one to the next, and each that is not
+matched to the first match of its key or of a similar one, so that a match reaches all its
+repeats; the links stay linear in the candidates. Messages run until they settle, at most as
+many rounds as there are candidates (``ROUNDS`` at least).
 
 Weights are trained by pseudo-likelihood on the candidates of at most ``SAMPLE`` documents,
 those with the least hash of their text: matches have their kind, numbers that resemble
@@ -145,13 +147,32 @@ WIDTH = 16
 
 
 def links(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
-    """Edges (kind, i, j): 0 between neighbours, 1 to the next equal, 2 to the next that one ends."""
+    """Edges (kind, i, j): 0 between neighbours, 1 to an equal, 2 to one that ends the other.
+
+    Edges go to the next such mention, and from each unmatched mention to the first match.
+    """
     edges = [(0, i, i + 1) for i in range(len(found) - 1)]
     last: dict[str, int] = {}
-    for i, (*_, key) in enumerate(found):
+    match: dict[str, int] = {}
+    unmatched: dict[str, list[int]] = {}
+    for i, (_, _, label, key) in enumerate(found):
         if key in last:
             edges.append((1, last[key], i))
         last[key] = i
+        if label >= 0:
+            match.setdefault(key, i)
+        else:
+            unmatched.setdefault(key, []).append(i)
+    joined = set(edges)
+
+    def star(kind: int, key: str, hub: int) -> None:
+        rays = [(kind, min(hub, i), max(hub, i)) for i in unmatched.get(key, ())]
+        # What the rows link already is not linked twice.
+        edges.extend(e for e in rays if e not in joined)
+        joined.update(rays)
+
+    for key, hub in match.items():
+        star(1, key, hub)
     # Similar: an e-mail's name, or a number's last digits, seven at least.
     by_end: dict[str, int] = {}
     for key, i in last.items():
@@ -161,6 +182,10 @@ def links(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
             other = found[j][3]
             if "@" in key or "@" in other or key.endswith(other) or other.endswith(key):
                 edges.append((2, min(i, j), max(i, j)))
+                joined.add(edges[-1])
+                for a, b in ((key, other), (other, key)):
+                    if a in match and b not in match:
+                        star(2, b, match[a])
         by_end[end] = i
     return edges
 
@@ -186,7 +211,7 @@ class Field:
         own = np.array([features(text, a, b, k) for a, b, _, k in found]) @ self.unary
         for i, (_, _, label, _) in enumerate(found):
             if label >= 0:
-                own[i] = np.where(np.arange(5) == label, 0.0, -1e3)
+                own[i] = np.where(np.arange(5) == label, 0.0, -1e9)
         edges = links(found)
         if edges:
             # Each edge in both directions; messages are in logarithms.
@@ -195,7 +220,7 @@ class Field:
             a, b = (np.array([e[x] for e in edges] + [e[y] for e in edges]) for x, y in ((1, 2), (2, 1)))
             back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
             message = np.zeros((len(a), 5))
-            for _ in range(ROUNDS):
+            for _ in range(max(ROUNDS, len(found))):
                 total = own.copy()
                 np.add.at(total, b, message)
                 new = np.logaddexp.reduce((total[a] - message[back])[:, :, None] + pair, axis=1)

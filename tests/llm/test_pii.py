@@ -100,6 +100,17 @@ def test_repeated_tokens_cost_their_number(spark):
     assert len(pii.links(pii.candidates(text))) <= 3 * 3001
 
 
+def test_a_match_reaches_all_its_repeats():
+    field = pii.Field.empty()
+    field.skip[:] = 8.0
+    for lean in (0.0, 0.5):
+        field.unary[0, pii.NONE] = lean
+        for text in ("+1 (403) 555-9312, " + "1 403 555 9312; " * 3000, "1 403 555 9312; " * 3000 + "+1 (403) 555-9312", "+1 (403) 555-9312, " + "403 555 9312; " * 3000):
+            base, every = field.spans(text)
+            assert len(base) == 1 and len(every) == 3001 and {k for k, *_ in every} == {pii.PHONE}
+            assert len(pii.links(pii.candidates(text))) <= 3 * 3001
+
+
 def test_masks(odd, spark):
     docs = spark.createDataFrame([(1, "write a.b@c.de or 1.2.3.4", 25), (2, None, 3), (3, "", 0)], "doc_id long, text string, n_chars int")
     rows = {r["doc_id"]: r for r in pii.mask_personal_data(docs).collect()}
