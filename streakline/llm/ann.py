@@ -9,7 +9,9 @@ the exact distance.
 
 How many buckets to visit is measured: for a bounded sample of queries the nearest of all
 vectors are found by brute force, and as many probes are made as would have met ``RECALL``
-of them.
+of them. Queries for which the probes find fewer than asked for, and all queries where even
+``MOST_PROBES`` miss that share in the sample, meet every vector of their length instead, in
+blocks, so they are exact.
 
 Equal vectors are indexed once with their smallest ids, so copies never crowd a bucket; a
 bucket with more than ``PART_ROWS`` vectors is cut into parts and its queries visit each. A
@@ -122,9 +124,11 @@ class Hashing:
         return first
 
 
-def measured_probes(classes: DataFrame, points: DataFrame, nearest: int, recall: float = RECALL) -> int:
+def measured_probes(classes: DataFrame, points: DataFrame, nearest: int, recall: float = RECALL) -> int | None:
     """How many probes meet ``recall`` of the nearest that brute force finds for a sample of queries.
 
+    None: more than ``MOST_PROBES``.
+
     At most ``SAMPLE`` queries, the least by hash, meet every indexed vector, in blocks; only
     their few nearest come back.
     """
@@ -163,7 +167,8 @@ def measured_probes(classes: DataFrame, points: DataFrame, nearest: int, recall:
     )
     if not first:
         return LEAST_PROBES
-    return max(LEAST_PROBES, min(MOST_PROBES, first[max(0, math.ceil(recall * len(first)) - 1)] + 1))
+    needed = first[max(0, math.ceil(recall * len(first)) - 1)] + 1
+    return max(LEAST_PROBES, needed) if needed <= len(places) else None
 
 
 def usable(embedding: Column) -> Column:
@@ -265,6 +270,23 @@ def _search(dealt: DataFrame, nearest: int) -> DataFrame:
     return dealt.mapInArrow(rows, "query_class bigint, class_id bigint, score double")
 
 
+def _met(index: DataFrame, visits: DataFrame, keep: int) -> DataFrame:
+    """``query_class, class_id, score``: the ``keep`` nearest that each visit meets in each part of its bucket."""
+    sizes = stage(index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
+    large = broadcast_if_small(sizes.where(F.col("n") > PART_ROWS).select("bucket", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt_index = index.join(large, "bucket", "left").select(
+        "bucket", F.pmod(F.xxhash64("class_id"), parts).cast("int").alias("part"), F.lit(0).alias("visit"), "class_id", "embedding"
+    )
+    # Buckets that hold nothing are not visited.
+    open_visits = visits.join(sizes.select("bucket"), "bucket", "left_semi").join(large, "bucket", "left")
+    dealt_visits = open_visits.select(
+        "bucket", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(1).alias("visit"), "class_id", "embedding"
+    )
+    dealt = dealt_index.unionByName(dealt_visits).repartition("bucket", "part").sortWithinPartitions("bucket", "part", "visit")
+    return _search(dealt, keep)
+
+
 def nearest_neighbours(vectors: DataFrame, queries: Column | None = None, nearest: int = NEAREST, probes: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: the nearest found for every row that ``queries`` picks.
 
@@ -293,20 +315,19 @@ def nearest_neighbours(vectors: DataFrame, queries: Column | None = None, neares
 
     if probes is None:
         probes = measured_probes(classes, points, nearest)
-    index, visits = _index(classes), _visits(points, probes)
-    sizes = stage(index.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")))
-    large = broadcast_if_small(sizes.where(F.col("n") > PART_ROWS).select("bucket", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    dealt_index = index.join(large, "bucket", "left").select(
-        "bucket", F.pmod(F.xxhash64("class_id"), parts).cast("int").alias("part"), F.lit(0).alias("visit"), "class_id", "embedding"
-    )
-    # Buckets that hold nothing are not visited.
-    open_visits = visits.join(sizes.select("bucket"), "bucket", "left_semi").join(large, "bucket", "left")
-    dealt_visits = open_visits.select(
-        "bucket", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(1).alias("visit"), "class_id", "embedding"
-    )
-    dealt = dealt_index.unionByName(dealt_visits).repartition("bucket", "part").sortWithinPartitions("bucket", "part", "visit")
-    found = _search(dealt, keep).groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
+    # Rows per vector length serve as one bucket, which meets all queries of that length.
+    every = F.col("size").cast("bigint").alias("bucket"), "class_id", "embedding"
+    if probes is None:
+        found = _met(classes.select(*every), points.select(*every), keep)
+    else:
+        found = stage(_met(_index(classes), _visits(points, probes), keep))
+        # A class met in several tables counts once.
+        near = found.select("query_class", "class_id").distinct().join(classes.select("class_id", F.size("ids").alias("n")), "class_id")
+        served = near.groupBy("query_class").agg(F.sum("n").alias("n")).where(F.col("n") >= keep)
+        short = stage(points.join(served, F.col("class_id") == F.col("query_class"), "left_anti"))
+        if not short.isEmpty():
+            found = found.unionByName(_met(classes.select(*every), short.select(*every), keep))
+    found = found.groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
     # At most keep rows per visit and visits per table: a bounded number of rows per query.
     spread = found.join(classes.select("class_id", "ids"), "class_id").select(
         "query_class", "score", F.explode("ids").alias("vec_id")

@@ -85,3 +85,24 @@ def test_probe_sets_are_distinct_and_valid():
 
 def test_empty(spark):
     assert ann.nearest_neighbours(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_opposite_and_few_vectors_get_all_candidates(spark):
+    rng = np.random.default_rng(4)
+    unlike = [(i, rng.normal(size=16).tolist(), 1, "s", "b") for i in range(0, 300, 50)]
+    tables = [
+        [(0, [1.0, 0.0], 1, "s", "b"), (50, [-1.0, 0.0], 1, "s", "b")],
+        unlike,
+        [(i * 50, [float(np.cos(i)), float(np.sin(i)), 1.0], 1, "s", "b") for i in range(7)] + unlike[1:4],
+    ]
+    for rows in tables:
+        rows = [(i, np.float32(v).tolist(), *rest) for i, v, *rest in {r[0]: r for r in rows}.values()]
+        # Twenty probes serve few of these queries; the others are to be exact.
+        for probes in (20, None):
+            found = {}
+            for r in ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA), probes=probes).collect():
+                found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+            want = {q: near for q, near in brute(rows).items() if near}
+            assert {q: len(f) for q, f in found.items()} == {q: len(near) for q, near in want.items()}
+            if probes is None:
+                assert {q: [i for _, i in sorted(f)] for q, f in found.items()} == {q: [i for i, _ in near] for q, near in want.items()}
