@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.llm import ann, bpe, mixing, pii, simhash, sketch, substrings, suffixes, toxicity, urls
+from streakline.llm import ann, bpe, exact, mixing, pii, simhash, sketch, substrings, suffixes, toxicity, trie, urls, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -76,3 +76,24 @@ SQL["op9_filter_urls"] = urls.SQL
 @query
 def op10_suffix_repeats(spark, sf):
     return suffixes.measure_repeats(table(spark, sf, "documents"))
+
+
+@query
+def op11_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_exact_duplicates(spark, sf):
+    return exact.grouped(table(spark, sf, "documents"))
+
+
+SQL["op12_exact_duplicates"] = exact.SQL
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    return trie.prefix_trie(table(spark, sf, "conversations"))
+
+
+SQL["op13_prefix_trie"] = trie.SQL

@@ -30,7 +30,7 @@ def test_run(spark, sf):
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 def test_nothing_else_imports_this_package():
