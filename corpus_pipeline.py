@@ -9,31 +9,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.llm import bpe, jaccard, mixing, pii, toxicity
+from streakline.llm import bpe, mixing, pii, simhash, toxicity
 from streakline.session import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5; the model learns from the labels of ``sf_dir``."""
+    """Documents that score below 0.5; the model learns from the labels of ``sf_dir``. Null texts are scored as empty."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near duplicates.
+    """One document, that of the least id, of each group linked by fingerprints.
 
-    Near are texts that share 0.8 or more of their five-word shingles.
+    Fingerprints are of three-word shingles and link at 3 or fewer differing bits; null and empty
+    texts share one fingerprint.
     """
-    return jaccard.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind in brackets."""
+    """All documents, with personal data replaced by its kind in brackets; null texts stay null."""
     return pii.mask_personal_data(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, whole each time; null and empty texts weigh nothing."""
     return mixing.mix_documents(docs)
 
 
