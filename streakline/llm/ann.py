@@ -42,6 +42,8 @@ NEAREST, EVERY = 5, 50
 TABLES, WIDTH, CELL = 6, 10, 0.35
 SAMPLE, RECALL, LEAST_PROBES, MOST_PROBES = 100, 0.96, 20, 8_192
 PART_ROWS, BLOCK = 4_096, 2_000_000
+#: Scores this close are told apart by the exact arithmetic only; pairs that it takes at a time.
+ROUNDING, PAIRS = 1e-9, 50_000
 SEED = 20_240
 
 
@@ -229,6 +231,12 @@ def _visits(queries: DataFrame, probes: int) -> DataFrame:
 def _search(dealt: DataFrame, nearest: int) -> DataFrame:
     """Per visit the ``nearest`` classes of its bucket part, with their exact cosine."""
 
+    def score(a, v, unit_a, unit_v) -> np.ndarray:
+        # The same arithmetic for a pair wherever it is met.
+        exact = (a * v).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((v * v).sum(axis=1)))
+        # Squares that overflow or vanish: the same from the scaled vectors.
+        return np.where(np.isfinite(exact), exact, (unit_a * unit_v).sum(axis=1))
+
     def settle(ids, vectors, asks, points) -> tuple | None:
         if not len(ids) or not len(asks):
             return None
@@ -238,13 +246,17 @@ def _search(dealt: DataFrame, nearest: int) -> DataFrame:
         for at in range(0, len(asks), step):
             scores = ask[at : at + step] @ unit.T
             k = min(nearest, len(ids))
-            best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-            q, c = np.repeat(np.arange(len(best)) + at, k), best.ravel()
-            # The same arithmetic for a pair wherever it is met.
-            a, v = points[q], vectors[c]
-            exact = (a * v).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((v * v).sum(axis=1)))
-            # Squares that overflow or vanish: the same from the scaled vectors.
-            out.append((asks[q], ids[c], np.where(np.isfinite(exact), exact, (ask[q] * unit[c]).sum(axis=1))))
+            # All within rounding of the last score kept are scored exactly, then cut by score and id.
+            least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+            q, c = np.nonzero(scores >= least[:, None] - ROUNDING)
+            q = q + at
+            pairs = [slice(x, x + PAIRS) for x in range(0, len(q), PAIRS)]
+            exact = np.concatenate([score(points[q[p]], vectors[c[p]], ask[q[p]], unit[c[p]]) for p in pairs])
+            order = np.lexsort((ids[c], -exact, q))
+            q, c, exact = q[order], c[order], exact[order]
+            first = np.append(0, np.flatnonzero(np.diff(q)) + 1)
+            nth = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+            out.append((asks[q[nth < k]], ids[c[nth < k]], exact[nth < k]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -158,11 +158,9 @@ def mix_sizes(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3)
 
 
 def mix_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3) -> DataFrame:
-    """The mixed table, columns of ``docs``: a document comes as often as it is taken.
+    """The mixed table, columns of ``docs``: a document comes as often as it is taken, whole each time.
 
-    The document at a source's threshold comes once more as its first ``part`` words, joined
-    by single spaces.
-    ``n_chars``, where there is such a column, follows the text.
+    The document at a source's threshold comes once more if half of it or more is due.
     """
     plan = mix_plan(stage(sized(docs)), weights, cap)
     inner = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
@@ -173,22 +171,9 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int
         mix_hash(F.col("doc_id"), F.col("text")).alias("h"),
     )
     shares = with_shares(rows, plan)
-    # Each copy is a number of words: null for the whole text.
-    whole = F.array_repeat(F.lit(None).cast("bigint"), F.col("full"))
-    copies = F.when(F.col("part") > 0, F.concat(whole, F.array(F.col("part")))).otherwise(whole)
-    out = shares.select("row", F.explode(copies).alias("words"))
-    all_words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
-    head = F.array_join(F.slice(all_words, F.lit(1), F.col("words").cast("int")), " ")
-    text = F.when(F.col("words").isNull(), F.col("row.text")).otherwise(head)
-    columns = []
-    for c in docs.columns:
-        value = F.col("row")[c]
-        if c == "text":
-            value = text
-        elif c == "n_chars":
-            value = F.when(F.col("words").isNull(), value).otherwise(F.length(text)).cast(docs.schema[c].dataType)
-        columns.append(value.alias(c))
-    return out.select(*columns)
+    due = ((F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))).cast("int")
+    copies = F.array_repeat(F.lit(0), (F.col("full") + due).cast("int"))
+    return shares.select("row", F.explode(copies)).select("row.*")
 
 
 SQL = r"""

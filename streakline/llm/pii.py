@@ -119,7 +119,7 @@ def candidates(text: str | None) -> list[tuple[int, int, int, str]]:
         if len(key) >= 7 and free(*m.span()):
             found.append((*m.span(), -1, key))
     names = {k.partition("@")[0] for _, _, label, k in found if label == EMAIL}
-    names = {n for n in names if re.search("[0-9._]", n) and len(n) >= 3}
+    names = {n for n in names if len(n) >= 3}
     if names:
         for m in NAME.finditer(text):
             key = m[0].rstrip(".").lower()
@@ -174,11 +174,11 @@ def links(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
     for key, hub in match.items():
         star(1, key, hub)
     # Similar: an e-mail's name, or a number's last digits, seven at least.
-    by_end: dict[str, int] = {}
+    by_end: dict[str, dict[int, None]] = {}
     for key, i in last.items():
         end = key.partition("@")[0] if "@" in key else key[-7:] if key.isdigit() else key
-        j = by_end.get(end)
-        if j is not None:
+        alike = by_end.setdefault(end, {})
+        for j in reversed(alike):
             other = found[j][3]
             if "@" in key or "@" in other or key.endswith(other) or other.endswith(key):
                 edges.append((2, min(i, j), max(i, j)))
@@ -186,7 +186,8 @@ def links(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
                 for a, b in ((key, other), (other, key)):
                     if a in match and b not in match:
                         star(2, b, match[a])
-        by_end[end] = i
+                break
+        alike[i] = None
     return edges
 
 
@@ -200,7 +201,10 @@ class Field:
 
     @classmethod
     def empty(cls) -> Field:
-        return cls(np.zeros((WIDTH, 5)), np.zeros((5, 5)), np.zeros(2))
+        """Knows of no kind, so it adds nothing."""
+        unary = np.zeros((WIDTH, 5))
+        unary[0, NONE] = 1.0
+        return cls(unary, np.zeros((5, 5)), np.zeros(2))
 
     def potentials(self, edges: list[tuple[int, int, int]]) -> np.ndarray:
         same = np.eye(5)
@@ -272,7 +276,7 @@ def train(docs: DataFrame, size: int = SAMPLE) -> Field:
     """Fit the field on the candidates of at most ``size`` documents that may have some."""
     texts = docs.select("text").where(F.col("text").rlike("[0-9@]"))
     # Hashes are ordered, not texts: few rows and no text pass through the ordering task.
-    marks = texts.select(F.xxhash64("text").alias("mark")).orderBy("mark").limit(size)
+    marks = texts.select(F.xxhash64("text").alias("mark")).distinct().orderBy("mark").limit(size)
     bound = stage(marks).agg(F.max("mark")).first()[0]
     if bound is None:
         return Field.empty()

@@ -15,7 +15,9 @@ step 2. This changes where rows go, never what is found. Texts are shuffled once
 document, and read twice from that shuffle: for the names of step 2 and for the result.
 
 Window and block names have 64 bits and are compared within a gram of 32 bits more.
-Rows are known by id and a hash of the text: rows equal in both are read as rows at one place.
+Rows are known by id and a 64-bit hash of the text. Rows of one id with other texts are documents
+of their own, in the order of these hashes. So are rows equal in both, which share what was found:
+of these each but the first consists of nothing else than earlier text.
 """
 
 from __future__ import annotations
@@ -33,9 +35,11 @@ from streakline.llm.common import SLICE_ROWS
 from streakline.llm.windows import anchor_runs, window_names
 from streakline.session import stage
 
-LEAST = -(2**63)
+LEAST, MOST = -(2**63), 2**63 - 1
 HOT_ROWS, SAMPLE_DOCS, MAX_PARTS = 2_000, 4_000, 4_096
 CHUNK_WINDOWS = 2_000_000
+#: Elements that are named in one call: enough to make up for the call, few enough for the cache.
+CALL_ELEMENTS = 40_000
 ROW = ["id", "h"]
 
 Codes = Callable[[str], np.ndarray]
@@ -45,7 +49,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     """``id`` (null first), ``h`` and ``text`` (null as empty)."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("id"), F.hash(text).alias("h"), text.alias("text")
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LEAST)).alias("id"), F.xxhash64(text).alias("h"), text.alias("text")
     )
 
 
@@ -82,23 +86,41 @@ def _spots(place: int) -> tuple[int, int, int]:
     return first, first + (place & 4095), anchor
 
 
+def _calls(values: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Neighbours joined up to about ``CALL_ELEMENTS``: the first one's number, the joined array, the sizes."""
+    held, count, at = [], 0, 0
+    for i, v in enumerate(values):
+        if held and count + len(v) > CALL_ELEMENTS:
+            yield at, np.concatenate(held), np.array([len(x) for x in held])
+            held, count, at = [], 0, i
+        held.append(v)
+        count += len(v)
+    if held:
+        yield at, np.concatenate(held), np.array([len(x) for x in held])
+
+
 def _runs(rows: DataFrame, codes: Codes, length: int, gram: int, parts: dict[int, int]) -> DataFrame:
     def found(batches):
         for b in _sliced(batches):
             made = []
-            for id_, h, text in zip(*[b.column(c).to_pylist() for c in ("id", "h", "text")], strict=True):
-                r = anchor_runs(codes(text), length, gram)
+            ids, hashes = (b.column(c).to_numpy(zero_copy_only=False) for c in ROW)
+            for at, joined, sizes in _calls([codes(t) for t in b.column("text").to_pylist()]):
+                r = anchor_runs(joined, length, gram, sizes)
                 if r is None:
                     continue
                 g = (r.gram & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                ends = np.cumsum(sizes)
+                nth = np.searchsorted(ends, r.first, side="right")
+                start = (ends - sizes)[nth]
+                id_, h = ids[at + nth], hashes[at + nth]
                 n = np.array([parts.get(x, 0) for x in g.tolist()], np.int32) if parts else np.zeros(len(g), np.int32)
                 salt = np.where(n > 0, (h & 0x7FFFFFFF) % np.maximum(n, 1), 0).astype(np.int32)
-                same = [np.full(len(g), id_, np.int64), np.full(len(g), h, np.int32)]
-                made.append([g, n, salt, r.block.view(np.int64), *same, _place(r.first, r.last, r.anchor)])
+                place = _place(r.first - start, r.last - start, r.anchor - start)
+                made.append([g, n, salt, r.block.view(np.int64), id_, h, place])
             if made:
                 yield _joined(made)
 
-    return _batches(rows, "gram int, parts int, salt int, block bigint, id bigint, h int, place bigint", found)
+    return _batches(rows, "gram int, parts int, salt int, block bigint, id bigint, h bigint, place bigint", found)
 
 
 def _frequent(rows: DataFrame, codes: Codes, length: int, gram: int) -> dict[int, int]:
@@ -118,21 +140,29 @@ def _packed(reps: DataFrame, codes: Codes, length: int) -> DataFrame:
     def found(batches):
         for b in _sliced(batches):
             out = [[] for _ in range(8)]
+            # Only the blocks of the chosen runs are named, many in a call.
+            chosen, blocks = [], []
             for id_, h, text, runs in zip(*[b.column(c).to_pylist() for c in (*ROW, "text", "runs")], strict=True):
-                names = window_names(codes(text), [length])[0]
+                whole = codes(text)
                 for run in runs:
                     first, last, anchor = _spots(run["place"])
-                    at = np.arange(first, last + 1)
-                    part = names[at] % np.uint64(max(1, run["parts"]))
-                    for p in np.unique(part):
-                        own = at[part == p]
-                        row = (run["gram"], int(p), id_, h, anchor, run["weight"])
-                        row += ((anchor - own).astype(np.int16).tobytes(), names[own].tobytes())
+                    chosen.append((id_, h, run, first, last, anchor))
+                    blocks.append(whole[first : last + length])
+            for nth, joined, sizes in _calls(blocks):
+                names = window_names(joined, [length])[0]
+                starts = np.cumsum(sizes) - sizes
+                for start, (id_, h, run, first, last, anchor) in zip(starts.tolist(), chosen[nth : nth + len(sizes)], strict=True):
+                    own = names[start : start + last - first + 1]
+                    offsets = (anchor - np.arange(first, last + 1)).astype(np.int16)
+                    part = own % np.uint64(run["parts"]) if run["parts"] > 1 else None
+                    for p in (0,) if part is None else np.unique(part):
+                        mine = slice(None) if part is None else part == p
+                        row = (run["gram"], int(p), id_, h, anchor, run["weight"], offsets[mine].tobytes(), own[mine].tobytes())
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
             yield out
 
-    ddl = "gram int, part int, id bigint, h int, anchor bigint, weight int, offsets binary, names binary"
+    ddl = "gram int, part int, id bigint, h bigint, anchor bigint, weight int, offsets binary, names binary"
     return _batches(reps, ddl, found)
 
 
@@ -145,14 +175,14 @@ def _compared(packed: DataFrame, length: int, keep_first: bool) -> DataFrame:
         size = [len(r["names"]) // 8 for r in rows]
         owner = np.repeat(np.arange(len(rows)), size)
         column = lambda c: np.array([r[c] for r in rows], np.int64)[owner]
-        gram, id_, anchor = (column("gram") << 16) + offsets, column("id"), column("anchor")
-        order = np.lexsort((anchor, id_, names, gram))
-        g, n, i, a = gram[order], names[order], id_[order], anchor[order]
+        gram, id_, h, anchor = (column("gram") << 16) + offsets, column("id"), column("h"), column("anchor")
+        order = np.lexsort((anchor, h, id_, names, gram))
+        g, n, i, k, a = gram[order], names[order], id_[order], h[order], anchor[order]
         new = np.append(True, (g[1:] != g[:-1]) | (n[1:] != n[:-1]))
         group = np.cumsum(new) - 1
         if keep_first:
             start = np.flatnonzero(new)[group]
-            drop = (i != i[start]) | (a != a[start])
+            drop = (i != i[start]) | (k != k[start]) | (a != a[start])
         else:
             drop = (np.bincount(group, column("weight")[order]) >= 2)[group]
         picked = order[drop]
@@ -181,7 +211,7 @@ def _compared(packed: DataFrame, length: int, keep_first: bool) -> DataFrame:
             yield settle(held)
 
     dealt = packed.repartition("gram", "part").sortWithinPartitions("gram", "part")
-    return _batches(dealt, "id bigint, h int, start bigint, stop bigint", found)
+    return _batches(dealt, "id bigint, h bigint, start bigint, stop bigint", found)
 
 
 def repeated_stretches(docs: DataFrame, codes: Codes, length: int, gram: int, keep_first: bool) -> DataFrame:
@@ -197,7 +227,7 @@ def repeated_stretches(docs: DataFrame, codes: Codes, length: int, gram: int, ke
     same_block = Window.partitionBy("gram", "salt", "block")
     same_gram = Window.partitionBy("gram", "salt")
     counted = (
-        runs.withColumn("nth", F.rank().over(same_block.orderBy("id", "place")))
+        runs.withColumn("nth", F.rank().over(same_block.orderBy("id", "h", "place")))
         .withColumn("copies", F.count(F.lit(1)).over(same_block))
         .withColumn("several", F.min("block").over(same_gram) != F.max("block").over(same_gram))
         .withColumn("times", F.count(F.lit(1)).over(same_gram))
@@ -216,15 +246,21 @@ def repeated_stretches(docs: DataFrame, codes: Codes, length: int, gram: int, ke
         *ROW, first.alias("start"), (first + F.col("place").bitwiseAND(4095) + length).alias("stop")
     )
     spans = blocks.unionByName(_compared(packed, length, keep_first)).groupBy(*ROW)
-    return rows.join(spans.agg(F.collect_set(F.struct("start", "stop")).alias("spans")), ROW, "left")
+    marked = rows.join(spans.agg(F.collect_set(F.struct("start", "stop")).alias("spans")), ROW, "left")
+    if not keep_first:
+        return marked
+    # The join left rows equal in id and text side by side.
+    copy = F.row_number().over(Window.partitionBy(*ROW).orderBy(F.lit(0))) > 1
+    all_of_it = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.lit(MOST).alias("stop")))
+    return marked.withColumn("spans", F.when(copy, all_of_it).otherwise(F.col("spans")))
 
 
-def covered(n: int, spans: list[dict] | None) -> np.ndarray:
-    """Which of ``n`` elements the spans cover."""
+def covered(n: int, spans: list[dict] | None, length: int) -> np.ndarray:
+    """Which of ``n`` elements the spans cover; fewer than a window lose nothing."""
     edges = np.zeros(n + 1, np.int64)
-    if spans:
+    if spans and n >= length:
         np.add.at(edges, [s["start"] for s in spans], 1)
-        np.add.at(edges, [s["stop"] for s in spans], -1)
+        np.add.at(edges, [min(s["stop"], n) for s in spans], -1)
     return np.cumsum(edges[:-1]) > 0
 
 

@@ -1,8 +1,9 @@
-"""Substring dedup: remove word sequences that also stand elsewhere, by level-wise doubling.
+"""Substring dedup: remove word sequences that also stand elsewhere.
 
-The levels are windows of ``length // 2 + 1`` words, the runs of ``length``-word windows around
-those that repeat, and the ``length``-word windows themselves; each level takes only what
-repeated at the one before, and the last one decides. See ``repeats.py`` for how.
+Two levels run: windows of ``length // 2 + 1`` words, by their anchors alone, and of those that
+repeat the ``length``-word windows around them, which decide. The names of both are made at once,
+by doubling within a task; candidates are not carried through further levels. See ``repeats.py``
+for how, and the README for why.
 
 Defined cases: null and empty texts have no words; texts of fewer words than a window lose
 nothing; a row that is repeated is repeated text, so every window of it is removed from each
@@ -33,16 +34,16 @@ def word_codes(text: str) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w) for w in words_of(text)], np.uint64)
 
 
-def kept_words(text: str, spans: list[dict] | None) -> list[bytes]:
+def kept_words(text: str, spans: list[dict] | None, length: int = LENGTH) -> list[bytes]:
     words = words_of(text)
-    gone = covered(len(words), spans)
+    gone = covered(len(words), spans, length)
     return [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, text``: each text's words that no repeated window covers, joined by one space."""
     marked = repeated_stretches(docs, word_codes, length, length // 2 + 1, keep_first=False)
-    kept = lambda: lambda text, spans: (b" ".join(kept_words(text, spans)).decode("utf-8", "replace"),)
+    kept = lambda: lambda text, spans: (b" ".join(kept_words(text, spans, length)).decode("utf-8", "replace"),)
     return with_id(docs, add_columns(marked, kept, "kept string", ["text", "spans"], ["id"]), [F.col("kept").alias("text")])
 
 
@@ -50,7 +51,7 @@ def measure_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
 
     def one(text, spans):
-        n, kept = len(words_of(text)), kept_words(text, spans)
+        n, kept = len(words_of(text)), kept_words(text, spans, length)
         return n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()
 
     marked = repeated_stretches(docs, word_codes, length, length // 2 + 1, keep_first=False)

@@ -73,15 +73,23 @@ class Runs:
         return self.anchor[i] - at, self.names[at]
 
 
-def anchor_runs(codes: np.ndarray, length: int, gram: int) -> Runs | None:
-    """The runs of a sequence; None if it is shorter than a window."""
-    if len(codes) < length:
+def anchor_runs(codes: np.ndarray, length: int, gram: int, sizes: np.ndarray | None = None) -> Runs | None:
+    """The runs of a sequence; None if it is shorter than a window.
+
+    With ``sizes`` the sequence is several, one after the other; windows across their borders are none.
+    """
+    at = np.arange(max(0, len(codes) - length + 1))
+    if sizes is not None:
+        ends = np.cumsum(sizes)
+        at = at[at + length <= np.repeat(ends, sizes)[: len(at)]]
+    if not len(at):
         return None
     grams, names = window_names(codes, [gram, length])
-    anchor = leftmost_least(grams, length - gram + 1)
+    # An anchor lies within its window, so no run passes a border either.
+    anchor = leftmost_least(grams, length - gram + 1)[at]
     cuts = np.flatnonzero(np.diff(anchor)) + 1
-    first, last = np.append(0, cuts), np.append(cuts, len(anchor)) - 1
-    anchors = anchor[first].astype(np.int64)
+    first, last = at[np.append(0, cuts)], at[np.append(cuts, len(anchor)) - 1]
+    anchors = anchor[np.append(0, cuts)].astype(np.int64)
     # First and last window overlap, so their names and places tell the whole block.
     places = ((anchors - first) * length + (last - first)).astype(np.uint64)
     block = mix(mix(names[first], names[last]), places)

@@ -106,3 +106,11 @@ def test_opposite_and_few_vectors_get_all_candidates(spark):
             assert {q: len(f) for q, f in found.items()} == {q: len(near) for q, near in want.items()}
             if probes is None:
                 assert {q: [i for _, i in sorted(f)] for q, f in found.items()} == {q: [i for i, _ in near] for q, near in want.items()}
+
+
+def test_ties_go_to_the_smallest_ids(spark):
+    rows = [(50 + i, [2.0 ** (i % 30), 0.0], 1, "s", "b") for i in range(40)] + [(7, [0.0, 1.0], 1, "s", "b")]
+    found = {}
+    for r in ann.nearest_neighbours(spark.createDataFrame(rows, SCHEMA)).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(found[50]) == [(k, 50 + k, 1.0) for k in range(1, 6)]

@@ -123,3 +123,24 @@ def test_masks(odd, spark):
 def test_empty(none):
     assert pii.find_personal_data(none).collect() == []
     assert pii.mask_personal_data(none).collect() == []
+
+
+def test_nothing_to_learn_from_adds_nothing(spark):
+    docs = spark.createDataFrame([(i, f"order 5551234560 and again 5551234560 today {i}") for i in range(8)], "doc_id bigint, text string")
+    assert all(r["spans"] == "" for r in pii.find_personal_data(docs).collect())
+    assert {r["text"] for r in pii.mask_personal_data(docs).collect()} == {r["text"] for r in docs.collect()}
+
+
+def test_names_and_all_similar_numbers_are_linked():
+    found = pii.candidates("mail maria@x.org; later maria said maria")
+    assert [f[3] for f in found] == ["maria@x.org", "maria", "maria"]
+    found = pii.candidates("44201234567 then 9991234567 then 201234567")
+    assert {(k, i, j) for k, i, j in pii.links(found) if k == 2} == {(2, 0, 2)}
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rows = [(i, "call +1 (403) 555-9312") for i in range(300)] + [(1000 + i, f"mail person{i}@host.example.com ref 123456{i:04d}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    field = pii.train(docs, size=40)
+    # All e-mail texts but a few are in the sample, so mentions of e-mails are known.
+    assert np.abs(field.unary[:, pii.EMAIL]).max() > 0.1

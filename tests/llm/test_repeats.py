@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from streakline.llm import repeats, substrings, suffixes
 from streakline.llm.windows import anchor_runs, leftmost_least, window_names
@@ -27,7 +28,9 @@ def words_expected(rows, length=35):
 
 def bytes_expected(rows, length=100):
     least = {}
-    texts = [(i, -1 if i is None else i, (t or "").encode()) for i, t, *_ in rows]
+    texts = [(i, (t or "").encode()) for i, t, *_ in rows]
+    # Rows of one id are documents in the order of a hash of their texts, copies one after the other.
+    texts = [(i, (-1 if i is None else i, xxhash.xxh64_intdigest(b, 42) ^ 2**63, n), b) for n, (i, b) in enumerate(texts)]
     for _, at, b in texts:
         for p in range(len(b) - length + 1):
             s = b[p : p + length]
@@ -101,6 +104,26 @@ def test_texts_that_remain(spark):
     assert kept == {1: f"one {shared} two".encode(), 2: b"thre", 3: b"four"}
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    passage = " ".join(word() for _ in range(40))
+    rows = [(None, f"{word()} {passage} {word()}") for _ in range(3)] + [(None, " ".join(word() for _ in range(46))) for _ in range(5)]
+    rows += [(None, rows[0][1])] * 2 + [(7, rows[1][1]), (7, rows[1][1]), (7, "short"), (7, "short")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert sorted(map(tuple, substrings.measure_repeats(docs).collect()), key=str) == words_expected(rows)
+    assert sorted(map(tuple, suffixes.measure_repeats(docs).collect()), key=str) == bytes_expected(rows)
+
+
+def test_long_texts(spark):
+    rng = np.random.default_rng(9)
+    words = ["".join(x) for x in rng.choice(list("abcd"), (20_000, 5))]
+    rows = [(1, " ".join(words)), (2, "x" * 1_000_000), (3, " ".join(words[5_000:5_100])), (4, "x" * 150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.measure_repeats(docs).collect()} == {1: 100, 2: 0, 3: 100, 4: 0}
+    assert {r["doc_id"]: r["n_removed"] for r in suffixes.measure_repeats(docs).collect()} == {1: 0, 2: 999_999, 3: 599, 4: 150}
+
+
 def test_empty(none):
     assert substrings.measure_repeats(none).collect() == []
     assert suffixes.measure_repeats(none).collect() == []
