@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from streakline.llm import mixing
 from tests.llm.conftest import odd_rows
