@@ -1,19 +1,20 @@
 """Exact dedup through an extendible-hash index on shared files.
 
-1. *Entries.* Each task folds equal texts of a buffer into one entry: key (64-bit hash), text,
-   the ids of its rows. Entries are written to the shared folder, so their numbers stay.
-2. *Directory.* Keys that stand in one entry only need no bucket. For the others a directory
-   maps the leading bits of a key to a bucket. It starts at the depth that the total calls for
-   and doubles while a bucket holds more than ``BUCKET_BYTES`` and more than one key: only such
-   buckets split. A bucket is a range of keys, known by its depth and prefix.
-3. *Owners.* Entries are dealt by bucket, in ranges; the task that owns a range reads it in key
-   order. Entries of one key form a chain of different texts; each entry's bytes are compared
-   with the chain's, so a collision never joins two texts. What an entry was found equal to is
-   the index; it is written to the shared folder and gives groups by plain aggregation.
+1. *Entries.* Each task folds equal texts of a buffer into one entry: key (64-bit hash), text and
+   the ids of its rows. A first pass counts entries and their bytes per key, without texts.
+2. *Directory.* It maps the leading bits of a key to a bucket, so a bucket is a range of keys. It
+   starts at the depth that the total calls for and doubles while a bucket holds more than
+   ``BUCKET_BYTES`` and more than one key: only such buckets split.
+3. *Owners.* A second pass sends each entry to the task that owns its bucket. That task reads
+   its range in key order. Entries of one key form a chain of different texts; each entry's
+   bytes are compared with the chain's, so a collision never joins two texts. Owners write
+   their part of the index to the shared folder: key, place in the chain, ids. Groups are
+   aggregated from there. Texts are shuffled once and not stored.
 
 A text that is copied in very many tasks has as many entries of one key, which no split parts.
-Such a key is dealt over parts of at most ``FAN`` entries each, whose survivors meet in a further
-round. So a task holds a buffer, or the different texts of one key, and never the rows of a group.
+Such a key is dealt over parts of at most ``FAN`` entries each, which go to different owners, and
+the heads of their chains, stored with their texts, meet in further rounds. So a task holds a
+buffer, or the different texts of one key, and never the rows of a group.
 
 Defined cases: null and empty texts are equal; only A-Z lose their case; of rows equal in text and
 id one stays; a null id stays only where all ids of a group are null; an empty table gives no
@@ -34,7 +35,10 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from streakline.functions.ordered import number_all
 from streakline.functions.sizing import broadcast_if_small
 from streakline.llm.common import SLICE_ROWS
 from streakline.session import stage
@@ -43,19 +47,23 @@ BUCKET_BYTES = 64_000_000
 BUFFER_BYTES, BUFFER_ROWS = 32_000_000, 50_000
 FAN = 4_000
 KEY_BITS = 64
+#: The directory has about 100 bytes for every ``BUCKET_BYTES / 2`` of text; past this it is not broadcast.
+DIRECTORY_BYTES = 64_000_000
 
 Hash = Callable[[bytes], int]
 
-ENTRY = pa.schema(
-    [("h", pa.int64()), ("text", pa.binary()), ("sha256", pa.string()), ("ids", pa.list_(pa.int64())), ("at", pa.int32())]
-)
-ENTRY_DDL = "h bigint, text binary, sha256 string, ids array<bigint>, at int"
+ENTRY = "h bigint, bytes bigint, text binary, sha256 string, ids array<bigint>, at int"
+SIZE = "h bigint, bytes bigint"
 
 
 def key_of(text: bytes) -> int:
     return xxhash.xxh64_intdigest(text)
 
 
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+
 # --- Entries -----------------------------------------------------------------------------
 
 
@@ -78,27 +86,28 @@ class _Buffer:
     def full(self) -> bool:
         return self.size >= BUFFER_BYTES or self.rows >= BUFFER_ROWS
 
-    def entries(self) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    def entries(self) -> Iterator[tuple[int, bytes, list[int | None]]]:
+        """Key, text and ids of each entry; the buffer is empty afterwards."""
         for h, chain in self.chains.items():
             for text, ids in chain:
-                at = max(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, -i))
-                held.append((h - 2**64 if h >= 2**63 else h, text, hashlib.sha256(text).hexdigest(), ids, at))
-                size += len(text)
-                if size > BUFFER_BYTES // 8:
-                    yield self._batch(held)
-                    held, size = [], 0
-        if held:
-            yield self._batch(held)
+                yield h - 2**64 if h >= 2**63 else h, text, ids
         self.__init__(self.key)
 
-    @staticmethod
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ENTRY, strict=True)], schema=ENTRY)
 
+def _folded(docs: DataFrame, key: Hash, row: Callable[[int, bytes, list], tuple], ddl: str) -> DataFrame:
+    """``row`` of every entry of every buffer."""
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
 
-def entries(docs: DataFrame, key: Hash = key_of) -> DataFrame:
-    """``entry, h, text, sha256, ids, at`` (where the largest id stands in ``ids``), ``bytes``; stored."""
+    def packed(held: _Buffer) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for entry in held.entries():
+            rows.append(row(*entry))
+            size += len(entry[1])
+            if size > BUFFER_BYTES // 8:
+                yield _batch(rows, schema)
+                rows, size = [], 0
+        if rows:
+            yield _batch(rows, schema)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Buffer(key)
@@ -109,12 +118,27 @@ def entries(docs: DataFrame, key: Hash = key_of) -> DataFrame:
                 for text, id_ in zip(texts, b.column("doc_id").to_pylist(), strict=True):
                     held.add(text, id_)
                     if held.full():
-                        yield from held.entries()
-        yield from held.entries()
+                        yield from packed(held)
+        yield from packed(held)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    made = rows.mapInArrow(fold, ENTRY_DDL)
-    return stage(made.select(F.monotonically_increasing_id().alias("entry"), "*", F.octet_length("text").cast("bigint").alias("bytes")))
+    return rows.mapInArrow(fold, ddl)
+
+
+def entry_sizes(docs: DataFrame, key: Hash = key_of) -> DataFrame:
+    """``h, n, bytes``: how many entries a key has, and their bytes; stored."""
+    sizes = _folded(docs, key, lambda h, text, ids: (h, len(text)), SIZE)
+    return stage(sizes.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")))
+
+
+def entries(docs: DataFrame, key: Hash = key_of) -> DataFrame:
+    """``h, bytes, text, sha256, ids, at`` (where the largest id stands in ``ids``)."""
+
+    def row(h, text, ids):
+        at = max(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, -i))
+        return h, len(text), text, hashlib.sha256(text).hexdigest(), ids, at
+
+    return _folded(docs, key, row, ENTRY)
 
 
 # --- Directory -----------------------------------------------------------------------------
@@ -125,105 +149,156 @@ def _prefix(depth: int) -> Column:
     return F.shiftrightunsigned("h", KEY_BITS - depth) if depth else F.lit(0).cast("bigint")
 
 
-def directory(shared: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``depth, prefix`` of each bucket for the entries ``shared`` (``h, bytes``); stored.
+def directory(sizes: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``depth, prefix, bucket`` (numbered from 0 in key order) for the keys of ``sizes`` (``h, bytes``); stored.
 
     Every doubling reads only what the one before left overfull.
     """
-    total = shared.agg(F.sum("bytes")).first()[0] or 0
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
     depth = max(0, math.ceil(math.log2(max(total, 1) / bucket_bytes)))
-    cells = stage(shared.groupBy("h").agg(F.sum("bytes").alias("bytes")))
-    settled = []
+    cells, settled = sizes.select("h", "bytes"), []
     while True:
         counted = stage(
             cells.groupBy(_prefix(depth).alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("keys"))
         )
         over = (F.col("bytes") > bucket_bytes) & (F.col("keys") > 1) & F.lit(depth < KEY_BITS)
-        settled.append(counted.where(~over).select(F.lit(depth).alias("depth"), "prefix"))
+        low = F.shiftleft("prefix", KEY_BITS - depth) if depth else F.lit(0).cast("bigint")
+        settled.append(counted.where(~over).select(F.lit(depth).alias("depth"), "prefix", low.alias("low")))
         overfull = counted.where(over).select("prefix")
         if overfull.isEmpty():
-            return stage(reduce(DataFrame.unionByName, settled))
+            return stage(number_all(stage(reduce(DataFrame.unionByName, settled)), ["low"], "bucket", start=0).drop("low"))
         cells = stage(cells.withColumn("prefix", _prefix(depth)).join(overfull, "prefix", "left_semi").drop("prefix"))
         depth += 1
 
 
-def in_buckets(shared: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``shared`` with ``low``, the first key of its bucket: an equi-join per depth that occurs."""
+def in_buckets(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` with ``bucket``: an equi-join per depth that occurs."""
     # A bucket's depth is one of at most 65 numbers.
     depths = [r["depth"] for r in buckets.select("depth").distinct().collect()] or [0]
     places = F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("prefix")) for d in depths])
-    tried = shared.withColumn("place", F.explode(places)).select("*", "place.*").drop("place")
-    found = tried.join(broadcast_if_small(buckets), ["depth", "prefix"])
-    low = F.when(F.col("depth") == 0, F.lit(0).cast("bigint")).otherwise(F.call_function("shiftleft", F.col("prefix"), F.lit(KEY_BITS) - F.col("depth")))
-    return found.withColumn("low", low).drop("depth", "prefix")
+    tried = rows.withColumn("place", F.explode(places)) if len(depths) > 1 else rows.withColumn("place", places[0])
+    # The text stays out of the join's keys; a directory within its bound goes to the rows.
+    return tried.select("*", "place.*").join(broadcast_if_small(buckets, DIRECTORY_BYTES), ["depth", "prefix"]).drop("place", "depth", "prefix")
 
 
 # --- Owners ----------------------------------------------------------------------------------
 
+PLACE = ["h", "part", "nth"]
+
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each entry and the first entry of its key and part whose bytes are the same."""
+    """Each entry with ``nth``, the place of its text in the chain of its key and part, and is it the first there?"""
     at, chain = None, []
-    for b in batches:
-        same_as = []
-        places = zip(b.column("h").to_pylist(), b.column("part").to_pylist(), strict=True)
-        numbers = b.column("entry").to_pylist()
-        texts = b.column("text")
-        for i, (place, entry) in enumerate(zip(places, numbers, strict=True)):
-            if place != at:
-                at, chain = place, []
-            text = texts[i].as_buffer()
-            first = next((e for t, e in chain if t.equals(text)), None)
-            if first is None:
-                chain.append((pa.py_buffer(text.to_pybytes()), entry))
-                first = entry
-            same_as.append(first)
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(same_as, pa.int64())], names=["entry", "same_as"])
-
-
-def _round(shared: DataFrame, texts: DataFrame, fan: int, bucket_bytes: int) -> tuple[DataFrame, bool]:
-    """One meeting of the entries ``shared`` (``entry, h, bytes``): ``entry, same_as``, and was any key dealt over parts?"""
-    crowded = stage(shared.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fan))
-    parts = F.pmod(F.xxhash64("entry", F.lit(fan)), F.ceil(F.col("n") / fan))
-    dealt = shared.join(crowded, "h", "left").withColumn("part", F.coalesce(parts, F.lit(0)).cast("bigint")).drop("n")
-    placed = stage(in_buckets(dealt, directory(shared, bucket_bytes)))
-    owners = max(1, math.ceil((placed.agg(F.sum("bytes")).first()[0] or 0) / bucket_bytes))
-    with_text = placed.select("entry", "h", "part", "low").join(texts, "entry")
-    owned = with_text.repartitionByRange(owners, "low", "part").sortWithinPartitions("low", "h", "part", "entry")
-    found = owned.select("entry", "h", "part", "text").mapInArrow(_chained, "entry bigint, same_as bigint")
-    return stage(found), not crowded.isEmpty()
-
-
-def index(folded: DataFrame, fan: int = FAN, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``entry, root``: for each entry whose key stands elsewhere too, the first entry of its text; stored."""
-    narrow = folded.select("entry", "h", "bytes")
-    repeated = narrow.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    live = stage(narrow.join(repeated, "h", "left_semi"))
-    texts = folded.select("entry", "text")
-    found, again = _round(live, texts, fan, bucket_bytes)
-    roots = found.withColumnRenamed("same_as", "root")
-    while again:
-        # One entry per text and part is left; equal texts of several parts still have to meet.
-        live = stage(live.join(found.where("entry = same_as").select("entry"), "entry", "left_semi"))
-        found, again = _round(live, texts, fan, bucket_bytes)
-        further = found.where("entry <> same_as").select(F.col("entry").alias("root"), "same_as")
-        if further.isEmpty():
+    for whole in batches:
+        for start in range(0, whole.num_rows, SLICE_ROWS):
+            b = whole.slice(start, SLICE_ROWS)
+            nth, first = [], []
+            texts = b.column("text")
+            for i, place in enumerate(zip(b.column("h").to_pylist(), b.column("part").to_pylist(), strict=True)):
+                if place != at:
+                    at, chain = place, []
+                text = texts[i].as_buffer()
+                found = next((n for n, t in enumerate(chain) if t.equals(text)), None)
+                first.append(found is None)
+                if found is None:
+                    found = len(chain)
+                    chain.append(pa.py_buffer(text.to_pybytes()))
+                nth.append(found)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(nth, pa.int64()), pa.array(first)], names=[*b.schema.names, "nth", "first"])
+
+
+def _owned(rows: DataFrame, owners: int) -> DataFrame:
+    """``rows`` (with ``h, part, bucket, text``) in the task of their bucket, chained."""
+    # Parts of one key go to owners next to each other.
+    owner = F.pmod(F.col("bucket") + F.col("part"), F.lit(owners)).cast("int")
+    dealt = rows.repartitionById(owners, owner).drop("bucket").sortWithinPartitions("h", "part")
+    ddl = StructType([*dealt.schema.fields, *StructType.fromDDL("nth bigint, first boolean").fields])
+    return dealt.mapInArrow(_chained, ddl)
+
+
+def _parts(fan: int) -> Column:
+    """Which part of its key, of ``n`` entries, a row goes to."""
+    parts = F.ceil(F.col("n") / fan)
+    return F.coalesce(F.when(F.col("n") > fan, F.pmod(F.xxhash64("spread", F.lit(fan)), parts)), F.lit(0)).cast("bigint")
+
+
+def index(docs: DataFrame, key: Hash = key_of, fan: int = FAN, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``entry, h, root_part, root_nth, sha256, ids, at``: entries of one text have one key and root; stored."""
+    sizes = entry_sizes(docs, key)
+    buckets = directory(sizes, bucket_bytes)
+    owners = max(1, buckets.count())
+    # At most all entries over ``fan`` keys are crowded.
+    crowded = stage(sizes.where(F.col("n") > fan).select("h", "n"))
+    hot = crowded.count() > 0
+    rows = entries(docs, key)
+    if hot:
+        # What an entry's place depends on is its own content, so a repeated task deals alike.
+        rows = rows.join(broadcast_if_small(crowded), "h", "left").withColumn("spread", F.xxhash64("ids"))
+        rows = rows.withColumn("part", _parts(fan)).drop("spread", "n")
+    else:
+        rows = rows.withColumn("part", F.lit(0).cast("bigint"))
+    placed = in_buckets(rows, buckets).select("h", "part", "bucket", "text", "sha256", "ids", "at")
+    chained = _owned(placed, owners)
+    # Only heads of the chains of crowded keys are needed again.
+    if hot:
+        crowd = crowded.select("h", F.lit(True).alias("dealt"))
+        chained = chained.join(broadcast_if_small(crowd), "h", "left")
+    else:
+        chained = chained.withColumn("dealt", F.lit(None).cast("boolean"))
+    text = F.when(F.col("dealt") & F.col("first"), F.col("text")).alias("text")
+    found = stage(chained.select(F.monotonically_increasing_id().alias("entry"), *PLACE, text, "sha256", "ids", "at"))
+    known = found.drop("text").withColumns({"root_part": F.col("part"), "root_nth": F.col("nth")})
+    if hot:
+        roots = _met(found.where("text is not null").select(*PLACE, "text"), fan, owners)
+        renamed = roots.withColumnsRenamed({"root_part": "to_part", "root_nth": "to_nth"})
+        known = known.join(renamed, PLACE, "left").withColumns(
+            {"root_part": F.coalesce("to_part", "root_part"), "root_nth": F.coalesce("to_nth", "root_nth")}
+        )
+    return known.select("entry", "h", "root_part", "root_nth", "sha256", "ids", "at")
+
+
+def _met(heads: DataFrame, fan: int, owners: int) -> DataFrame:
+    """``h, part, nth, root_part, root_nth``: the heads of dealt keys, round by round, until each key meets whole."""
+    roots = None
+    live = heads
+    while True:
+        counts = live.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+        asked = stage(live.join(counts, "h").withColumn("spread", F.xxhash64("part", "nth")).withColumn("next", _parts(fan)))
+        again = not asked.where(F.col("n") > fan).isEmpty()
+        dealt = asked.select("h", F.col("next").alias("part"), F.lit(0).alias("bucket"), "text", F.col("part").alias("old_part"), F.col("nth").alias("old_nth"))
+        met = stage(_owned(dealt.withColumn("bucket", F.pmod("h", F.lit(owners))), owners).drop("first"))
+        # The least head of a text stands for it.
+        alike = met.groupBy("h", "part", "nth").agg(F.min(F.struct("old_part", "old_nth")).alias("root"), F.first("text").alias("text"))
+        named = met.drop("text").join(alike.drop("text"), ["h", "part", "nth"]).select(
+            "h", F.col("old_part").alias("part"), F.col("old_nth").alias("nth"), F.col("root.old_part").alias("root_part"), F.col("root.old_nth").alias("root_nth")
+        )
+        if roots is None:
+            roots = stage(named)
+        else:
+            names = ["h", "root_part", "root_nth", "to_part", "to_nth"]
+            further = named.select("h", "part", "nth", "root_part", "root_nth").toDF(*names)
+            roots = stage(
+                roots.join(further, ["h", "root_part", "root_nth"], "left").select(
+                    "h", "part", "nth", F.coalesce("to_part", "root_part").alias("root_part"), F.coalesce("to_nth", "root_nth").alias("root_nth")
+                )
+            )
+        if not again:
+            return roots
+        survivors = stage(alike.select("h", F.col("root.old_part").alias("part"), F.col("root.old_nth").alias("nth"), "text"))
+        if survivors.count() == live.count():
             # Different texts of one key fill the parts; fewer parts let the last equal ones meet.
             fan *= 2
-        roots = stage(roots.join(further, "root", "left").select("entry", F.coalesce("same_as", "root").alias("root")))
-    return roots
+        live = survivors
 
 
 def grouped(docs: DataFrame, key: Hash = key_of, fan: int = FAN, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row."""
-    folded = entries(docs, key)
-    known = folded.select("entry", "ids", "at", "sha256").join(index(folded, fan, bucket_bytes), "entry", "left")
-    known = known.withColumn("root", F.coalesce("root", "entry")).withColumn("top", F.expr("ids[at]"))
+    root = ["h", "root_part", "root_nth"]
+    known = index(docs, key, fan, bucket_bytes).withColumn("top", F.expr("ids[at]"))
     # Structs compare field by field with NULL lowest, so a null id wins only among null ids.
     best = F.max(F.struct("top", (-F.col("entry")).alias("back")))
-    groups = known.groupBy("root").agg(best.alias("best"), F.sum(F.size("ids")).alias("group_size"))
-    whole = known.join(groups, "root")
-    rows = whole.select("*", F.posexplode("ids").alias("place", "doc_id"))
+    groups = known.groupBy(*root).agg(best.alias("best"), F.sum(F.size("ids")).alias("group_size"))
+    rows = known.join(groups, root).select("*", F.posexplode("ids").alias("place", "doc_id"))
     return rows.select(
         "doc_id",
         F.col("best.top").alias("keep_id"),

@@ -66,8 +66,9 @@ def test_directory_covers_every_key_once(spark):
     keys = spark.range(2_000).select(F.xxhash64("id").alias("h"), F.lit(10).cast("bigint").alias("bytes"))
     buckets = exact.directory(keys, bucket_bytes=200)
     placed = exact.in_buckets(keys, buckets)
-    sizes = placed.groupBy("low").agg(F.sum("bytes").alias("b")).collect()
+    sizes = placed.groupBy("bucket").agg(F.sum("bytes").alias("b")).collect()
     assert placed.count() == 2_000 and max(r["b"] for r in sizes) <= 200
+    assert sorted(r["bucket"] for r in buckets.collect()) == list(range(buckets.count()))
     assert buckets.select("depth").distinct().count() > 1
 
 
