@@ -4,24 +4,24 @@ from __future__ import annotations
 
 import re
 
-# The events, their kinds and when they hold, apart from the library's own list.
+# The events, their kinds and when they hold.
 GOALS, RESULT, SPECIAL = "goal_streaks", "result_streaks", "special_streaks"
 EVENTS = [
-    ("score_1goal", GOALS, "goals_for > 0"),
-    ("score_2goals", GOALS, "goals_for > 1"),
-    ("score_3goals", GOALS, "goals_for > 2"),
-    ("concede_1", GOALS, "goals_against > 0"),
-    ("concede_2", GOALS, "goals_against > 1"),
-    ("concede_3", GOALS, "goals_against > 2"),
-    ("goalless", SPECIAL, "NOT goals_for > 0"),
-    ("clean_sheet", SPECIAL, "NOT goals_against > 0"),
+    ("score_1goal", GOALS, "goals_for >= 1"),
+    ("score_2goals", GOALS, "goals_for >= 2"),
+    ("score_3goals", GOALS, "goals_for >= 3"),
+    ("concede_1", GOALS, "goals_against >= 1"),
+    ("concede_2", GOALS, "goals_against >= 2"),
+    ("concede_3", GOALS, "goals_against >= 3"),
+    ("goalless", SPECIAL, "goals_for = 0"),
+    ("clean_sheet", SPECIAL, "goals_against = 0"),
     ("win", RESULT, "fulltime_result = 'win'"),
     ("draw", RESULT, "fulltime_result = 'draw'"),
     ("loss", RESULT, "fulltime_result = 'loss'"),
-    ("win_or_draw", RESULT, "fulltime_result <> 'loss'"),
+    ("win_or_draw", RESULT, "fulltime_result IN ('win', 'draw')"),
     ("halftime_win", SPECIAL, "halftime_result = 'win'"),
-    ("win_draw_over_1_5", SPECIAL, "fulltime_result <> 'loss' AND goals_for + goals_against >= 2"),
-    ("win_draw_under_4_5", SPECIAL, "fulltime_result <> 'loss' AND goals_for + goals_against <= 4"),
+    ("win_draw_over_1_5", SPECIAL, "fulltime_result IN ('win', 'draw') AND goals_for + goals_against > 1.5"),
+    ("win_draw_under_4_5", SPECIAL, "fulltime_result IN ('win', 'draw') AND goals_for + goals_against < 4.5"),
 ]
 
 # The columns of a flat fixture.
@@ -615,6 +615,15 @@ ORACLES["run_length_streaks"] = f"""SELECT event_id, user_id, ts, event_type, va
     is_error_run, is_high_run FROM signal_runs"""
 ORACLES["run_length_chunked"] = ORACLES["run_length_streaks"]
 ORACLES["team_running_table_cut"] = ORACLES["team_running_table"]
+ORACLES["update_touched_buckets"] = ORACLES["coalesce_update"]
+ORACLES["replace_touched_buckets"] = ORACLES["replace_by_key"]
+ORACLES["incremental_streaks"] = ORACLES["fact_team_streaks"]
+ORACLES["incremental_current_streaks"] = """SELECT team_id, team_name, league_season_id, league_name, event_name, streak_type,
+    current_streak_length FROM cur"""
+ORACLES["repaired_next_fixtures"] = ORACLES["fact_team_fixtures"]
+ORACLES["incremental_update_job"] = ORACLES["daily_update_job"]
+ORACLES["incremental_update_streaks"] = """SELECT team_id, team_name, league_season_id, league_name, fixture_id, kickoff_utc,
+    event_name, streak_type, event_flag, streak_length FROM st2"""
 merged_list = f"""SELECT {flat_list} FROM upd UNION ALL
     SELECT {flat_list} FROM raw WHERE api_fixture_id NOT IN (SELECT api_fixture_id FROM upd)"""
 ORACLES["persist_merged_snapshot"] = merged_list

@@ -12,11 +12,11 @@ from streakline import testbed as tb
 from streakline.functions.ordered import next_values, number_all, previous_values, row_numbers
 from streakline.functions.scalars import as_time, run_stamp, season_label, slugify, title_case
 from streakline.operators import clean, dims, facts, merge, quality, standings, streaks
-from streakline.plans import jobs, loads, marts, worklists
+from streakline.plans import increments, jobs, loads, marts, worklists
 from streakline.plans.model_checks import MODEL_CHECKS
 from streakline.schemas import EVENT_CATALOG, Event
 from streakline.session import scratch_path, stage
-from streakline.sources import fixture_files, snapshots, tables
+from streakline.sources import buckets, fixture_files, snapshots, tables
 from streakline.streaming.updates import stream_updates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -947,6 +947,87 @@ def apply_played_updates(spark, sf):
     return tables.source_table(spark, root, jobs.RAW).drop("fixture_id", "created_at")
 
 
+# --- Incremental models: what a feed touches ---------------------------------------------------------------------
+
+
+@query
+def update_touched_buckets(spark, sf):
+    """``coalesce_update`` on a table in buckets, in two feeds that touch some of them each."""
+    root = scratch_path(spark, "buckets")
+    buckets.write_buckets(tb.raw_fixtures(spark, sf), root, merge.FIXTURE_KEY, "20000101_000000", 64)
+    update = lambda old, new: merge.coalesce_update(old, new, now=NOW)
+    feed = tb.updated_fixtures(spark, sf).withColumn("_bucket", buckets.bucket_of(merge.FIXTURE_KEY, 64))
+    for nth, some in enumerate(("_bucket < 20", "_bucket >= 20")):
+        buckets.update_buckets(stage(feed.where(some).drop("_bucket")), root, f"2000010{2 + nth}_000000", update)
+    return buckets.read_buckets(spark, root)
+
+
+@query
+def replace_touched_buckets(spark, sf):
+    """``replace_by_key`` on a table in buckets."""
+    root = scratch_path(spark, "buckets")
+    buckets.write_buckets(tb.raw_fixtures(spark, sf).select(*FLAT), root, merge.FIXTURE_KEY, "20000101_000000", 64)
+    feed = stage(tb.updated_fixtures(spark, sf).select(*FLAT))
+    replace = lambda old, new: merge.replace_by_key(old, new, merge.FIXTURE_KEY)
+    return buckets.update_buckets(feed, root, "20000102_000000", replace).read(spark)
+
+
+#: The fixtures in three feeds: the second brings later ones, the third backdated ones.
+FEEDS = [
+    "fixture_id % 11 <> 5 and kickoff_utc < timestamp_ntz '2000-03-01 00:00:00'",
+    "fixture_id % 11 <> 5 and kickoff_utc >= timestamp_ntz '2000-03-01 00:00:00'",
+    "fixture_id % 11 = 5",
+]
+
+
+def in_three_feeds(spark, sf) -> str:
+    root = scratch_path(spark, "increments")
+    fixtures = stage(enriched(spark, sf))
+    first, *others = [fixtures.where(some) for some in FEEDS]
+    increments.start(first, root, "20000101_000000", 64)
+    for nth, feed in enumerate(others):
+        increments.apply(feed, root, f"2000010{2 + nth}_000000")
+    return root
+
+
+@query
+def incremental_streaks(spark, sf):
+    """The streak fact, grown feed by feed from saved state."""
+    return increments.team_streaks(spark, in_three_feeds(spark, sf))
+
+
+@query
+def incremental_current_streaks(spark, sf):
+    """The latest streaks from the states alone."""
+    return increments.current_streaks(spark, in_three_feeds(spark, sf))
+
+
+@query
+def repaired_next_fixtures(spark, sf):
+    """The team-row fact, its next fixtures repaired where a feed changed a neighbour."""
+    return increments.team_fixtures(spark, in_three_feeds(spark, sf)).drop("updated_at")
+
+
+def updated_increments(spark, sf) -> str:
+    root = scratch_path(spark, "warehouse")
+    warehouse(spark, sf, root)
+    increments.start_job(spark, root, "20000102_000000", AS_OF, 64)
+    increments.update_job(spark, tb.updated_fixtures(spark, sf).select(*FLAT), root, "20000103_000000", AS_OF, NOW)
+    return root
+
+
+@query
+def incremental_update_job(spark, sf):
+    """Daily updates to the mart without a rebuild."""
+    return snapshots.read_version(spark, f"{updated_increments(spark, sf)}/{increments.MART}")
+
+
+@query
+def incremental_update_streaks(spark, sf):
+    """The streak fact after the daily update: corrected, moved and newly played matches."""
+    return increments.team_streaks(spark, updated_increments(spark, sf))
+
+
 # --- L. Data quality ------------------------------------------------------------------------------------------------------
 
 

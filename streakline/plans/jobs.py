@@ -25,6 +25,8 @@ from streakline.sources.snapshots import (
 from streakline.sources.tables import materialize, source_path, source_table
 
 RAW = "raw.raw_fixtures"
+#: Should a feed list a fixture twice, the finished record counts, then the later kickoff.
+FINISHED_LAST = ["_finished", "kickoff_utc", "home_team_fulltime_goal", "away_team_fulltime_goal"]
 
 
 def transform_fixtures(records: DataFrame) -> DataFrame:
@@ -68,10 +70,8 @@ def apply_played_updates(spark: SparkSession, root: str, stamp: str, now=None) -
     updates = latest_snapshot(spark, snapshots, "update")
     base = latest_snapshot(spark, snapshots, "full", before=stamp)
     listed = merge.only_known_ids(updates, merge.changed_ids(base, updates))
-    # Should the feed list a fixture twice, the finished record counts, then the later kickoff.
     finished = listed.withColumn("_finished", F.col("fixture_status") == PLAYED_STATUS)
-    order = ["_finished", "kickoff_utc", "home_team_fulltime_goal", "away_team_fulltime_goal"]
-    changed = merge.keep_last_per_key([finished], merge.FIXTURE_KEY, order).select(*listed.columns)
+    changed = merge.keep_last_per_key([finished], merge.FIXTURE_KEY, FINISHED_LAST).select(*listed.columns)
     # Written first: the count, the table and both snapshots read the same stored rows.
     applied = write_version(changed, f"{root}/staging/changed_fixtures", stamp)
     n = applied.count()
