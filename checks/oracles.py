@@ -624,6 +624,17 @@ ORACLES["repaired_next_fixtures"] = ORACLES["fact_team_fixtures"]
 ORACLES["incremental_update_job"] = ORACLES["daily_update_job"]
 ORACLES["incremental_update_streaks"] = """SELECT team_id, team_name, league_season_id, league_name, fixture_id, kickoff_utc,
     event_name, streak_type, event_flag, streak_length FROM st2"""
+ORACLES["stream_increments_streaks"] = ORACLES["incremental_update_streaks"]
+ORACLES["quality_report_scanned"] = f"""SELECT * FROM ({ORACLES["quality_report"]})
+    WHERE "table" IN ('raw_fixtures', 'int_league_context', 'dim_teams', 'int_fixtures')"""
+ORACLES["append_by_mark"] = """WITH edge AS (SELECT max(updated_at) AS m FROM raw WHERE updated_at < TIMESTAMP '1999-06-30 00:00:00')
+    SELECT api_fixture_id, fixture_status, updated_at,
+        CASE WHEN updated_at <= m AND NOT (updated_at >= m - INTERVAL 1 DAY AND api_fixture_id % 2 = 1) THEN 1
+             WHEN updated_at < TIMESTAMP '2000-06-30 00:00:00' THEN 2 ELSE 3 END AS run FROM raw, edge"""
+ORACLES["changed_ids_by_digest"] = ORACLES["changed_ids"]
+ORACLES["intake_new_files"] = f"SELECT {flat_list} FROM raw WHERE season >= 1996"
+ORACLES["served_by_type"] = ORACLES["list_streaks"]
+ORACLES["served_second_page"] = f"{ORACLES['list_streaks']} ORDER BY current_streak_length DESC, team_name, streak_id LIMIT 5 OFFSET 5"
 merged_list = f"""SELECT {flat_list} FROM upd UNION ALL
     SELECT {flat_list} FROM raw WHERE api_fixture_id NOT IN (SELECT api_fixture_id FROM upd)"""
 ORACLES["persist_merged_snapshot"] = merged_list

@@ -29,6 +29,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from streakline.functions.sizing import broadcast_if_small
 from streakline.session import stage, stored
 
 CHUNK_ROWS = 4_000_000
@@ -51,7 +52,7 @@ def _same(keys: Sequence[str]) -> Column:
     return same
 
 
-def _bounded_join(df: DataFrame, bounded: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def bounded_join(df: DataFrame, bounded: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join with a side of at most about one row per chunk.
 
     That side comes from stored rows, so the planner knows its size: it is broadcast while
@@ -89,8 +90,8 @@ def per_key(
     if not rows:
         return whole(df)
     listed = found.select(*keys)
-    ordinary = _bounded_join(df, listed, keys, "left_anti")
-    crowded = cut(_bounded_join(df, listed, keys, "left_semi"), keys, order, math.ceil(rows / chunk_rows))
+    ordinary = bounded_join(df, listed, keys, "left_anti")
+    crowded = cut(bounded_join(df, listed, keys, "left_semi"), keys, order, math.ceil(rows / chunk_rows))
     return whole(ordinary).unionByName(in_chunks(crowded))
 
 
@@ -99,7 +100,7 @@ def attach_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFr
 
     ``carry`` has rows only for chunks that continue a key, so at most one per chunk.
     """
-    return _bounded_join(df, carry, [*keys, CHUNK], "left")
+    return bounded_join(df, carry, [*keys, CHUNK], "left")
 
 
 def row_numbers(
@@ -194,8 +195,19 @@ def number_all(
     """Number a whole table from ``start`` in the stated order.
 
     ``df`` is counted first and then cut: pass a stored or staged table. Tables of any size
-    are cut by range into chunks of about ``chunk_rows`` rows; none goes through one window.
+    are cut by range into chunks of about ``chunk_rows`` rows; none goes through one window. One
+    range exchange and one sort serve: a row's place in its chunk is counted while the chunk is
+    stored, and what comes before a chunk is added from one row per chunk.
     """
-    grouped = df.withColumn("_all", F.lit(0))
-    numbered = row_numbers(grouped, ["_all"], order, name, chunk_rows, hot=True)
-    return numbered.withColumn(name, F.col(name) + F.lit(start - 1)).drop("_all")
+    chunks = max(1, math.ceil(df.count() / chunk_rows))
+    ranged = df.repartitionByRange(chunks, *order).sortWithinPartitions(*order)
+    # The lower bits of this id count the rows of a partition.
+    local = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    placed = stage(ranged.select("*", F.spark_partition_id().alias(CHUNK), local.alias("_local")))
+    if chunks == 1:
+        return placed.withColumn(name, F.col("_local") + start).drop(CHUNK, "_local")
+    sizes = placed.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_all", F.lit(0))
+    earlier = Window.partitionBy("_all").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    before = stage(sizes.select(CHUNK, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
+    numbered = placed.join(broadcast_if_small(before), CHUNK)
+    return numbered.withColumn(name, F.col("_local") + F.col("_before") + start).drop(CHUNK, "_local", "_before")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+ROW_WISE = ("not_null", "accepted_values")
+
 
 class Check(NamedTuple):
     """``kind`` is not_null, unique, accepted_values or relationship."""
@@ -49,9 +52,14 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
     return df.where(~F.col(column).isin(*values))
 
 
-def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``c, value, n``: how often each value of each column occurs; one pass for all columns, NULLs left out."""
-    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
+def _values(df: DataFrame, columns: Sequence[str], kind: str | None = None) -> DataFrame:
+    """``c, value, n``: how often each value of each column occurs; one pass for all columns, NULLs left out.
+
+    Values keep their type where all columns (and ``kind``) have one, else they become text.
+    """
+    kinds = {dict(df.dtypes)[c] for c in columns} | ({kind} if kind else set())
+    shared = kinds.pop() if len(kinds) == 1 else "string"
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast(shared).alias("value")) for i, c in enumerate(columns)])
     melted = df.select(F.inline(cells)).where("value is not null")
     return melted.groupBy("c", "value").agg(F.count(F.lit(1)).alias("n"))
 
@@ -68,19 +76,45 @@ def _entries(df: DataFrame, checks: Sequence[Check], failing: Sequence[Column])
     return counts.select(F.inline(F.array(*rows)))
 
 
-def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def _fails(check: Check) -> Column:
+    """Does a row fail this row-wise check?"""
+    return F.col(check.column).isNull() if check.kind == "not_null" else ~F.col(check.column).isin(*check.values)
+
+
+#: Failing rows by check.
+Counted = Mapping[Check, int]
+
+
+def counted_write(df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict[Check, int]]:
+    """``write(df)``, and how many of the written rows failed each row-wise check of ``checks``.
+
+    The counts are metrics that ride on the write, so the table is not scanned again for them.
+    """
+    own = [c for c in checks if c.kind in ROW_WISE]
+    if not own:
+        return write(df), {}
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    stored = write(df.observe(seen, *[F.count_if(_fails(c)).alias(f"c{i}") for i, c in enumerate(own)]))
+    found = seen.get
+    return stored, {c: found[f"c{i}"] for i, c in enumerate(own)}
+
+
+def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check], counted: Counted | None = None) -> DataFrame:
     """All checks in one table: table, column, check, failing.
 
-    A table is read once for its row-wise checks, once for all its unique columns, and once
-    per parent that its columns refer to.
+    A table is read once for its row-wise checks, unless all of them are ``counted``, once for all
+    its unique columns, and once per parent that its columns refer to.
     """
-    parts = []
+    parts, counted = [], counted or {}
+    known_rows = [(c.table, c.column, c.kind, counted[c]) for c in checks if c in counted]
+    if known_rows:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(known_rows, "`table` string, `column` string, `check` string, failing bigint"))
     for name in dict.fromkeys(c.table for c in checks):
         df, own = tables[name], [c for c in checks if c.table == name]
-        row_wise = [c for c in own if c.kind in ("not_null", "accepted_values")]
+        row_wise = [c for c in own if c.kind in ROW_WISE and c not in counted]
         if row_wise:
-            bad = [F.col(c.column).isNull() if c.kind == "not_null" else ~F.col(c.column).isin(*c.values) for c in row_wise]
-            parts.append(_entries(df, row_wise, [F.count_if(b) for b in bad]))
+            parts.append(_entries(df, row_wise, [F.count_if(_fails(c)) for c in row_wise]))
         unique = [c for c in own if c.kind == "unique"]
         if unique:
             values = _values(df, [c.column for c in unique])
@@ -88,8 +122,10 @@ def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check]) -> Dat
             parts.append(_entries(values, unique, again))
         for parent in dict.fromkeys(c.parent for c in own if c.kind == "relationship"):
             related = [c for c in own if c.kind == "relationship" and c.parent == parent]
-            known = tables[parent[0]].select(F.col(parent[1]).cast("string").alias("value"))
-            orphans = _values(df, [c.column for c in related]).join(known, "value", "left_anti")
+            of_parent = tables[parent[0]]
+            values = _values(df, [c.column for c in related], dict(of_parent.dtypes)[parent[1]])
+            known = of_parent.select(F.col(parent[1]).cast(dict(values.dtypes)["value"]).alias("value"))
+            orphans = values.join(known, "value", "left_anti")
             parts.append(_entries(orphans, related, [F.sum(F.when(F.col("c") == i, F.col("n"))) for i in range(len(related))]))
     report = parts[0]
     for part in parts[1:]:

@@ -14,10 +14,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streakline.functions.ordered import CHUNK_ROWS, row_numbers
+from streakline.functions.ordered import CHUNK_ROWS, bounded_join, row_numbers
 from streakline.functions.scalars import half_up_hundredths
 from streakline.functions.sizing import broadcast_if_small
-from streakline.session import stage
+from streakline.session import stage, stored
 
 SEASON_KEY = ["league_id", "season"]
 TEAM_SEASON_KEY = ["league_id", "season", "team_id"]
@@ -161,8 +161,43 @@ def matchdays(rows: DataFrame, chunk_rows: int = CHUNK_ROWS, hot: bool | None =
     return row_numbers(rows, TEAM_SEASON_KEY, ["date", "fixture_id"], "matchday", chunk_rows, hot)
 
 
+def running_rows(rows: DataFrame) -> DataFrame:
+    """Matchday and running totals of ordinary team-seasons, in windows over one shuffle and one sort.
+
+    Totals are over days: the frame takes in all matches of the same date, and NULL dates
+    are a day of their own, before all others.
+    """
+    of_team = Window.partitionBy(*TEAM_SEASON_KEY)
+    numbered = rows.withColumn("matchday", F.row_number().over(of_team.orderBy("date", "fixture_id")).cast("bigint"))
+    days = of_team.orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return numbered.withColumns({n: F.sum(c).over(days) for n, c in measures().items()})
+
+
+def league_positions(df: DataFrame) -> DataFrame:
+    """``position`` as ``positions`` gives it, where a season has no more teams than a window may hold."""
+    table = Window.partitionBy(*SEASON_KEY, "matchday").orderBy(F.desc("rolling_points"), F.desc("_aggregator"))
+    return df.withColumn("position", F.dense_rank().over(table).cast("bigint"))
+
+
 def team_running_table(rows: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """The whole chain from dated team rows to ranked running totals, the same for every size."""
-    numbered = stage(matchdays(rows, chunk_rows))
-    scored = stage(tie_breaker(rates(running_totals(numbered))))
-    return positions(scored).select("fixture_id", *COLUMNS)
+    """The whole chain from dated team rows to ranked running totals.
+
+    Rows are exchanged twice: by team and season for the totals, by matchday for the positions.
+    Team-seasons of more than ``chunk_rows`` matches are cut and summed by day apart, and where a
+    season has more than ``chunk_rows`` teams positions come from the distinct scores. Both are
+    told by one count per team and season.
+    """
+    rows = stored(rows)
+    sizes = stage(rows.groupBy(*TEAM_SEASON_KEY).agg(F.count(F.lit(1)).alias("n")))
+    seasons = sizes.groupBy(*SEASON_KEY).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("teams"))
+    most = seasons.agg(F.max("n").alias("n"), F.max("teams").alias("teams")).first()
+    if (most["n"] or 0) <= chunk_rows:
+        totals = running_rows(rows)
+    else:
+        crowded = stage(sizes.where(F.col("n") > chunk_rows).select(*TEAM_SEASON_KEY))
+        ordinary = bounded_join(rows, crowded, TEAM_SEASON_KEY, "left_anti")
+        cut_rows = stage(matchdays(bounded_join(rows, crowded, TEAM_SEASON_KEY, "left_semi"), chunk_rows, hot=True))
+        totals = running_rows(ordinary).unionByName(running_totals(cut_rows))
+    scored = tie_breaker(rates(totals))
+    ranked = league_positions(scored) if (most["teams"] or 0) <= chunk_rows else positions(stage(scored))
+    return ranked.select("fixture_id", *COLUMNS)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from streakline.operators import clean, dims, facts, merge, standings, streaks
 from streakline.plans import marts
-from streakline.plans.model_checks import check_models
+from streakline.plans.model_checks import check_models, checks_of
 from streakline.schemas import PLAYED_STATUS
 from streakline.sources.snapshots import (
     NoSnapshot,
@@ -106,15 +106,22 @@ def build_models(spark: SparkSession, root: str, stamp: str, as_of=None) -> Data
         "int/int_league_context",
         root,
         stamp,
+        checks=checks_of("int_league_context"),
     )
     teams = materialize(
-        dims.int_teams(dims.stg_teams(source("etl.dim_teams"))), "table", "int/dim_teams", root, stamp
+        dims.int_teams(dims.stg_teams(source("etl.dim_teams"))), "table", "int/dim_teams", root, stamp, checks=checks_of("dim_teams")
     )
     enriched = materialize(
-        facts.enrich_fixtures(fixtures, context, teams), "table", "int/int_fixtures", root, stamp
+        facts.enrich_fixtures(fixtures, context, teams), "table", "int/int_fixtures", root, stamp, checks=checks_of("int_fixtures")
     )
     rows = materialize(
-        facts.team_fixtures(enriched), "incremental", "int/fact_team_fixtures", root, stamp, ["fixture_id", "team_id"]
+        facts.team_fixtures(enriched),
+        "incremental",
+        "int/fact_team_fixtures",
+        root,
+        stamp,
+        ["fixture_id", "team_id"],
+        checks=checks_of("fact_team_fixtures"),
     )
     materialize(facts.team_events(rows), "view", "int/fact_team_events")
     materialize(streaks.team_streaks(rows), "view", "int/fact_team_streaks")
@@ -124,8 +131,10 @@ def build_models(spark: SparkSession, root: str, stamp: str, as_of=None) -> Data
         "int/int_teams_stats",
         root,
         stamp,
+        checks=checks_of("int_teams_stats"),
     )
-    return materialize(marts.numbered_streaks(rows), "table", "mart/mart_top_team_streaks", root, stamp)
+    checks = checks_of("mart_top_team_streaks")
+    return materialize(marts.numbered_streaks(rows), "table", "mart/mart_top_team_streaks", root, stamp, checks=checks)
 
 
 def full_refresh_job(spark: SparkSession, records: DataFrame, root: str, stamp: str, as_of=None, now=None) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streakline.functions.scalars import slugify
 from streakline.schemas import FLAT_FIXTURE_TEXT, METADATA_DDL, PAYLOAD_DDL, TEAM_PAYLOAD_DDL
-from streakline.sources.paths import exists, glob
+from streakline.sources.paths import exists
 
 _CORRUPT = "_corrupt_record"
 TREE_LEVELS = ["country_slug", "league_slug", "season"]
@@ -66,6 +68,11 @@ def unreadable_files(
     )
 
 
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Record lines of the given files; what cannot be parsed is left out."""
+    return _read_flat(spark, list(paths), False).where(_parsed()).drop(_CORRUPT)
+
+
 def scan_update_file(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One array file (or a folder of record lines); empty if missing or unreadable."""
     if not exists(spark, path):
@@ -77,6 +84,17 @@ def scan_update_file(spark: SparkSession, path: str, multi_line: bool = True) ->
     )
 
 
+def _season_folders(spark: SparkSession, base: str, season: T.DataType) -> DataFrame:
+    """The season folders that hold files, taken from the files' paths in Spark; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    if not exists(spark, base):
+        return spark.createDataFrame([], "country_slug string, league_slug string, season string")
+    parts = F.split("path", "/")
+    levels = [F.regexp_replace(F.element_at(parts, at - 4), f"^{name}=", "").alias(name) for at, name in enumerate(TREE_LEVELS)]
+    found = files.load(base).select(*levels).distinct()
+    return found.withColumn("season", F.col("season").cast(season))
+
+
 def write_fixture_tree(df: DataFrame, base: str, overwrite: bool = True) -> None:
     """Fixtures as JSON lines below country/league/season folders.
 
@@ -85,18 +103,9 @@ def write_fixture_tree(df: DataFrame, base: str, overwrite: bool = True) -> None
     ``overwrite=False``; others are not touched. The rebalance hint gathers each
     folder's rows into few files and splits a folder that is too big for one.
     """
-    spark = df.sparkSession
     rows = df.withColumns({"country_slug": slugify(F.col("country")), "league_slug": slugify(F.col("league_name"))})
     if not overwrite:
-        present = glob(spark, f"{base}/country_slug=*/league_slug=*/season=*")
-        keys = [[part.split("=", 1)[1] for part in p.split("/")[-3:]] for p in present]
-        if keys:
-            taken = spark.createDataFrame(keys, "country_slug string, league_slug string, season string")
-            rows = rows.join(
-                taken.withColumn("season", F.col("season").cast(df.schema["season"].dataType)),
-                TREE_LEVELS,
-                "left_anti",
-            )
+        rows = rows.join(_season_folders(df.sparkSession, base, df.schema["season"].dataType), TREE_LEVELS, "left_anti")
     (
         rows.drop("country", "league_name")
         .hint("rebalance", *TREE_LEVELS)
@@ -107,9 +116,9 @@ def write_fixture_tree(df: DataFrame, base: str, overwrite: bool = True) -> None
     )
 
 
-def write_records(df: DataFrame, path: str) -> None:
+def write_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Records as JSON lines; published only when all tasks are done."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode(mode).json(path)
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:

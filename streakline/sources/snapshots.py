@@ -53,7 +53,7 @@ def has_version(spark: SparkSession, folder: str, before: str | None = None) ->
     return bool(versions(spark, folder, before))
 
 
-def _new_path(spark: SparkSession, folder: str, stamp: str) -> str:
+def new_path(spark: SparkSession, folder: str, stamp: str) -> str:
     """A path above all others, finished or not."""
     taken = [_number(p) for p in glob(spark, f"{folder}/version=*")]
     return f"{folder}/version={max(taken, default=0) + 1:012d}_{stamp}_{uuid.uuid4().hex[:8]}"
@@ -61,7 +61,7 @@ def _new_path(spark: SparkSession, folder: str, stamp: str) -> str:
 
 def write_version(df: DataFrame, folder: str, stamp: str) -> DataFrame:
     """Write ``df`` as a new version and return it as read back."""
-    path = _new_path(df.sparkSession, folder, stamp)
+    path = new_path(df.sparkSession, folder, stamp)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -94,7 +94,7 @@ def write_snapshot(df: DataFrame, root: str, mode: str, stamp: str) -> DataFrame
     """A dated Parquet and CSV snapshot; the CSV is written from the Parquet, not computed again."""
     folder = _mode_dir(root, mode)
     stored = write_version(df, f"{folder}/parquet", stamp)
-    stored.write.option("header", True).csv(_new_path(df.sparkSession, f"{folder}/csv", stamp))
+    stored.write.option("header", True).csv(new_path(df.sparkSession, f"{folder}/csv", stamp))
     return stored
 
 

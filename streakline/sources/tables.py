@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from streakline.operators.merge import incremental_append, replace_by_key
-from streakline.sources.snapshots import has_version, read_version, write_version
+from streakline.operators.quality import Check, counted_write
+from streakline.sources.snapshots import has_version, read_version, stamp_of, versions, write_version
 
 # Where each declared source lives below the warehouse root.
 SOURCES = {
@@ -38,11 +39,13 @@ def materialize(
     stamp: str | None = None,
     keys: Sequence[str] = (),
     mark: str | None = None,
+    checks: Sequence[Check] = (),
 ) -> DataFrame:
     """Keep a model as a ``view``, a ``table`` or an ``incremental`` table.
 
     Incremental: rows of ``df`` (only those above the high-water mark of column
-    ``mark``, if given) replace the stored rows with the same keys.
+    ``mark``, if given) replace the stored rows with the same keys. The row-wise ones of
+    ``checks`` are counted by the write and stored with its stamp (see ``counted_checks``).
     """
     spark = df.sparkSession
     if how == "view":
@@ -51,11 +54,34 @@ def materialize(
         return spark.table(view)
     folder = f"{root}/{name}"
     if how == "table":
-        return write_version(df, folder, stamp)
+        return _checked(df, folder, root, stamp, checks)
     if how != "incremental":
         raise ValueError(f"unknown materialisation: {how}")
     # A retry starts from the version before its own stamp, as the first attempt did.
     if has_version(spark, folder, before=stamp):
         stored = read_version(spark, folder, before=stamp)
         df = incremental_append(stored, df, keys, mark) if mark else replace_by_key(stored, df, keys)
-    return write_version(df, folder, stamp)
+    return _checked(df, folder, root, stamp, checks)
+
+
+COUNTS_DDL = "`table` string, `column` string, `check` string, failing bigint"
+
+
+def _checked(df: DataFrame, folder: str, root: str, stamp: str, checks: Sequence[Check]) -> DataFrame:
+    stored, counts = counted_write(df, checks, lambda rows: write_version(rows, folder, stamp))
+    if counts:
+        rows = [(c.table, c.column, c.kind, n) for c, n in counts.items()]
+        found = df.sparkSession.createDataFrame(rows, COUNTS_DDL).coalesce(1)
+        write_version(found, f"{root}/reports/row_checks/{rows[0][0]}", stamp)
+    return stored
+
+
+def counted_checks(spark: SparkSession, root: str, stamp: str, checks: Sequence[Check]) -> dict[Check, int]:
+    """What writes of this stamp counted for ``checks``."""
+    found: dict[tuple, int] = {}
+    for table in dict.fromkeys(c.table for c in checks):
+        folder = f"{root}/reports/row_checks/{table}"
+        done = versions(spark, folder)
+        if done and stamp_of(done[-1]) == stamp:
+            found |= {(r["table"], r["column"], r["check"]): r["failing"] for r in spark.read.parquet(done[-1]).collect()}
+    return {c: found[c[:3]] for c in checks if c[:3] in found}

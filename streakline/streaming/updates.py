@@ -1,16 +1,28 @@
-"""Update files as a stream: each micro-batch is merged as the batch job would merge it."""
+"""Update files as a stream.
+
+``stream_updates`` merges each micro-batch into one table, whole. ``stream_increments`` keeps each
+fixture's best record so far as state and brings what changed into the raw table and the facts,
+at the cost of the buckets touched; the order in which files arrive does not matter.
+"""
 
 from __future__ import annotations
 
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streakline.operators.merge import FIXTURE_KEY, coalesce_update
+from streakline.plans import increments
 from streakline.plans.jobs import transform_fixtures
-from streakline.schemas import FLAT_FIXTURE_TEXT
-from streakline.sources.snapshots import read_version, write_version
+from streakline.schemas import FLAT_FIXTURE_TEXT, PLAYED_STATUS
+from streakline.sources.snapshots import read_version, remove_old_versions, write_version
+
+
+def _stamp(checkpoint: str, batch_id: int) -> str:
+    """The same for a batch that is run again, another for a batch of another checkpoint."""
+    return f"stream{zlib.crc32(checkpoint.encode()):08x}-{batch_id:012d}"
 
 
 def stream_updates(
@@ -20,21 +32,23 @@ def stream_updates(
     checkpoint: str,
     now=None,
     files_per_batch: int = 1000,
+    keep: int = 30,
 ) -> StreamingQuery:
     """Merge record-line files that arrive in ``incoming`` into the versioned table ``folder``.
 
     A batch becomes a version of its own, made from the last version that is not its own,
     whoever wrote it, so a batch that is run again after a failure gives the same
-    table. Batches of another checkpoint have other stamps. If a batch holds a fixture more than once, the record of the file that
-    arrived last wins.
+    table. If a batch holds a fixture more than once, the record of the file that arrived last
+    wins. All but the last ``keep`` versions are deleted.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        stamp = f"stream{zlib.crc32(checkpoint.encode()):08x}-{batch_id:012d}"
+        stamp = _stamp(checkpoint, batch_id)
         table = read_version(spark, folder, before=stamp)
         updates = transform_fixtures(batch)
         order = ["_arrived", "_file", "kickoff_utc", "fixture_status"]
         write_version(coalesce_update(table, updates, FIXTURE_KEY, now, order), folder, stamp)
+        remove_old_versions(spark, folder, keep)
 
     return (
         spark.readStream.schema(FLAT_FIXTURE_TEXT)
@@ -46,3 +60,49 @@ def stream_updates(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def best_records(records: DataFrame) -> DataFrame:
+    """One record per fixture, each value from the best record that has it.
+
+    Best is the finished record, then the later kickoff; further columns only break ties. Taking
+    the best is order-free and mergeable, so as a streaming aggregate the state of a fixture is
+    what a batch over all its records would give, whatever came first.
+    """
+    values = [c for c in records.columns if c not in FIXTURE_KEY]
+    finished = F.coalesce(F.col("fixture_status") == PLAYED_STATUS, F.lit(False))
+    place = F.struct(finished, "kickoff_utc", *[c for c in values if c != "kickoff_utc"])
+    rows = records.where(F.col(FIXTURE_KEY[0]).isNotNull()).groupBy(*FIXTURE_KEY)
+    return rows.agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in values]).select(*records.columns)
+
+
+def stream_increments(
+    spark: SparkSession,
+    incoming: str,
+    root: str,
+    checkpoint: str,
+    as_of=None,
+    now=None,
+    files_per_batch: int = 1000,
+) -> StreamingQuery:
+    """Bring record-line files that arrive in ``incoming`` into the tables of ``plans.increments``.
+
+    Spark's state store holds the best record of each fixture; a micro-batch hands on the
+    fixtures whose best record it changed, and of these only what differs from the raw table is
+    applied: to the raw buckets, the team rows, the streaks and the states of the teams
+    concerned. A record that is late or superseded changes nothing. A batch that is run again
+    starts from the versions before its own.
+    """
+
+    def bring(batch: DataFrame, batch_id: int) -> None:
+        increments.bring_in(batch, root, _stamp(checkpoint, batch_id), as_of, now)
+
+    records = spark.readStream.schema(FLAT_FIXTURE_TEXT).option("maxFilesPerTrigger", files_per_batch).json(incoming)
+    return (
+        best_records(transform_fixtures(records))
+        .writeStream.outputMode("update")
+        .foreachBatch(bring)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -51,6 +51,9 @@ def test_running_table_has_no_one_task_window(spark, sf, tmp_path):
     q.standings_rows(spark, sf).write.parquet(path)
     text = plan(standings.team_running_table(spark.read.parquet(path)))
     assert "SinglePartition" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+    # By team and season for the totals, by matchday for the positions; nothing is joined back.
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2 and "Join" not in text
+    assert len(re.findall(r"[^a-zA-Z]Sort \[", text)) == 2
 
 
 def test_next_fixture_is_pruned_when_unused(spark, sf, tmp_path):

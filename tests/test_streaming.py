@@ -3,7 +3,7 @@ from datetime import datetime
 from streakline.operators.merge import coalesce_update
 from streakline.plans.jobs import transform_fixtures
 from streakline.sources import fixture_files, snapshots
-from streakline.streaming.updates import stream_updates
+from streakline.streaming.updates import best_records, stream_updates
 from tests.test_sources import put, record
 
 NOW = datetime(2024, 3, 1)
@@ -58,6 +58,18 @@ def test_other_writers_and_new_checkpoints(spark, tmp_path):
     assert finished() == {1, 4, 5}
 
 
+def test_best_record_does_not_depend_on_the_order(spark, tmp_path):
+    early = [record(1, "NS", None, None), record(2, "NS", None, None, kickoff="2024-09-01T12:00:00Z"), record(3, "FT", 1, 0)]
+    late = [record(1, "FT", 2, 1), record(2, "NS", None, None, kickoff="2024-08-01T12:00:00Z"), record(3, "NS", None, None, kickoff="2025-01-01T12:00:00Z")]
+    found = []
+    for nth, lists in enumerate(((early, late), (late, early), (late, early, late))):
+        rows = transform_fixtures(fixture_files.scan_update_file(spark, _file(tmp_path, f"{nth}.json", [r for x in lists for r in x])))
+        found.append({r["api_fixture_id"]: tuple(r) for r in best_records(rows.repartition(4)).collect()})
+    assert found[0] == found[1] == found[2]
+    best = best_records(rows).orderBy("api_fixture_id").collect()
+    assert [r["fixture_status"] for r in best] == ["FT", "NS", "FT"] and best[1]["kickoff_utc"].month == 9
+
+
 def _file(tmp_path, name, records):
     put(tmp_path, records, name)
     return str(tmp_path / name)
