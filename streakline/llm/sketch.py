@@ -5,7 +5,7 @@ The sketch keeps every shingle hash below a fixed fraction of the hash range, so
 size follows the text's length, the union of two sketches is the sketch of both texts,
 and shared over own hashes estimate containment however unequal the lengths are. A text
 with no hash below the threshold keeps its smallest one instead; ``merge`` drops such a
-stand-in beside hashes below the threshold.
+stand-in beside hashes below the threshold. Texts of any length are read whole.
 
 A fingerprint is the kept hashes, ascending, as eight hex digits each. Likeness is the
 share of common hashes among all of two fingerprints.
@@ -135,7 +135,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     places = F.when(F.col("first"), F.array(own, before)).otherwise(F.array(own))
     placed = rows.withColumns({"range": range_of("key"), "first": is_first("key")})
     spread = placed.select(F.explode(places).alias("at"), "key", "doc_id", "text").select("at.*", "key", "doc_id", "text")
-    return spread.repartition(len(starts), "range").sortWithinPartitions("range", "late", "key", "text")
+    # Each range is a task of its own; hashed, several would meet in one.
+    return spread.repartitionById(len(starts), "range").sortWithinPartitions("range", "late", "key", "text")
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
