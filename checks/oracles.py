@@ -228,6 +228,9 @@ CTES |= {
                dense_rank() OVER (PARTITION BY league_id, season, matchday
                                   ORDER BY rolling_points DESC, cw + cd DESC) AS position
         FROM cents""",
+    "completed": """
+        SELECT raw.*, league_id, country_name, league_name FROM raw JOIN dim_leagues USING (api_league_id)
+        JOIN dim_countries USING (country_id) WHERE fixture_status = 'FT'""",
     "stale": f"""
         SELECT raw.*, league_season_id FROM raw
         JOIN dim_leagues USING (api_league_id) JOIN stg_seasons USING (league_id, season)
@@ -280,6 +283,17 @@ CTES |= {
 }
 
 
+# The running table of the older layout.
+side = lambda own, other: f"""
+    SELECT fixture_id, CAST(kickoff_utc AS DATE) AS date, kickoff_utc, season, league_id, country_name AS country,
+        league_name AS league, {own}_team_id AS team_id, {own}_team_name AS team_name, {other}_team_id AS opponent_id,
+        {other}_team_name AS opponent_name, {own}_fulltime_result AS result, {own}_team_fulltime_goal AS goals_scored,
+        {other}_team_fulltime_goal AS goals_conceded FROM completed"""
+CTES["srows_old"] = f"{side('home', 'away')} UNION ALL {side('away', 'home')}"
+for new, name, source in (("days_old", "days", "srows"), ("cents_old", "cents", "days"), ("standing_old", "standing", "cents")):
+    CTES[new] = CTES[name].replace(f"FROM {source}", f"FROM {source}_old")
+
+
 def sql(body: str) -> str:
     """Prefix the CTEs a query uses, directly or through others, in definition order."""
     def used(text: str) -> set[str]:
@@ -615,6 +629,8 @@ ORACLES["run_length_streaks"] = f"""SELECT event_id, user_id, ts, event_type, va
     is_error_run, is_high_run FROM signal_runs"""
 ORACLES["run_length_chunked"] = ORACLES["run_length_streaks"]
 ORACLES["team_running_table_cut"] = ORACLES["team_running_table"]
+ORACLES["team_running_table_completed"] = ORACLES["team_running_table"].replace("FROM standing", "FROM standing_old")
+ORACLES["materialize_buckets"] = ORACLES["materialize_incremental"]
 ORACLES["update_touched_buckets"] = ORACLES["coalesce_update"]
 ORACLES["replace_touched_buckets"] = ORACLES["replace_by_key"]
 ORACLES["incremental_streaks"] = ORACLES["fact_team_streaks"]

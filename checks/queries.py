@@ -205,6 +205,16 @@ def materialize_incremental(spark, sf):
     return tables.materialize(rows, *keep, "20000102_000000", merge.FIXTURE_KEY, "updated_at")
 
 
+@query
+def materialize_buckets(spark, sf):
+    root = scratch_path(spark, "warehouse")
+    rows = staged_fixtures(spark, sf).drop("created_at")
+    early = rows.where("updated_at < timestamp_ntz '2000-01-01 00:00:00'")
+    keep = ("buckets", "stg/fixtures", root)
+    tables.materialize(early, *keep, "20000101_000000", merge.FIXTURE_KEY, "updated_at")
+    return tables.materialize(rows, *keep, "20000102_000000", merge.FIXTURE_KEY, "updated_at")
+
+
 @query
 def materialize_view(spark, sf):
     return tables.materialize(facts.team_events(team_rows(spark, sf)), "view", "fact_team_events")
@@ -683,6 +693,13 @@ def team_running_table_cut(spark, sf):
     return iso(standings.team_running_table(standings_rows(spark, sf), chunk_rows=20), "date")
 
 
+@query
+def team_running_table_completed(spark, sf):
+    """The running table from the older layout of finished matches."""
+    rows = standings.completed_input(clean.stg_completed_fixtures(tb.completed_fixtures_v1(spark, sf)))
+    return iso(standings.team_running_table(rows), "date")
+
+
 # --- F. Sorts, limits, top-k; G. set operations ----------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 A stage is a function of (spark, docs, sf_dir). ``run`` writes each one's rows as Parquet to
 the shared folder and hands the reread table on. All but the last return the columns of
-``documents``.
+``documents``. What a stage read is deleted once its own rows are stored.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from streakline.llm import bpe, mixing, pii, simhash, toxicity
-from streakline.session import stage
+from streakline.session import scratch_path, scratch_scope, stage_at
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,6 +57,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for _, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir))
+        path = scratch_path(spark, "stage")
+        # A stage's own scratch tables go once its rows are stored, its input once they are.
+        with scratch_scope(spark) as made:
+            docs = stage_at(step(spark, docs, sf_dir), path)
+            made += [before] if before else []
+        before = path
     return docs

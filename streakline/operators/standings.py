@@ -22,6 +22,27 @@ from streakline.session import stage, stored
 SEASON_KEY = ["league_id", "season"]
 TEAM_SEASON_KEY = ["league_id", "season", "team_id"]
 
+def completed_input(completed: DataFrame) -> DataFrame:
+    """The same from the older layout (``clean.stg_completed_fixtures``): a wide match becomes two team rows."""
+
+    def view(own: str, other: str) -> str:
+        return f"""struct(
+            {own}_team_id as team_id, {own}_team_name as team_name,
+            {other}_team_id as opponent_id, {other}_team_name as opponent_name, {own}_fulltime_result as result,
+            {own}_team_fulltime_goal as goals_scored, {other}_team_fulltime_goal as goals_conceded)"""
+
+    return completed.selectExpr(
+        "fixture_id",
+        "to_date(date) as date",
+        "date as kickoff_utc",
+        "season",
+        "league_id",
+        "country",
+        "league",
+        f"inline(array({view('home', 'away')}, {view('away', 'home')}))",
+    )
+
+
 # Points per result: fixed values.
 POINTS = {"win": 3, "draw": 1, "loss": 0}
 

@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streakline.sources.paths import delete
+
 # Let Spark size and split what it can at run time. Partition counts are left to
 # the cluster; adaptive execution merges small ones and splits skewed join sides.
 SETTINGS = {
@@ -45,9 +49,34 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+#: Scratch paths given out within the open ``scratch_scope`` blocks, innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/streakline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/streakline/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Scratch tables made within the block are deleted after it.
+
+    What is needed longer has to be stored elsewhere, or its path taken off the list that the block
+    gets. Frames that read a deleted table fail, so nothing lazy may leave the block. If the
+    block fails its tables stay, for a look at them.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.pop()
+    for path in made:
+        delete(spark, path)
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -57,8 +86,11 @@ def stage(df: DataFrame) -> DataFrame:
     executors, every later reader sees the same ones, and counting them reads
     file footers only.
     """
+    return stage_at(df, scratch_path(df.sparkSession, "stage"))
+
+
+def stage_at(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

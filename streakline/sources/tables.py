@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streakline.operators.merge import incremental_append, replace_by_key
+from streakline.operators.merge import incremental_append, replace_by_key, rows_after
 from streakline.operators.quality import Check, counted_write
+from streakline.session import stage
+from streakline.sources.buckets import has_map, read_map, update_buckets, write_buckets
 from streakline.sources.snapshots import has_version, read_version, stamp_of, versions, write_version
 
 # Where each declared source lives below the warehouse root.
@@ -41,10 +43,11 @@ def materialize(
     mark: str | None = None,
     checks: Sequence[Check] = (),
 ) -> DataFrame:
-    """Keep a model as a ``view``, a ``table`` or an ``incremental`` table.
+    """Keep a model as a ``view``, a ``table``, an ``incremental`` table or one in ``buckets``.
 
     Incremental: rows of ``df`` (only those above the high-water mark of column
-    ``mark``, if given) replace the stored rows with the same keys. The row-wise ones of
+    ``mark``, if given) replace the stored rows with the same keys. ``buckets`` does so too, but
+    rewrites only the buckets that these rows fall into. The row-wise ones of
     ``checks`` are counted by the write and stored with its stamp (see ``counted_checks``).
     """
     spark = df.sparkSession
@@ -55,6 +58,8 @@ def materialize(
     folder = f"{root}/{name}"
     if how == "table":
         return _checked(df, folder, root, stamp, checks)
+    if how == "buckets":
+        return _in_buckets(df, folder, stamp, keys, mark)
     if how != "incremental":
         raise ValueError(f"unknown materialisation: {how}")
     # A retry starts from the version before its own stamp, as the first attempt did.
@@ -64,6 +69,16 @@ def materialize(
     return _checked(df, folder, root, stamp, checks)
 
 
+def _in_buckets(df: DataFrame, folder: str, stamp: str, keys: Sequence[str], mark: str | None) -> DataFrame:
+    spark = df.sparkSession
+    if not has_map(spark, folder, before=stamp):
+        return write_buckets(df, folder, keys, stamp).read(spark)
+    # Of the stored rows only the mark's column is read whole.
+    stored = read_map(spark, folder, before=stamp).read(spark)
+    feed = stage(rows_after(df, stored, mark) if mark else df)
+    return update_buckets(feed, folder, stamp, lambda old, new: replace_by_key(old, new, keys)).read(spark)
+
+
 COUNTS_DDL = "`table` string, `column` string, `check` string, failing bigint"
 
 

@@ -1,7 +1,8 @@
 import pytest
 
 from streakline.functions.sizing import broadcast_if_small, is_small, measured_bytes
-from streakline.session import is_scan, scratch_path, shared_dir, stage
+from streakline.session import is_scan, scratch_path, scratch_scope, shared_dir, stage, stage_at
+from streakline.sources.paths import exists
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
@@ -53,3 +54,18 @@ def test_scans_are_told_from_work(spark, tmp_path):
     assert is_scan(rows) and is_scan(rows.where("v > 3").selectExpr("v + 1 as w"))
     assert not is_scan(rows.groupBy("id").count()) and not is_scan(rows.join(rows.select("id"), "id"))
     assert not is_scan(rows.selectExpr("explode(array(id, v)) as x"))
+
+
+def test_scratch_tables_of_a_block_go(spark):
+    kept = scratch_path(spark, "kept")
+    with scratch_scope(spark) as made:
+        first = stage(spark.range(3))
+        out = stage_at(first.selectExpr("id + 1 as id"), kept)
+        with scratch_scope(spark):
+            inner = stage(spark.range(2)).inputFiles()[0]
+        assert not exists(spark, inner) and len(made) == 1
+    assert not exists(spark, made[0]) and sorted(r[0] for r in out.collect()) == [1, 2, 3]
+    with pytest.raises(ValueError), scratch_scope(spark) as made:
+        stage(spark.range(1))
+        raise ValueError
+    assert exists(spark, made[0])
