@@ -8,7 +8,12 @@ bounded sample, cut them into shards: each node splits by the distance to a vant
 a radius. By the triangle inequality a fingerprint at distance d has links on the near side
 only if d - reach <= radius and on the far side only if d + reach > radius; it visits every
 shard that its ball overlaps, and belongs to one. In a shard the tree goes on in memory down
-to small exact comparisons. A shard gives each linked fingerprint with the root of its local
+to small exact comparisons.
+
+Balls of near-random fingerprints overlap more shards with every level, so past ``WHOLE_DEPTH``
+levels there is one tree for each quarter of the bits instead. Of two fingerprints that differ in
+``REACH`` bits one quarter is the same, at distance zero: with that reach each fingerprint
+visits one shard per tree, however deep, and meets there those of its own quarter. A shard gives each linked fingerprint with the root of its local
 component, so a group of copies of any size gives as many rows as it has fingerprints.
 Components over all shards are then found with joins.
 
@@ -33,7 +38,9 @@ from streakline.llm.components import components
 from streakline.session import stage
 
 REACH, SHINGLE, SEED = 3, 3, 42
-SAMPLE, SHARD_FINGERPRINTS, MAX_DEPTH = 32_768, 60_000, 10
+SAMPLE, SHARD_FINGERPRINTS, WHOLE_DEPTH, MAX_DEPTH = 32_768, 60_000, 3, 14
+QUARTERS = [np.uint64(0xFFFF << at) for at in (0, 16, 32, 48)]
+QUARTER_SHARDS = 1 << 20
 BLOCK = 2**21
 MOST = 2**63 - 1
 
@@ -179,17 +186,45 @@ def link_shard(fps: np.ndarray, own: np.ndarray, reach: int = REACH) -> np.ndarr
     return sets.roots(everything)
 
 
+def link_quarter(fps: np.ndarray, quarter: np.uint64) -> np.ndarray:
+    """Roots after linking all within ``REACH`` that have the same bits in ``quarter``."""
+    roots = np.arange(len(fps))
+    order = np.argsort(fps & quarter, kind="stable")
+    values = (fps & quarter)[order]
+    cuts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+        if b - a > 1:
+            same = order[a:b]
+            roots[same] = same[link_shard(fps[same], np.ones(len(same), bool))]
+    return roots
+
+
+def visits(fps: np.ndarray, trees: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``route``, through one tree of whole fingerprints or one of each quarter."""
+    if len(trees) == 1:
+        return route(trees[0], fps)
+    found = [route(tree, fps & quarter, 0) for tree, quarter in zip(trees, QUARTERS, strict=True)]
+    shards = [shard + nth * QUARTER_SHARDS for nth, (_, shard, _) in enumerate(found)]
+    return np.concatenate([f[0] for f in found]), np.concatenate(shards), np.concatenate([f[2] for f in found])
+
+
+def shard_trees(sample: np.ndarray, depth: int) -> list:
+    if depth <= WHOLE_DEPTH:
+        return [build_tree(sample, depth)]
+    return [build_tree(sample & quarter, depth) for quarter in QUARTERS]
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """Edges ``a, b`` that connect all fingerprints (column ``fp``, distinct) within reach."""
     count = distinct.count()
     depth = min(MAX_DEPTH, max(0, -(-count // SHARD_FINGERPRINTS) - 1).bit_length())
     picked = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect() if depth else []
-    tree = build_tree(np.array([r["fp"] for r in picked], np.int64).view(np.uint64), depth)
+    trees = shard_trees(np.array([r["fp"] for r in picked], np.int64).view(np.uint64), depth)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = b.column("fp").to_numpy()
-            rows, shards, own = route(tree, fps.view(np.uint64))
+            rows, shards, own = visits(fps.view(np.uint64), trees)
             for at in range(0, len(rows), 100_000):
                 part = slice(at, at + 100_000)
                 yield pa.RecordBatch.from_arrays(
@@ -199,7 +234,11 @@ def links(distinct: DataFrame) -> DataFrame:
 
     def within(shard: pa.Table) -> pa.Table:
         fps, own = shard.column("fp").to_numpy(), shard.column("own").to_numpy()
-        roots = link_shard(fps.view(np.uint64), own)
+        if len(trees) > 1:
+            nth = shard.column("shard")[0].as_py() // QUARTER_SHARDS
+            roots = link_quarter(fps.view(np.uint64), QUARTERS[nth])
+        else:
+            roots = link_shard(fps.view(np.uint64), own)
         linked = roots != np.arange(len(fps))
         return pa.table({"a": fps[linked], "b": fps[roots[linked]]})
 

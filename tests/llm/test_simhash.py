@@ -79,6 +79,46 @@ def test_shards_together_find_every_link(spark, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
+def test_quarters_find_every_link(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centres = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    near = [c ^ np.uint64(sum(1 << int(x) for x in rng.choice(64, rng.integers(0, 5), replace=False))) for c in np.repeat(centres, 5)]
+    fps = np.unique(np.array(near, np.uint64))
+    want = {(int(fps[i]), int(fps[j])) for i in range(len(fps)) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= 3}
+    monkeypatch.setattr(simhash, "SHARD_FINGERPRINTS", 20)
+    monkeypatch.setattr(simhash, "WHOLE_DEPTH", 2)
+    frame = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint").repartition(3)
+    edges = simhash.links(frame).collect()
+    sets = {int(x): int(x) for x in fps}
+
+    def root(x):
+        while sets[x] != x:
+            x = sets[x]
+        return x
+
+    for r in edges:
+        a, b = r["a"] % 2**64, r["b"] % 2**64
+        sets[root(max(a, b))] = root(min(a, b))
+    found = {frozenset(x for x in sets if root(x) == r) for r in {root(x) for x in sets}}
+    plain = {int(x): int(x) for x in fps}
+    sets = plain
+    for a, b in want:
+        sets[root(max(a, b))] = root(min(a, b))
+    assert found == {frozenset(x for x in sets if root(x) == r) for r in {root(x) for x in sets}} and want
+
+
+def test_visits_do_not_grow_with_the_depth(monkeypatch):
+    rng = np.random.default_rng(7)
+    sample, fps = (rng.integers(0, 2**64, n, dtype=np.uint64) for n in (32_768, 5_000))
+    for depth in (6, 10, 14):
+        rows, shards, own = simhash.visits(fps, simhash.shard_trees(sample, depth))
+        assert len(rows) == 4 * len(fps) and own.all()
+        largest = np.unique(shards, return_counts=True)[1].max()
+        assert largest < 5_000 * 40 / 2**depth + 200
+    rows, _, own = simhash.visits(fps, simhash.shard_trees(sample, 3))
+    assert own.sum() == len(fps) and len(rows) < 6 * len(fps)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (300, 200), (200, 300), (None, 1)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
