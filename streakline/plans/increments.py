@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from streakline.operators import clean, dims, facts, merge, repair, streak_state
 from streakline.operators.facts import FIXTURE_ORDER, TEAM_KEY
 from streakline.plans import marts
-from streakline.plans.jobs import FINISHED_LAST, RAW, transform_fixtures
+from streakline.plans.jobs import FINISHED_LAST, KEEP_VERSIONS, RAW, transform_fixtures
 from streakline.schemas import EVENT_CATALOG, PLAYED_STATUS, Event
 from streakline.session import stage
 from streakline.sources import buckets
-from streakline.sources.snapshots import write_version
+from streakline.sources.snapshots import remove_old_versions, write_version
 from streakline.sources.tables import source_table
 
 RAW_ROWS, ROWS, LENGTHS, STATE = "inc/raw_fixtures", "inc/team_fixtures", "inc/team_lengths", "inc/team_state"
@@ -162,10 +162,23 @@ def bring_in(updates: DataFrame, root: str, stamp: str, as_of=None, now=None) ->
     return n
 
 
-def update_job(spark: SparkSession, records: DataFrame, root: str, stamp: str, as_of=None, now=None) -> DataFrame:
-    """Fetched updates to the mart, at a cost that follows the feed and the number of teams."""
+def update_job(
+    spark: SparkSession, records: DataFrame, root: str, stamp: str, as_of=None, now=None, keep: int = KEEP_VERSIONS
+) -> DataFrame:
+    """Fetched updates to the mart, at a cost that follows the feed and the number of teams.
+
+    All but the last ``keep`` versions are deleted.
+    """
     bring_in(transform_fixtures(records), root, stamp, as_of, now)
-    return write_version(numbered_streaks(spark, root), f"{root}/{MART}", stamp)
+    mart = write_version(numbered_streaks(spark, root), f"{root}/{MART}", stamp)
+    tidy(spark, root, keep)
+    return mart
+
+
+def tidy(spark: SparkSession, root: str, keep: int = KEEP_VERSIONS) -> None:
+    for name in (RAW_ROWS, ROWS, LENGTHS, STATE):
+        buckets.remove_unused(spark, f"{root}/{name}", keep)
+    remove_old_versions(spark, f"{root}/{MART}", keep)
 
 
 def raw_fixtures(spark: SparkSession, root: str) -> DataFrame:

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from streakline.operators import clean, dims, facts, merge, standings, streaks
 from streakline.plans import marts
-from streakline.plans.model_checks import check_models, checks_of
+from streakline.plans.model_checks import MODELS, check_models, checks_of
 from streakline.schemas import PLAYED_STATUS
 from streakline.sources.snapshots import (
+    MODES,
     NoSnapshot,
     latest_snapshot,
     read_version,
+    remove_old_versions,
     snapshot_stamp,
     write_snapshot,
     write_version,
@@ -29,6 +31,25 @@ RAW = "raw.raw_fixtures"
 FINISHED_LAST = ["_finished", "kickoff_utc", "home_team_fulltime_goal", "away_team_fulltime_goal"]
 
 
+#: How many versions of each table jobs leave; readers of older ones fail.
+KEEP_VERSIONS = 30
+KEPT_TABLES = [
+    *MODELS.values(),
+    "stg/stg_raw_fixtures",
+    "staging/changed_fixtures",
+    "reports/quality",
+    "reports/blanked_values",
+    *[f"snapshots/{mode}/{kind}" for mode in MODES for kind in ("parquet", "csv")],
+    *[f"reports/row_checks/{model}" for model in MODELS],
+]
+
+
+def tidy(spark: SparkSession, root: str, keep: int = KEEP_VERSIONS) -> None:
+    """Delete all but the last ``keep`` versions of what jobs write."""
+    for name in KEPT_TABLES:
+        remove_old_versions(spark, f"{root}/{name}", keep)
+
+
 def transform_fixtures(records: DataFrame) -> DataFrame:
     """Flat records checked, typed and scored."""
     checked = clean.validate_schema(records)
@@ -143,6 +164,7 @@ def full_refresh_job(spark: SparkSession, records: DataFrame, root: str, stamp:
     load_raw(spark, root, stamp, now)
     mart = build_models(spark, root, stamp, as_of)
     check_models(spark, root, stamp)
+    tidy(spark, root)
     return mart
 
 
@@ -152,6 +174,7 @@ def daily_update_job(spark: SparkSession, records: DataFrame, root: str, stamp:
         apply_played_updates(spark, root, stamp, now)
     mart = build_models(spark, root, stamp, as_of)
     check_models(spark, root, stamp)
+    tidy(spark, root)
     return mart
 
 

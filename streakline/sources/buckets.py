@@ -146,6 +146,8 @@ def remove_unused(spark: SparkSession, root: str, keep: int = 30) -> int:
         return {r["folder"] for p in paths for r in spark.read.parquet(p).select("folder").collect() if r["folder"]}
 
     found = versions(spark, f"{root}/map")
+    if len(found) <= keep:
+        return 0
     gone = named(found[:-keep]) - named(found[-keep:])
     remove_old_versions(spark, f"{root}/map", keep)
     for folder in gone:

@@ -84,6 +84,7 @@ def stream_increments(
     as_of=None,
     now=None,
     files_per_batch: int = 1000,
+    keep: int = 30,
 ) -> StreamingQuery:
     """Bring record-line files that arrive in ``incoming`` into the tables of ``plans.increments``.
 
@@ -91,11 +92,12 @@ def stream_increments(
     fixtures whose best record it changed, and of these only what differs from the raw table is
     applied: to the raw buckets, the team rows, the streaks and the states of the teams
     concerned. A record that is late or superseded changes nothing. A batch that is run again
-    starts from the versions before its own.
+    starts from the versions before its own. All but the last ``keep`` versions are deleted.
     """
 
     def bring(batch: DataFrame, batch_id: int) -> None:
         increments.bring_in(batch, root, _stamp(checkpoint, batch_id), as_of, now)
+        increments.tidy(spark, root, keep)
 
     records = spark.readStream.schema(FLAT_FIXTURE_TEXT).option("maxFilesPerTrigger", files_per_batch).json(incoming)
     return (

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from streakline.operators import merge
+from streakline.plans import jobs
 from streakline.session import scratch_path
 from streakline.sources import buckets
 from streakline.sources.paths import exists
-from streakline.sources.snapshots import NoSnapshot
+from streakline.sources.snapshots import NoSnapshot, versions, write_version
 
 KEY = ["api_fixture_id"]
 
@@ -110,3 +111,13 @@ def test_old_folders_go(spark, root):
     assert rows(buckets.read_buckets(spark, root)) == rows(last.read(spark))
     replaced = [p for b in first.folders if first.folders[b] != last.folders[b] for p in first.folders[b]]
     assert replaced and not any(exists(spark, p) for p in replaced)
+
+
+def test_jobs_leave_the_last_versions(spark, tmp_path):
+    root = str(tmp_path)
+    for stamp in ("1", "2", "3"):
+        for name in ("raw/raw_fixtures", "snapshots/full/parquet", "other"):
+            write_version(spark.range(1), f"{root}/{name}", stamp)
+    jobs.tidy(spark, root, keep=2)
+    left = {name: len(versions(spark, f"{root}/{name}")) for name in ("raw/raw_fixtures", "snapshots/full/parquet", "other")}
+    assert left == {"raw/raw_fixtures": 2, "snapshots/full/parquet": 2, "other": 3}
