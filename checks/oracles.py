@@ -544,6 +544,11 @@ ORACLES: dict[str, str] = {
     "check_unique": "SELECT l_orderkey, count(*) AS occurrences FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1",
     "check_relationship": """SELECT league_season_id, count(*) AS failing FROM intf
         WHERE league_season_id NOT IN (SELECT league_season_id FROM ctx WHERE season > 1998) GROUP BY ALL""",
+    "check_unique_by_bitmap": """SELECT o_orderkey, count(*) AS occurrences FROM (
+        SELECT o_orderkey FROM orders UNION ALL SELECT l_orderkey FROM lineitem WHERE l_linenumber = 7
+        ) GROUP BY o_orderkey HAVING count(*) > 1""",
+    "check_relationship_by_bitmap": """SELECT l_orderkey, count(*) AS failing FROM lineitem
+        WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F') GROUP BY l_orderkey""",
     "check_accepted_values": """SELECT api_fixture_id, fixture_status FROM raw
         WHERE fixture_status NOT IN ('FT', 'NS', 'WO', 'AWD')""",
     "quality_report": " UNION ALL ".join(
@@ -641,6 +646,8 @@ ORACLES["incremental_update_job"] = ORACLES["daily_update_job"]
 ORACLES["incremental_update_streaks"] = """SELECT team_id, team_name, league_season_id, league_name, fixture_id, kickoff_utc,
     event_name, streak_type, event_flag, streak_length FROM st2"""
 ORACLES["stream_increments_streaks"] = ORACLES["incremental_update_streaks"]
+ORACLES["quality_report_by_bitmap"] = f"""SELECT * FROM ({ORACLES["quality_report"]})
+    WHERE "table" IN ('raw_fixtures', 'int_league_context', 'dim_teams', 'int_fixtures') AND "check" IN ('unique', 'relationship')"""
 ORACLES["quality_report_scanned"] = f"""SELECT * FROM ({ORACLES["quality_report"]})
     WHERE "table" IN ('raw_fixtures', 'int_league_context', 'dim_teams', 'int_fixtures')"""
 ORACLES["append_by_mark"] = """WITH edge AS (SELECT max(updated_at) AS m FROM raw WHERE updated_at < TIMESTAMP '1999-06-30 00:00:00')

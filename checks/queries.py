@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from streakline import testbed as tb
 from streakline.functions.ordered import next_values, number_all, previous_values, row_numbers
 from streakline.functions.scalars import as_time, run_stamp, season_label, slugify, title_case
-from streakline.operators import clean, digests, dims, facts, marks, merge, quality, standings, streaks
+from streakline.operators import clean, digests, dims, facts, key_bits, marks, merge, quality, standings, streaks
 from streakline.plans import increments, jobs, loads, marts, serving, worklists
 from streakline.plans.model_checks import MODEL_CHECKS, checks_of
 from streakline.schemas import EVENT_CATALOG, STREAK_TYPES, Event
@@ -1150,6 +1150,19 @@ def check_relationship(spark, sf):
     return quality.relationship_failures(enriched(spark, sf), "league_season_id", parents, "league_season_id")
 
 
+@query
+def check_unique_by_bitmap(spark, sf):
+    """Orders and the orders of seventh lines, stacked: an order with seven lines stands twice."""
+    lines = tb.table(spark, sf, "lineitem").where("l_linenumber = 7").select(F.col("l_orderkey").alias("o_orderkey"))
+    return key_bits.repeated_keys(tb.table(spark, sf, "orders").select("o_orderkey").unionByName(lines), "o_orderkey")
+
+
+@query
+def check_relationship_by_bitmap(spark, sf):
+    parents = tb.table(spark, sf, "orders").where("o_orderstatus <> 'F'")
+    return key_bits.orphaned_keys(tb.table(spark, sf, "lineitem"), "l_orderkey", parents, "o_orderkey")
+
+
 @query
 def check_accepted_values(spark, sf):
     return quality.accepted_values_failures(
@@ -1192,6 +1205,16 @@ def quality_report_scanned(spark, sf):
     return quality.quality_report(models, [c for c in MODEL_CHECKS if c.table in models])
 
 
+@query
+def quality_report_by_bitmap(spark, sf):
+    """The key checks of the raw table, teams and fixtures, whole-number keys through bitmaps."""
+    raw, league, teams = stage(tb.raw_fixtures(spark, sf)), stage(context(spark, sf)), stage(tb.dim_teams(spark, sf))
+    fixtures = stage(facts.enrich_fixtures(clean.stg_fixtures(raw), league, dims.stg_teams(teams)))
+    models = {"raw_fixtures": raw, "int_league_context": league, "dim_teams": teams, "int_fixtures": fixtures}
+    checks = [c for c in MODEL_CHECKS if c.table in models and c.kind in ("unique", "relationship")]
+    return quality.quality_report(models, checks, bitmaps=True)
+
+
 # --- M. Marts and jobs ------------------------------------------------------------------------------------------------------
 
 

@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from streakline.operators.key_bits import is_whole, orphaned_keys, repeated_keys
+
 ROW_WISE = ("not_null", "accepted_values")
 
 
@@ -99,13 +101,32 @@ def counted_write(df: DataFrame, checks: Sequence[Check], write: Callable[[DataF
     return stored, {c: found[f"c{i}"] for i, c in enumerate(own)}
 
 
-def quality_report(tables: dict[str, DataFrame], checks: Sequence[Check], counted: Counted | None = None) -> DataFrame:
+def _by_bits(tables: dict[str, DataFrame], check: Check) -> DataFrame | None:
+    """The report row of a check of whole-number keys, found through bitmaps; None for other checks."""
+    df = tables[check.table]
+    if check.kind == "unique" and is_whole(df, check.column):
+        return _entries(repeated_keys(df, check.column), [check], [F.count(F.lit(1))])
+    if check.kind == "relationship" and is_whole(df, check.column) and is_whole(tables[check.parent[0]], check.parent[1]):
+        orphans = orphaned_keys(df, check.column, tables[check.parent[0]], check.parent[1])
+        return _entries(orphans, [check], [F.sum("failing")])
+    return None
+
+
+def quality_report(
+    tables: dict[str, DataFrame], checks: Sequence[Check], counted: Counted | None = None, bitmaps: bool = False
+) -> DataFrame:
     """All checks in one table: table, column, check, failing.
 
     A table is read once for its row-wise checks, unless all of them are ``counted``, once for all
-    its unique columns, and once per parent that its columns refer to.
+    its unique columns, and once per parent that its columns refer to. With ``bitmaps`` each check
+    of whole-number keys reads its column twice instead, and shuffles bitmaps and suspects only:
+    for tables whose keys are too many to shuffle.
     """
     parts, counted = [], counted or {}
+    if bitmaps:
+        found = {c: _by_bits(tables, c) for c in checks}
+        parts += [row for row in found.values() if row is not None]
+        checks = [c for c in checks if found[c] is None]
     known_rows = [(c.table, c.column, c.kind, counted[c]) for c in checks if c in counted]
     if known_rows:
         spark = next(iter(tables.values())).sparkSession
