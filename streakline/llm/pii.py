@@ -13,11 +13,12 @@ repeats; the links stay linear in the candidates. Messages run until they settle
 many rounds as there are candidates (``ROUNDS`` at least).
 
 Weights are trained by pseudo-likelihood on the candidates of at most ``SAMPLE`` documents,
-those with the least hash of their text: matches have their kind, numbers that resemble
-no match have none, and the others teach nothing.
+those with the least hash of their text that come to at most ``SAMPLE_BYTES``: matches have
+their kind, numbers that resemble no match have none, and the others teach nothing.
 
 Defined cases: null and empty texts have no spans; without candidates to learn from
-nothing is added; repeated rows are judged alike; an empty table gives no rows; other
+nothing is added; repeated rows are judged alike; an empty table gives no rows; texts of any
+length are judged whole, and one longer than ``SAMPLE_BYTES`` is not learned from; other
 columns are not read.
 """
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streakline.llm.common import add_columns
@@ -38,6 +39,8 @@ from streakline.session import stage
 KINDS = ["email", "ip", "card", "phone"]
 EMAIL, IP, CARD, PHONE, NONE = range(5)
 SAMPLE, STEPS, RATE, DECAY, ROUNDS, DAMPING = 4_000, 300, 0.1, 1e-3, 50, 0.3
+#: Text that is learned from; a candidate of ten bytes comes to the driver as some 250.
+SAMPLE_BYTES = 24_000_000
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -272,22 +275,35 @@ def _examples(text: str) -> list[tuple[list[float], int, list[float], list[float
     ]
 
 
-def train(docs: DataFrame, size: int = SAMPLE) -> Field:
-    """Fit the field on the candidates of at most ``size`` documents that may have some."""
-    texts = docs.select("text").where(F.col("text").rlike("[0-9@]"))
+def sampled_texts(docs: DataFrame, size: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> DataFrame | None:
+    """``text``: at most ``size`` different texts that may have candidates, the first by hash that come to ``most_bytes``."""
+    texts = docs.select("text").where(F.col("text").rlike("[0-9@]") & (F.octet_length("text") <= most_bytes))
     # Hashes are ordered, not texts: few rows and no text pass through the ordering task.
-    marks = texts.select(F.xxhash64("text").alias("mark")).distinct().orderBy("mark").limit(size)
-    bound = stage(marks).agg(F.max("mark")).first()[0]
-    if bound is None:
+    marks = texts.groupBy(F.xxhash64("text").alias("mark")).agg(F.max(F.octet_length("text")).cast("bigint").alias("bytes"))
+    first = stage(marks.orderBy("mark").limit(size))
+    so_far = F.sum("bytes").over(Window.orderBy("mark").rowsBetween(Window.unboundedPreceding, 0))
+    bound = first.withColumn("so_far", so_far).where(F.col("so_far") <= most_bytes).agg(F.max("mark")).first()[0]
+    return None if bound is None else texts.where(F.xxhash64("text") <= bound).dropDuplicates(["text"])
+
+
+def train(docs: DataFrame, size: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Field:
+    """Fit the field on the candidates of ``sampled_texts``."""
+    sample = sampled_texts(docs, size, most_bytes)
+    if sample is None:
         return Field.empty()
-    sample = texts.where(F.xxhash64("text") <= bound).dropDuplicates(["text"])
-    shape = "e array<struct<f:array<double>,y:int,near:array<double>,agree:array<double>>>"
-    rows = add_columns(sample.select("text"), lambda: lambda t: (_examples(t),), shape, keep=()).where("size(e) > 0").collect()
-    examples = sorted((tuple(x["f"]), x["y"], tuple(x["near"]), tuple(x["agree"])) for r in rows for x in r["e"])
-    if not examples:
+
+    def packed(text):
+        return (np.array([[*f, y, *near, *agree] for f, y, near, agree in _examples(text)], "<f8").tobytes(),)
+
+    # Numbers come packed: the driver never holds the examples as lists.
+    rows = add_columns(sample, lambda: packed, "e binary", keep=()).where("length(e) > 0").collect()
+    examples = np.frombuffer(b"".join(bytes(r["e"]) for r in rows), "<f8").reshape(-1, WIDTH + 16)
+    if not len(examples):
         return Field.empty()
-    f, near, agree = (np.array([e[i] for e in examples]) for i in (0, 2, 3))
-    y = np.eye(5)[[e[1] for e in examples]]
+    # One order, whatever the order of the rows.
+    examples = examples[np.lexsort(examples.T[::-1])]
+    f, labels, near, agree = np.split(examples, [WIDTH, WIDTH + 1, WIDTH + 6], axis=1)
+    y = np.eye(5)[labels[:, 0].astype(int)]
     agree = agree.reshape(-1, 2, 5)
     theta = np.zeros(WIDTH * 5 + 25 + 2)
     m, v = np.zeros_like(theta), np.zeros_like(theta)

@@ -7,13 +7,14 @@ documents have labels; the weights are those under which the documents' labels a
 so the sentences at fault are found without being labelled.
 
 Fitting uses a bounded sample: at most ``SAMPLE`` labelled training rows per class, those
-with the least hash of their id. Features are hashed to ``BUCKETS`` numbers; the ``FEATURES``
+with the least hash of their id, and of these the first ones that come to ``SAMPLE_BYTES`` of text. Features are hashed to ``BUCKETS`` numbers; the ``FEATURES``
 whose presence says most about the label are counted in Spark, and only their occurrences
 come to the driver. Scoring covers every text whole, in one pass without a shuffle.
 
 Defined cases: null and empty texts have no sentence and score 0; labels that are null or
 that belong to no document are not used; where one class is missing from the training rows
-every score is 0; repeated rows score alike; an empty table gives no rows; only ``doc_id``
+every score is 0; repeated rows score alike; an empty table gives no rows; texts of any length
+are scored whole, and one longer than ``SAMPLE_BYTES`` is not learned from; only ``doc_id``
 and ``text`` are read.
 """
 
@@ -26,13 +27,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streakline.llm.common import add_columns
 from streakline.session import stage
 
 SAMPLE, BUCKETS, FEATURES, FOLDS = 6_000, 2**18, 4_096, 5
+#: Text of a class that is learned from; the driver gets at most about three times as much in numbers.
+SAMPLE_BYTES = 32_000_000
 STEPS, RATE, DECAY, START, FIT_BLOCK = 300, 0.1, 1e-4, -5.0, 500
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"[^\W\d_]+")
@@ -107,14 +110,26 @@ def training_rows(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """``text, toxic`` of at most ``size`` labelled training rows of each class; stored."""
+def training_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """``text, toxic, stands`` of at most ``size`` labelled training rows of each class; stored.
+
+    Where their texts come to more than ``most_bytes`` the first by hash are kept, and each stands for ``stands`` of them.
+    """
     keyed = training_rows(labels).select(F.col("doc_id").alias("of"), F.col("toxic").cast("int").alias("toxic"))
     picks = [keyed.where(F.col("toxic") == t).orderBy(F.xxhash64("of"), "of").limit(size) for t in (0, 1)]
     picked = stage(picks[0].unionByName(picks[1]))
     texts = docs.select("doc_id", "text").where("text is not null")
     # At most 2 * size narrow rows are broadcast, whatever the tables' sizes.
-    return stage(texts.join(F.broadcast(picked), F.col("doc_id") == F.col("of")).select("text", "toxic"))
+    met = stage(texts.join(F.broadcast(picked), F.col("doc_id") == F.col("of")).select("of", "text", "toxic"))
+    # One row per sampled id, so the windows hold at most ``size`` rows.
+    sizes = met.groupBy("toxic", "of").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    fits = F.col("bytes") <= most_bytes
+    in_order = Window.partitionBy("toxic").orderBy(F.xxhash64("of"), "of").rowsBetween(Window.unboundedPreceding, 0)
+    summed = sizes.withColumn("taken", fits & (F.sum(F.when(fits, F.col("bytes"))).over(in_order) <= most_bytes))
+    of_class = Window.partitionBy("toxic")
+    counted = summed.withColumn("stands", F.count(F.lit(1)).over(of_class) / F.count_if("taken").over(of_class))
+    kept = counted.where("taken").select("toxic", "of", "stands")
+    return stage(met.join(F.broadcast(kept), ["toxic", "of"]).select("text", "toxic", "stands"))
 
 
 def _informative(sample: DataFrame, n_pos: int, n_neg: int, count: int) -> list[int]:
@@ -170,9 +185,11 @@ def _fit(y: np.ndarray, weight: np.ndarray, sizes: list[np.ndarray], hits: list[
     return float(theta[-1]), theta[:-1]
 
 
-def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int = FEATURES) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int = FEATURES, most_bytes: int = SAMPLE_BYTES
+) -> Model:
     """A model from the training rows of ``labels``."""
-    sample = training_sample(docs, labels, size)
+    sample = training_sample(docs, labels, size, most_bytes)
     counts = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return Model()
@@ -186,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int
         return np.array([len(x) for x in found], "<i4").tobytes(), np.array([p for x in found for p in x], "<i4").tobytes()
 
     # Numbers come packed: the driver never holds the sample as lists.
-    rows = add_columns(sample, lambda: compact, "sizes binary, hits binary", keep=("toxic",)).where("length(sizes) > 0").collect()
+    rows = add_columns(sample, lambda: compact, "sizes binary, hits binary", keep=("toxic", "stands")).where("length(sizes) > 0").collect()
     rows.sort(key=lambda r: (r["toxic"], bytes(r["sizes"]), bytes(r["hits"])))
     if len({r["toxic"] for r in rows}) < 2:
         return Model()
@@ -194,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, features: int
     y = np.array([r["toxic"] for r in rows])
     # Where a class was sampled its rows stand for all of it, so scores keep the labels' odds.
     totals = {r["toxic"]: r["count"] for r in training_rows(labels).groupBy("toxic").count().collect()}
-    weight = np.array([max(1.0, totals[t] / size) for t in (0, 1)])[y]
+    weight = np.array([max(1.0, totals[t] / size) for t in (0, 1)])[y] * np.array([r["stands"] for r in rows])
     bias, weights = _fit(y.astype(float), weight, sizes, hits, len(chosen))
     return Model(bias, {f: float(weights[i]) for f, i in place.items()})
 

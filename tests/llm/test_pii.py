@@ -144,3 +144,14 @@ def test_copies_do_not_fill_the_sample(spark):
     field = pii.train(docs, size=40)
     # All e-mail texts but a few are in the sample, so mentions of e-mails are known.
     assert np.abs(field.unary[:, pii.EMAIL]).max() > 0.1
+
+
+def test_sample_is_bounded_by_bytes(spark):
+    rows = [(i, f"call {5550000000 + i} or +{15550000000 + i}") for i in range(50)] + [(99, "1" * 3000), (100, "no digits"), (101, None)]
+    docs = spark.createDataFrame(rows + rows, "doc_id long, text string")
+    every = {t for _, t in rows if t and any(c.isdigit() for c in t)}
+    assert {r["text"] for r in pii.sampled_texts(docs).collect()} == every
+    few = [r["text"] for r in pii.sampled_texts(docs, most_bytes=400).collect()]
+    assert 0 < len(few) == len(set(few)) and 350 < sum(map(len, few)) <= 400
+    assert pii.sampled_texts(docs, most_bytes=5) is None
+    assert pii.sampled_texts(docs, size=4).count() == 4
