@@ -646,6 +646,9 @@ ORACLES["incremental_update_job"] = ORACLES["daily_update_job"]
 ORACLES["incremental_update_streaks"] = """SELECT team_id, team_name, league_season_id, league_name, fixture_id, kickoff_utc,
     event_name, streak_type, event_flag, streak_length FROM st2"""
 ORACLES["stream_increments_streaks"] = ORACLES["incremental_update_streaks"]
+ORACLES["stream_late_records"] = f"""SELECT {flat_list}, FALSE AS late FROM raw2
+    UNION ALL SELECT {", ".join("f." + c for c in FLAT)}, TRUE FROM flat f JOIN upd u USING (api_fixture_id)
+    WHERE f.api_fixture_id % 2 = 0 AND (f.fixture_status <> u.fixture_status OR f.kickoff_utc <> u.kickoff_utc)"""
 ORACLES["quality_report_by_bitmap"] = f"""SELECT * FROM ({ORACLES["quality_report"]})
     WHERE "table" IN ('raw_fixtures', 'int_league_context', 'dim_teams', 'int_fixtures') AND "check" IN ('unique', 'relationship')"""
 ORACLES["quality_report_scanned"] = f"""SELECT * FROM ({ORACLES["quality_report"]})

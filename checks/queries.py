@@ -17,7 +17,7 @@ from streakline.plans.model_checks import MODEL_CHECKS, checks_of
 from streakline.schemas import EVENT_CATALOG, STREAK_TYPES, Event
 from streakline.session import scratch_path, stage
 from streakline.sources import buckets, fixture_files, ledger, snapshots, tables
-from streakline.streaming.updates import stream_increments, stream_updates
+from streakline.streaming.updates import late_records, stream_increments, stream_updates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -1045,7 +1045,7 @@ def incremental_update_streaks(spark, sf):
     return increments.team_streaks(spark, updated_increments(spark, sf))
 
 
-def streamed_increments(spark, sf) -> str:
+def streamed_increments(spark, sf, keep_late: bool = False) -> str:
     """Records in the wrong order: new ones first, then, for some fixtures, the old ones again."""
     root = scratch_path(spark, "warehouse")
     warehouse(spark, sf, root)
@@ -1054,7 +1054,9 @@ def streamed_increments(spark, sf) -> str:
     records = new.where("api_fixture_id % 2 = 0").unionByName(old.where("api_fixture_id % 2 = 1"))
     for part in (records, new.where("api_fixture_id % 2 = 1").unionByName(old.where("api_fixture_id % 2 = 0"))):
         fixture_files.write_records(part, f"{root}/incoming", mode="append")
-        stream_increments(spark, f"{root}/incoming", root, f"{root}/progress", AS_OF, NOW).awaitTermination()
+        stream_increments(
+            spark, f"{root}/incoming", root, f"{root}/progress", AS_OF, NOW, keep_late=keep_late
+        ).awaitTermination()
     return root
 
 
@@ -1064,6 +1066,14 @@ def stream_increments_streaks(spark, sf):
     return increments.team_streaks(spark, streamed_increments(spark, sf))
 
 
+@query
+def stream_late_records(spark, sf):
+    """Records that came after better ones, and the raw rows that the same stream left, told apart by ``late``."""
+    root = streamed_increments(spark, sf, keep_late=True)
+    late = late_records(spark, root).select(*FLAT, F.lit(True).alias("late"))
+    return late.unionByName(increments.raw_fixtures(spark, root).select(*FLAT, F.lit(False).alias("late")))
+
+
 @query
 def append_by_mark(spark, sf):
     """Three runs over a growing source; some rows of the first mark's last two days come only after it."""

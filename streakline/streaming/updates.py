@@ -2,23 +2,34 @@
 
 ``stream_updates`` merges each micro-batch into one table, whole. ``stream_increments`` keeps each
 fixture's best record so far as state and brings what changed into the raw table and the facts,
-at the cost of the buckets touched; the order in which files arrive does not matter.
+at the cost of the buckets touched; the order in which files arrive does not matter. On request
+records that came too late to tell anything new are kept in a table of their own.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from streakline.operators.merge import FIXTURE_KEY, coalesce_update
 from streakline.plans import increments
 from streakline.plans.jobs import transform_fixtures
 from streakline.schemas import FLAT_FIXTURE_TEXT, PLAYED_STATUS
+from streakline.session import stage
+from streakline.sources.paths import exists
 from streakline.sources.snapshots import read_version, remove_old_versions, write_version
 
+LATE = "inc/late_records"
+#: Every digit of a kickoff goes through the state and back.
+EXACT_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def _stamp(checkpoint: str, batch_id: int) -> str:
     """The same for a batch that is run again, another for a batch of another checkpoint."""
@@ -76,6 +87,60 @@ def best_records(records: DataFrame) -> DataFrame:
     return rows.agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in values]).select(*records.columns)
 
 
+def _telling(records: Iterable[dict], values: list[str]) -> tuple[list[dict], dict]:
+    """The records that ``best_records`` takes a value from, and what it makes of them."""
+
+    def place(record: dict) -> list:
+        cells = [record.get("fixture_status") == PLAYED_STATUS, record.get("kickoff_utc")]
+        cells += [record.get(c) for c in values if c != "kickoff_utc"]
+        # NULL stands first, as in Spark's order of structs.
+        return [(cell is not None, 0 if cell is None else cell) for cell in cells]
+
+    kept, best = [], {}
+    for record in sorted(records, key=place, reverse=True):
+        new = [c for c in values if record.get(c) is not None and c not in best]
+        if new or not kept:
+            best.update({c: record[c] for c in new})
+            kept.append(record)
+    return kept, best
+
+
+def judged_records(records: DataFrame) -> DataFrame:
+    """The stream ``records`` with ``late``: what changes the best of a fixture, and what came too late for that.
+
+    False: the fixture's best record as ``best_records`` has it, given out whenever it changes. True: a
+    record as it came, of which no value counts by the end of its micro-batch; it is superseded.
+    A repeat of what counts is neither. The state of a fixture is the records that its best is made of,
+    in most cases one, so it grows with the raw table and not with the number of records.
+    """
+    values = [c for c in records.columns if c not in FIXTURE_KEY]
+    key, ddl = FIXTURE_KEY[0], records.select(*values).schema
+
+    def judge(key_: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = json.loads(state.get[0]) if state.exists else []
+        came = [json.loads(r) for batch in batches for r in batch["record"]]
+        before = _telling(held, values)[1]
+        kept, best = _telling(held + came, values)
+        out = [(json.dumps(r), True) for r in came if r not in kept and r != best]
+        if not state.exists or best != before:
+            out.append((json.dumps(best), False))
+        if kept != held:
+            state.update((json.dumps(kept),))
+        yield pd.DataFrame([(key_[0], *row) for row in out], columns=[key, "record", "late"])
+
+    packed = records.where(F.col(key).isNotNull()).select(key, F.to_json(F.struct(*values), EXACT_TIME).alias("record"))
+    judged = packed.groupBy(key).applyInPandasWithState(
+        judge, f"{key} bigint, record string, late boolean", "records string", "update", "NoTimeout"
+    )
+    unpacked = judged.select(key, F.from_json("record", ddl, EXACT_TIME).alias("record"), "late")
+    return unpacked.select(*[key if c == key else f"record.{c}" for c in records.columns], "late")
+
+
+def late_records(spark: SparkSession, root: str) -> DataFrame | None:
+    """The late records of all micro-batches, with ``batch``; None before the first."""
+    return spark.read.parquet(f"{root}/{LATE}") if exists(spark, f"{root}/{LATE}") else None
+
+
 def stream_increments(
     spark: SparkSession,
     incoming: str,
@@ -85,23 +150,35 @@ def stream_increments(
     now=None,
     files_per_batch: int = 1000,
     keep: int = 30,
+    keep_late: bool = False,
 ) -> StreamingQuery:
     """Bring record-line files that arrive in ``incoming`` into the tables of ``plans.increments``.
 
     Spark's state store holds the best record of each fixture; a micro-batch hands on the
     fixtures whose best record it changed, and of these only what differs from the raw table is
     applied: to the raw buckets, the team rows, the streaks and the states of the teams
-    concerned. A record that is late or superseded changes nothing. A batch that is run again
-    starts from the versions before its own. All but the last ``keep`` versions are deleted.
+    concerned. A record that is late or superseded changes nothing; with ``keep_late`` it is written
+    to ``inc/late_records``, in a folder per micro-batch, at the price of a state that Python
+    keeps (``judged_records``) instead of an aggregate. The two keep different states, so a checkpoint
+    stays with the one that it was made with. A batch that is run again starts from the versions before
+    its own and writes its folder anew. All but the last ``keep`` versions are deleted, but no late records.
     """
 
     def bring(batch: DataFrame, batch_id: int) -> None:
-        increments.bring_in(batch, root, _stamp(checkpoint, batch_id), as_of, now)
+        stamp = _stamp(checkpoint, batch_id)
+        if keep_late:
+            judged = stage(batch)
+            late = judged.where("late").drop("late")
+            if not late.isEmpty():
+                late.write.mode("overwrite").parquet(f"{root}/{LATE}/batch={stamp}")
+            batch = judged.where("not late").drop("late")
+        increments.bring_in(batch, root, stamp, as_of, now)
         increments.tidy(spark, root, keep)
 
     records = spark.readStream.schema(FLAT_FIXTURE_TEXT).option("maxFilesPerTrigger", files_per_batch).json(incoming)
+    typed = transform_fixtures(records)
     return (
-        best_records(transform_fixtures(records))
+        (judged_records(typed) if keep_late else best_records(typed))
         .writeStream.outputMode("update")
         .foreachBatch(bring)
         .option("checkpointLocation", checkpoint)
