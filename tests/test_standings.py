@@ -80,3 +80,21 @@ def test_against_brute_force(spark, rows, chunk_rows):
 
 def test_no_rows(spark):
     assert team_running_table(spark.createDataFrame([], DDL)).collect() == []
+
+
+def test_many_small_chunks_share_the_tasks_of_a_shuffle(spark, monkeypatch):
+    """Chunks of two rows, exactly that long, through no more range partitions than a shuffle has."""
+    from streakline.functions import ordered
+
+    asked = []
+    ranged = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda df, n, *by: asked.append(n) or ranged(df, n, *by))
+    df = spark.range(0, 200).selectExpr("id", "id % 3 as k", "pmod(id * 7919, 200) as at")
+    pieces = ordered.cut(df, ["k"], ["at"], 100, 2).collect()
+    assert asked == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+    sizes = defaultdict(list)
+    for r in pieces:
+        sizes[r[ordered.CHUNK]].append((r["k"], r["at"]))
+    assert max(map(len, sizes.values())) == 2 and len(pieces) == 200
+    placed = [r for chunk in sorted(sizes) for r in sorted(sizes[chunk])]
+    assert placed == sorted(placed)
