@@ -1,8 +1,8 @@
 """Update files as a stream.
 
 ``stream_updates`` merges each micro-batch into one table, whole. ``stream_increments`` keeps each
-fixture's best record so far as state and brings what changed into the raw table and the facts,
-at the cost of the buckets touched; the order in which files arrive does not matter. On request
+fixture's telling records so far in a table in buckets and brings what changed into the raw table and
+the facts, at the cost of the buckets touched; the order in which files arrive does not matter. On request
 records that came too late to tell anything new are kept in a table of their own.
 """
 
@@ -13,7 +13,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState
@@ -23,10 +23,12 @@ from streakline.plans import increments
 from streakline.plans.jobs import transform_fixtures
 from streakline.schemas import FLAT_FIXTURE_TEXT, PLAYED_STATUS
 from streakline.session import stage
+from streakline.sources import buckets
 from streakline.sources.paths import exists
 from streakline.sources.snapshots import read_version, remove_old_versions, write_version
 
 LATE = "inc/late_records"
+HELD = "inc/stream_records"
 #: Every digit of a kickoff goes through the state and back.
 EXACT_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -136,6 +138,69 @@ def judged_records(records: DataFrame) -> DataFrame:
     return unpacked.select(*[key if c == key else f"record.{c}" for c in records.columns], "late")
 
 
+def judged_batch(held: DataFrame, came: DataFrame) -> DataFrame:
+    """The rows of both with what they are worth, in one shuffle and one sort; the rules are those of ``judged_records``.
+
+    ``tells``: a record that the fixture's best takes a value from, the first of equal ones; these are
+    what to hold for the next batch. ``late``: a record of ``came`` of which no value counts. ``best``: the best
+    record, on one row of each fixture in ``came``, and ``changed`` whether ``held`` alone gave another.
+    """
+    key, values = FIXTURE_KEY[0], [c for c in came.columns if c not in FIXTURE_KEY]
+    rows = held.withColumn("_came", F.lit(False)).unionByName(came.withColumn("_came", F.lit(True)))
+    finished = F.coalesce(F.col("fixture_status") == PLAYED_STATUS, F.lit(False))
+    place = [finished, F.col("kickoff_utc"), *[F.col(c) for c in values if c != "kickoff_utc"]]
+    ranked = Window.partitionBy(key).orderBy(*[c.desc_nulls_last() for c in place])
+    before = ranked.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    equals = ranked.rangeBetween(Window.currentRow, Window.currentRow)
+
+    # One bit for each value that a record has.
+    known = F.lit(0).cast("bigint")
+    for nth, c in enumerate(values):
+        known = known.bitwiseOR(F.when(F.col(c).isNotNull(), F.lit(1 << nth).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    told = F.coalesce(F.bit_or("_known").over(before), F.lit(0).cast("bigint"))
+    best = F.struct(*[F.first(c, True).over(whole).alias(c) for c in values])
+    own = F.struct(*[F.first(F.when(~F.col("_came"), F.col(c)), True).over(whole).alias(c) for c in values])
+    marked = rows.where(F.col(key).isNotNull()).withColumn("_known", known).withColumns(
+        {
+            "_nr": F.row_number().over(ranked),
+            "_told": told,
+            "_best": best,
+            "_own": own,
+            "_any_came": F.max("_came").over(whole),
+            "_any_held": F.max(~F.col("_came")).over(whole),
+        }
+    )
+    tells = (F.col("_nr") == 1) | (F.col("_known").bitwiseAND(F.bitwise_not("_told")) != 0)
+    same = F.struct(*values).eqNullSafe(F.col("_best"))
+    return (
+        marked.withColumn("tells", tells)
+        .withColumn("_counts", F.max("tells").over(equals))
+        .select(
+            *came.columns,
+            "tells",
+            (F.col("_came") & ~F.col("_counts") & ~same).alias("late"),
+            F.when((F.col("_nr") == 1) & F.col("_any_came"), F.col("_best")).alias("best"),
+            (~F.col("_any_held") | ~F.col("_best").eqNullSafe(F.col("_own"))).alias("changed"),
+        )
+    )
+
+
+def judge_batch(batch: DataFrame, folder: str, stamp: str, n_buckets: int = buckets.BUCKETS) -> DataFrame:
+    """``judged_batch`` of a micro-batch against the records held in ``folder``, which is brought up to date; stored."""
+    spark = batch.sparkSession
+    came = stage(batch.where(F.col(FIXTURE_KEY[0]).isNotNull()))
+    if not buckets.has_map(spark, folder, before=stamp):
+        judged = stage(judged_batch(came.limit(0), came))
+        buckets.write_buckets(judged.where("tells").select(*came.columns), folder, FIXTURE_KEY, stamp, n_buckets)
+        return judged
+    known = buckets.read_map(spark, folder, before=stamp)
+    touched = known.touched(came)
+    judged = stage(judged_batch(known.read(spark, touched), came))
+    buckets.update_buckets(came, folder, stamp, lambda _, __: judged.where("tells"), touched)
+    return judged
+
+
 def late_records(spark: SparkSession, root: str) -> DataFrame | None:
     """The late records of all micro-batches, with ``batch``; None before the first."""
     return spark.read.parquet(f"{root}/{LATE}") if exists(spark, f"{root}/{LATE}") else None
@@ -154,33 +219,35 @@ def stream_increments(
 ) -> StreamingQuery:
     """Bring record-line files that arrive in ``incoming`` into the tables of ``plans.increments``.
 
-    Spark's state store holds the best record of each fixture; a micro-batch hands on the
-    fixtures whose best record it changed, and of these only what differs from the raw table is
-    applied: to the raw buckets, the team rows, the streaks and the states of the teams
+    The records that a fixture's best is made of, in most cases one, are held in a table in buckets, one per
+    checkpoint (``inc/stream_records``): it lies on disk, is versioned as the other tables, and grows with the raw table. A
+    micro-batch hands on the fixtures whose best record it may have changed, and of these only what differs
+    from the raw table is applied: to the raw buckets, the team rows, the streaks and the states of the teams
     concerned. A record that is late or superseded changes nothing; with ``keep_late`` it is written
-    to ``inc/late_records``, in a folder per micro-batch, at the price of a state that Python
-    keeps (``judged_records``) instead of an aggregate. The two keep different states, so a checkpoint
-    stays with the one that it was made with. A batch that is run again starts from the versions before
+    to ``inc/late_records``, in a folder per micro-batch. A batch that is run again starts from the versions before
     its own and writes its folder anew. All but the last ``keep`` versions are deleted, but no late records.
+    Checkpoints of the time when Spark's state store held the records cannot be gone on with.
     """
+    held = f"{root}/{HELD}/{zlib.crc32(checkpoint.encode()):08x}"
 
     def bring(batch: DataFrame, batch_id: int) -> None:
         stamp = _stamp(checkpoint, batch_id)
+        n_buckets = buckets.read_map(spark, f"{root}/{increments.RAW_ROWS}").buckets
+        judged = judge_batch(batch, held, stamp, n_buckets)
+        best = judged.where("best is not null")
         if keep_late:
-            judged = stage(batch)
-            late = judged.where("late").drop("late")
+            late = judged.where("late").select(*batch.columns)
             if not late.isEmpty():
                 late.write.mode("overwrite").parquet(f"{root}/{LATE}/batch={stamp}")
-            batch = judged.where("not late").drop("late")
-        increments.bring_in(batch, root, stamp, as_of, now)
+            best = best.where("changed")
+        increments.bring_in(best.select(*[c if c in FIXTURE_KEY else f"best.{c}" for c in batch.columns]), root, stamp, as_of, now)
         increments.tidy(spark, root, keep)
+        buckets.remove_unused(spark, held, keep)
 
     records = spark.readStream.schema(FLAT_FIXTURE_TEXT).option("maxFilesPerTrigger", files_per_batch).json(incoming)
-    typed = transform_fixtures(records)
     return (
-        (judged_records(typed) if keep_late else best_records(typed))
-        .writeStream.outputMode("update")
-        .foreachBatch(bring)
+        transform_fixtures(records)
+        .writeStream.foreachBatch(bring)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
