@@ -1,16 +1,20 @@
 """The next fixture repaired in place: only rows whose neighbours changed are rewritten.
 
 A changed match touches itself, the row before its old place and the row before its new one, per
-team. Keys and places of the teams concerned are put in order, from narrow rows; whole rows are
-taken only for what came out different.
+team. Keys, places and old neighbours of the teams concerned are put in order, as narrow rows; whole rows
+are joined only for what came out different.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from streakline.operators.facts import FIXTURE_ORDER, TEAM_KEY, next_fixture
+from streakline.operators.facts import TEAM_KEY, next_fixture
+from streakline.session import stage
 
 TEAM_ROW = ["fixture_id", "team_id"]
 NEXT = ["next_opponent_id", "next_kickoff_utc"]
@@ -23,16 +27,27 @@ def next_repairs(stored: DataFrame, changed: DataFrame, hot: bool | None = None)
     once. All rows of the teams in ``changed`` must be in ``stored``; other teams are not looked at.
     """
     teams = changed.select(*TEAM_KEY).distinct()
-    own = stored.join(teams, TEAM_KEY, "left_semi")
-    kept = own.join(changed.select(*TEAM_ROW), TEAM_ROW, "left_anti")
     narrow = [*TEAM_ROW, "kickoff_utc", "opponent_id"]
-    order = next_fixture(kept.select(*narrow).unionByName(changed.select(*narrow)), hot=hot)
-    placed = order.select(*TEAM_ROW, *[F.col(c).alias(f"_{c}") for c in NEXT])
-    rows = kept.withColumn("_new", F.lit(False)).unionByName(
-        changed.withColumn("_new", F.lit(True)), allowMissingColumns=True
+    own = stored.select(*narrow, *[F.col(c).alias(f"_{c}") for c in NEXT]).join(teams, TEAM_KEY, "left_semi")
+    kept = own.join(changed.select(*TEAM_ROW), TEAM_ROW, "left_anti").withColumn("_new", F.lit(False))
+    came = changed.select(*narrow).withColumn("_new", F.lit(True))
+    placed = next_fixture(kept.unionByName(came, allowMissingColumns=True), hot=hot)
+    # Rows that share a key are compared below, each with each.
+    shared = F.count(F.lit(1)).over(Window.partitionBy(*TEAM_KEY, "fixture_id")) > 1
+    found = stage(
+        placed.withColumn("_shared", shared)
+        .where(F.col("_new") | F.col("_shared") | ~_same())
+        .select(*TEAM_ROW, "_new", *[F.col(c).alias(f"_{c}") for c in NEXT])
     )
-    same = F.lit(True)
-    for c in NEXT:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    found = rows.join(placed, TEAM_ROW).where(F.col("_new") | ~same)
-    return found.select(*[F.col(f"_{c}" if c in NEXT else c).alias(c) for c in stored.columns])
+    moved = stored.join(found.where("not _new"), TEAM_ROW).where(~_same())
+    new = changed.join(found.where("_new"), TEAM_ROW)
+    return moved.select(*_as(stored)).unionByName(new.select(*_as(stored)))
+
+
+def _same() -> Column:
+    """Is the next fixture what it was?"""
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in NEXT])
+
+
+def _as(stored: DataFrame) -> list[Column]:
+    return [F.col(f"_{c}" if c in NEXT else c).alias(c) for c in stored.columns]
