@@ -20,12 +20,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streakline.functions.ordered import hot_keys
 from streakline.operators import clean, dims, facts, merge, repair, streak_state
 from streakline.operators.facts import FIXTURE_ORDER, TEAM_KEY
 from streakline.plans import marts
 from streakline.plans.jobs import FINISHED_LAST, KEEP_VERSIONS, RAW, transform_fixtures
 from streakline.schemas import EVENT_CATALOG, PLAYED_STATUS, Event
-from streakline.session import stage
+from streakline.session import stage, stored
 from streakline.sources import buckets
 from streakline.sources.snapshots import remove_old_versions, write_version
 from streakline.sources.tables import source_table
@@ -38,8 +39,12 @@ def start(
     fixtures: DataFrame, root: str, stamp: str, n_buckets: int = buckets.BUCKETS, catalog: Sequence[Event] = EVENT_CATALOG
 ) -> None:
     """A full build of the three tables from enriched fixtures."""
-    rows = buckets.write_buckets(facts.team_fixtures(fixtures), f"{root}/{ROWS}", TEAM_KEY, stamp, n_buckets)
     spark = fixtures.sparkSession
+    sides = facts.unpivot_team_rows(stored(fixtures))
+    ordinary = hot_keys(sides, TEAM_KEY).isEmpty()
+    # Without a crowded team one shuffle, by bucket, serves both the next fixtures and the write.
+    by = buckets.bucket_of(TEAM_KEY, n_buckets) if ordinary else None
+    rows = buckets.write_buckets(facts.team_fixtures_of(sides, by), f"{root}/{ROWS}", TEAM_KEY, stamp, n_buckets, lying=ordinary)
     lengths = buckets.write_buckets(
         streak_state.team_lengths(rows.read(spark), catalog), f"{root}/{LENGTHS}", TEAM_KEY, stamp, n_buckets
     )
@@ -59,9 +64,9 @@ def apply(fixtures: DataFrame, root: str, stamp: str, catalog: Sequence[Event] =
     state_map = buckets.read_map(spark, f"{root}/{STATE}", before=stamp)
     touched = state_map.touched(feed)
 
-    def repaired(old: DataFrame, new: DataFrame) -> DataFrame:
+    def repaired(old: DataFrame, new: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         rewritten = stage(repair.next_repairs(old, new.select(*[c for c in old.columns if c in new.columns])))
-        return merge.replace_by_key(old, rewritten, repair.TEAM_ROW)
+        return merge.replace_parts(old, rewritten, repair.TEAM_ROW)
 
     rows = buckets.update_buckets(feed, f"{root}/{ROWS}", stamp, repaired, touched)
 
@@ -145,9 +150,9 @@ def bring_in(updates: DataFrame, root: str, stamp: str, as_of=None, now=None) ->
     """
     spark = updates.sparkSession
     known = buckets.read_map(spark, f"{root}/{RAW_ROWS}", before=stamp)
-    feed = stage(updates)
+    feed = stored(updates)
     base = known.read(spark, known.touched(feed))
-    listed = merge.only_known_ids(feed, merge.changed_ids(base, feed))
+    listed = merge.only_known_ids(feed, stage(merge.changed_ids(base, feed)))
     finished = listed.withColumn("_finished", F.col("fixture_status") == PLAYED_STATUS)
     changed = stage(merge.keep_last_per_key([finished], merge.FIXTURE_KEY, FINISHED_LAST).select(*listed.columns))
     n = changed.count()
@@ -155,7 +160,7 @@ def bring_in(updates: DataFrame, root: str, stamp: str, as_of=None, now=None) ->
         return 0
     touched = known.touched(changed)
     raw = buckets.update_buckets(
-        changed, f"{root}/{RAW_ROWS}", stamp, lambda old, new: merge.coalesce_update(old, new, now=now), touched
+        changed, f"{root}/{RAW_ROWS}", stamp, lambda old, new: merge.coalesce_parts(old, new, now=now), touched
     )
     rows = raw.read(spark, touched).join(changed.select(*merge.FIXTURE_KEY), merge.FIXTURE_KEY, "left_semi")
     apply(_enriched(spark, rows, root, as_of), root, stamp)
