@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState
 
+from streakline.operators import key_bits
 from streakline.operators.merge import FIXTURE_KEY, coalesce_update
 from streakline.plans import increments
 from streakline.plans.jobs import transform_fixtures
 from streakline.schemas import FLAT_FIXTURE_TEXT, PLAYED_STATUS
-from streakline.session import stage
+from streakline.session import stage, write_packed
 from streakline.sources import buckets
 from streakline.sources.paths import exists
 from streakline.sources.snapshots import read_version, remove_old_versions, write_version
@@ -138,18 +139,21 @@ def judged_records(records: DataFrame) -> DataFrame:
     return unpacked.select(*[key if c == key else f"record.{c}" for c in records.columns], "late")
 
 
-def judged_batch(held: DataFrame, came: DataFrame) -> DataFrame:
+def judged_batch(held: DataFrame, came: DataFrame, n_buckets: int) -> DataFrame:
     """The rows of both with what they are worth, in one shuffle and one sort; the rules are those of ``judged_records``.
 
+    Rows are shuffled by their ``bucket``, so what is stored of them lies as a table in buckets does.
+
     ``tells``: a record that the fixture's best takes a value from, the first of equal ones; these are
     what to hold for the next batch. ``late``: a record of ``came`` of which no value counts. ``best``: the best
     record, on one row of each fixture in ``came``, and ``changed`` whether ``held`` alone gave another.
     """
     key, values = FIXTURE_KEY[0], [c for c in came.columns if c not in FIXTURE_KEY]
     rows = held.withColumn("_came", F.lit(False)).unionByName(came.withColumn("_came", F.lit(True)))
+    rows = rows.withColumn(buckets.BUCKET, buckets.bucket_of(FIXTURE_KEY, n_buckets)).repartition(buckets.BUCKET)
     finished = F.coalesce(F.col("fixture_status") == PLAYED_STATUS, F.lit(False))
     place = [finished, F.col("kickoff_utc"), *[F.col(c) for c in values if c != "kickoff_utc"]]
-    ranked = Window.partitionBy(key).orderBy(*[c.desc_nulls_last() for c in place])
+    ranked = Window.partitionBy(buckets.BUCKET, key).orderBy(*[c.desc_nulls_last() for c in place])
     before = ranked.rowsBetween(Window.unboundedPreceding, -1)
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     equals = ranked.rangeBetween(Window.currentRow, Window.currentRow)
@@ -182,6 +186,7 @@ def judged_batch(held: DataFrame, came: DataFrame) -> DataFrame:
             (F.col("_came") & ~F.col("_counts") & ~same).alias("late"),
             F.when((F.col("_nr") == 1) & F.col("_any_came"), F.col("_best")).alias("best"),
             (~F.col("_any_held") | ~F.col("_best").eqNullSafe(F.col("_own"))).alias("changed"),
+            buckets.BUCKET,
         )
     )
 
@@ -189,15 +194,22 @@ def judged_batch(held: DataFrame, came: DataFrame) -> DataFrame:
 def judge_batch(batch: DataFrame, folder: str, stamp: str, n_buckets: int = buckets.BUCKETS) -> DataFrame:
     """``judged_batch`` of a micro-batch against the records held in ``folder``, which is brought up to date; stored."""
     spark = batch.sparkSession
-    came = stage(batch.where(F.col(FIXTURE_KEY[0]).isNotNull()))
+    came = batch.where(F.col(FIXTURE_KEY[0]).isNotNull())
     if not buckets.has_map(spark, folder, before=stamp):
-        judged = stage(judged_batch(came.limit(0), came))
-        buckets.write_buckets(judged.where("tells").select(*came.columns), folder, FIXTURE_KEY, stamp, n_buckets)
+        judged = stage(judged_batch(came.limit(0), came, n_buckets), [buckets.BUCKET])
+        telling = judged.where("tells").select(*came.columns)
+        buckets.write_buckets(telling, folder, FIXTURE_KEY, stamp, n_buckets, lying=True)
         return judged
-    known = buckets.read_map(spark, folder, before=stamp)
+    came, known = stage(came), buckets.read_map(spark, folder, before=stamp)
     touched = known.touched(came)
-    judged = stage(judged_batch(known.read(spark, touched), came))
-    buckets.update_buckets(came, folder, stamp, lambda _, __: judged.where("tells"), touched)
+    held = known.read(spark, touched)
+    # Records of fixtures that did not come stay as they lie.
+    parts = key_bits.parted(held, came, FIXTURE_KEY)
+    concerned, kept = (parts.inside, parts.outside) if parts else (held, None)
+    judged = stage(judged_batch(concerned, came, known.buckets), [buckets.BUCKET])
+    telling = judged.where("tells").select(*came.columns)
+    same = kept.select(*came.columns).unionByName(telling) if kept else telling
+    buckets.update_buckets(came, folder, stamp, lambda _, __: (same, None), touched)
     return judged
 
 
@@ -238,7 +250,7 @@ def stream_increments(
         if keep_late:
             late = judged.where("late").select(*batch.columns)
             if not late.isEmpty():
-                late.write.mode("overwrite").parquet(f"{root}/{LATE}/batch={stamp}")
+                write_packed(late, f"{root}/{LATE}/batch={stamp}", mode="overwrite")
             best = best.where("changed")
         increments.bring_in(best.select(*[c if c in FIXTURE_KEY else f"best.{c}" for c in batch.columns]), root, stamp, as_of, now)
         increments.tidy(spark, root, keep)

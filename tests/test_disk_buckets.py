@@ -8,8 +8,11 @@ from streakline.operators import facts, key_bits, merge, repair
 from streakline.operators.merge import FIXTURE_KEY
 from streakline.plans import increments
 from streakline.session import stage
-from streakline.sources import buckets
+from streakline.sources import buckets, fixture_files
+from streakline.streaming import updates
 from tests.test_disk import plan, rows
+from tests.test_sources import record
+from tests.test_stream_held import typed
 
 
 @pytest.fixture
@@ -81,3 +84,22 @@ def test_repairs_join_whole_rows_of_changed_fixtures_only(spark, tmp_path, by_bi
     changed = stage(facts.unpivot_team_rows(team_rows(spark, [(9, 2, some[9][2], some[9][3])])))
     changed = changed.select(*[c for c in stored_rows.columns if c in changed.columns])
     assert rows(repair.next_repairs(stored_rows, changed)) == rows(repair.next_repairs(stored_rows, changed, hot=True))
+
+
+def test_records_may_be_gzipped(spark, tmp_path):
+    some = spark.createDataFrame([(str(i), "FT") for i in range(5)], "api_fixture_id string, fixture_status string")
+    fixture_files.write_records(some, str(tmp_path / "in"), compression="gzip")
+    assert list((tmp_path / "in").glob("*.json.gz")) and not list((tmp_path / "in").glob("*.json"))
+    read = fixture_files.read_lines(spark, [str(tmp_path / "in")])
+    assert rows(read.select("api_fixture_id", "fixture_status")) == rows(some)
+
+
+def test_judged_records_are_held_without_another_shuffle(spark, tmp_path, plans):
+    folder = str(tmp_path / "held")
+    first = typed(spark, tmp_path / "in", [record(i, "NS", None, None) for i in range(40)], "a.json")
+    second = typed(spark, tmp_path / "in", [record(i, "FT", 1, 0) for i in range(30, 50)], "b.json")
+    for nth, feed in enumerate((first, second)):
+        updates.judge_batch(feed, folder, f"s-{nth}", 4)
+    assert len(plans("held")) == 2 and not any("Exchange hashpartitioning" in p or "REBALANCE" in p for p in plans("held"))
+    held = [(r["api_fixture_id"], r["fixture_status"]) for r in buckets.read_buckets(spark, folder).collect()]
+    assert sorted(held) == [(i, "NS" if i < 30 else "FT") for i in range(50)]
